@@ -1,0 +1,7 @@
+"""Streaming.
+
+The forecasting workflow this package reproduces has no streaming, watermark,
+windowed or stateful operator: a daily append is handled as a full rebuild of
+the derived tables behind a fingerprint guard (``sources.tables``). This
+subpackage is therefore intentionally empty; see README "Not built".
+"""
