@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import panel_queries  # noqa: F401  (registers on import)
+from . import forecast_queries, panel_queries  # noqa: F401  (register on import)
 from .registry import ORACLE, QUERIES
 
 
