@@ -15,13 +15,17 @@ from ..operators.forecast import zero_shot
 from ..operators.frames import union_predictions
 from ..sources import adapters
 from ..sources.scans import actuals
+from ..sources.tables import materialize
 from .common import CONFIGS, rounded
 
 
 def prepped_for(spark: SparkSession, sf_dir: str, adapter: str = "nation", cfg: PanelConfig | None = None) -> DataFrame:
+    """The prepped panel, built once and checkpointed to the shared folder:
+    every model, the actuals and the scorer read it without recomputing the
+    fact-table plan (series x days rows, small next to the facts)."""
     cfg = cfg or CONFIGS[adapter]
     trips, weather_raw, meta, _ = adapters.adapter_inputs(spark, sf_dir, adapter)
-    return panel.build_tables(trips, weather_raw, meta, cfg)
+    return materialize(panel.build_tables(trips, weather_raw, meta, cfg), f"prepped-{adapter}")
 
 
 def zero_shot_predictions(prepped: DataFrame, cfg: PanelConfig) -> DataFrame:

@@ -258,3 +258,55 @@ def q_parity(spark, sf_dir):
     )
     ranking = compare.rank_models(score.evaluate(preds, actuals(prepped, NATION)))
     return compare.parity_warnings(ranking)
+
+
+# EX1 + EX2 + EX3 + CM1: top_n x horizon sweep, two models, one job, ranked per variant.
+SWEEP_AXES = {"data.station_filter.top_n": [5, 25], "forecast.horizon": [7, 14]}
+
+
+def _sweep_sql() -> str:
+    import itertools
+
+    from ..operators.sweep import AXES_SUPPORTED  # noqa: F401
+
+    rows = []
+    for top_n, h in itertools.product(*SWEEP_AXES.values()):
+        rows.append(f"('top_n{top_n}-horizon{h}', {top_n}, {h}, {NATION.test_length})")
+    values = ", ".join(rows)
+    max_h = max(SWEEP_AXES["forecast.horizon"])
+    extra = f"""
+  variants AS (SELECT * FROM (VALUES {values}) v(variant, top_n, horizon, test_length)),
+  ranks AS (SELECT series, ROW_NUMBER() OVER (ORDER BY n_rows DESC, series ASC) AS volume_rank FROM top),
+  kept AS (SELECT p.series, p.date, CAST(p.target AS DOUBLE) AS y, v.variant, v.horizon, v.test_length
+           FROM prepped p JOIN ranks r ON p.series = r.series JOIN variants v ON r.volume_rank <= v.top_n),
+  vmax AS (SELECT variant, MAX(date) AS mx FROM kept GROUP BY variant),
+  sp AS (SELECT k.*, CASE WHEN k.date > vmax.mx - k.test_length THEN 'TEST'
+                          WHEN k.date > vmax.mx - (k.test_length + {NATION.validate_length}) THEN 'VALIDATE' ELSE 'TRAIN' END AS splits
+         FROM kept k JOIN vmax ON k.variant = vmax.variant),
+  sctx AS (SELECT variant, series, horizon, list(y ORDER BY date) AS context, MAX(date) AS last_date, COUNT(*) AS n
+           FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY variant, series ORDER BY date DESC) AS rn FROM sp WHERE splits <> 'TEST')
+           WHERE rn <= {NATION.context_len} GROUP BY variant, series, horizon),""" + FS.naive_cte(
+        "sa", max_h, 7, "seasonal_naive", ctx="sctx", keys="variant, ", horizon_col="horizon"
+    ) + "," + FS.naive_cte("sb", max_h, 1, "last_value", ctx="sctx", keys="variant, ", horizon_col="horizon") + f""",
+  spreds AS (SELECT variant, {FS.PRED_COLS} FROM sa UNION ALL SELECT variant, {FS.PRED_COLS} FROM sb),
+  sact AS (SELECT variant, series, date, y AS actual FROM sp WHERE splits = 'TEST'),
+  sm AS (SELECT variant, model, {FS.metric_exprs()} FROM spreds p JOIN sact a USING (variant, series, date) GROUP BY variant, model),""" + FS.rank_cte("rk", "sm", partition="variant")
+    body = (
+        "SELECT variant, model, ROUND(mae, 6) AS mae, ROUND(rmse, 6) AS rmse, ROUND(smape, 6) AS smape, "
+        "ROUND(quantile_loss, 6) AS quantile_loss, CAST(n_points AS DOUBLE) AS n_points, rank, rank = 1 AS winner FROM rk"
+    )
+    return with_panel("nation", body, NATION, extra=extra)
+
+
+@register("doe_sweep_scores", _sweep_sql())
+def q_sweep(spark, sf_dir):
+    from ..operators import sweep
+    from ..sources import adapters
+
+    prepped = prepped_for(spark, sf_dir, "nation", NATION)
+    grid = sweep.doe_grid(spark, SWEEP_AXES, NATION)
+    panel = sweep.sweep_panel(adapters.nation_trips(spark, sf_dir), prepped, grid, NATION)
+    preds = sweep.sweep_naive(panel, NATION, 7, "seasonal_naive").unionByName(
+        sweep.sweep_naive(panel, NATION, 1, "last_value")
+    )
+    return rounded(sweep.sweep_scores(panel, preds))

@@ -15,26 +15,34 @@ def contexts_cte(name: str = "ctx", context_len: int = 512) -> str:
           FROM prepped WHERE splits <> 'TEST') WHERE rn <= {context_len} GROUP BY series)"""
 
 
-def naive_cte(name: str, horizon: int, period: int, model: str, ctx: str = "ctx") -> str:
-    """Long predictions of the seasonal naive (period p) as CTE ``name``."""
+def naive_cte(name: str, horizon: int, period: int, model: str, ctx: str = "ctx", keys: str = "",
+              horizon_col: str | None = None) -> str:
+    """Long predictions of the seasonal naive (period p) as CTE ``name``.
+
+    ``keys`` (e.g. ``"variant, "``) are carried through; ``horizon_col`` caps
+    the steps per row (``horizon`` is then the largest value)."""
     spreads = ", ".join(f"quantile_cont(d, {q}) AS s{i}" for i, q in enumerate(QUANTILES))
     fc_spreads = ", ".join(
         f"CASE WHEN s.n >= s.lag THEN COALESCE(sp.s{i}, 0.0) ELSE 0.0 END AS sp{i}" for i in range(len(QUANTILES))
     )
     qcols = ", ".join(f"forecast + sp{i} AS {c}" for i, c in enumerate(QUANTILE_COLUMNS))
+    key_list = [k.strip() for k in keys.split(",") if k.strip()]
+    skeys = "".join(f"s.{k}, " for k in key_list)
+    join_keys = "".join(f" AND s.{k} = sp.{k}" for k in key_list)
+    cap = f" AND h <= {horizon_col}" if horizon_col else ""
     return f"""
   {name}_steps AS (
-    SELECT series, context, n, last_date, h, CAST(ceil(h / {period}.0) * {period} AS BIGINT) AS lag
-    FROM {ctx}, (SELECT UNNEST(range(1, {horizon} + 1)) AS h) WHERE n > 0),
+    SELECT {keys}series, context, n, last_date, h, CAST(ceil(h / {period}.0) * {period} AS BIGINT) AS lag
+    FROM {ctx}, (SELECT UNNEST(range(1, {horizon} + 1)) AS h) WHERE n > 0{cap}),
   {name}_diffs AS (
-    SELECT series, h, context[t] - context[t - lag] AS d
-    FROM (SELECT series, h, context, lag, UNNEST(range(lag + 1, n + 1)) AS t FROM {name}_steps WHERE n > lag)),
-  {name}_spread AS (SELECT series, h, {spreads} FROM {name}_diffs GROUP BY series, h),
+    SELECT {keys}series, h, context[t] - context[t - lag] AS d
+    FROM (SELECT {keys}series, h, context, lag, UNNEST(range(lag + 1, n + 1)) AS t FROM {name}_steps WHERE n > lag)),
+  {name}_spread AS (SELECT {keys}series, h, {spreads} FROM {name}_diffs GROUP BY {keys}series, h),
   {name}_fc AS (
-    SELECT s.series, CAST(s.last_date + CAST(s.h AS INTEGER) AS DATE) AS date, CAST(s.h AS INTEGER) AS horizon_step,
+    SELECT {skeys}s.series, CAST(s.last_date + CAST(s.h AS INTEGER) AS DATE) AS date, CAST(s.h AS INTEGER) AS horizon_step,
            CASE WHEN s.n >= s.lag THEN s.context[s.n - s.lag + s.h] ELSE s.context[s.n] END AS forecast, {fc_spreads}
-    FROM {name}_steps s LEFT JOIN {name}_spread sp ON s.series = sp.series AND s.h = sp.h),
-  {name} AS (SELECT series, date, horizon_step, forecast, {qcols}, '{model}' AS model FROM {name}_fc)"""
+    FROM {name}_steps s LEFT JOIN {name}_spread sp ON s.series = sp.series AND s.h = sp.h{join_keys}),
+  {name} AS (SELECT {keys}series, date, horizon_step, forecast, {qcols}, '{model}' AS model FROM {name}_fc)"""
 
 
 PRED_COLS = "series, date, horizon_step, forecast, " + ", ".join(QUANTILE_COLUMNS) + ", model"
