@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import forecast_queries, model_queries, panel_queries  # noqa: F401  (register on import)
+from . import forecast_queries, io_queries, model_queries, panel_queries, profile_queries  # noqa: F401  (register on import)
 from .registry import ORACLE, QUERIES
 
 
