@@ -92,3 +92,18 @@ def q_xreg_scores(spark, sf_dir):
     return rounded(score.evaluate(fc.unionByName(base), actuals(prepped, NATION)))
 
 
+
+
+# FC6 + FC7 + FC8: global gradient-boosted model (direct multi-step), saved and
+# re-loaded by path, nested output flattened by level (rows-only check).
+@register("global_forecast")
+def q_global(spark, sf_dir):
+    from ..operators.forecast import global_gbt
+    from ..session import shared_path
+
+    prepped = prepped_for(spark, sf_dir, "nation", NATION)
+    import uuid
+
+    path = shared_path(spark, "models", f"global-gbt-{uuid.uuid4().hex[:12]}")
+    model, resid = global_gbt.fit_global(prepped, NATION, path, max_iter=10, max_depth=4)
+    return rounded(global_gbt.forecast_global(model, resid, prepped, NATION))
