@@ -93,7 +93,15 @@ def q_struct_flatten(spark, sf_dir):
             F.array(*[F.col(QUANTILE_COLUMNS[QUANTILES.index(q)]) for q in order]).alias("quantile_predictions"),
         ).alias("predicted_target"),
     )
-    return rounded(flatten_nested(nested, "target", "series", "date", "seasonal_naive"))
+    # SC11: the nested output is stored and read back with its declared schema.
+    from ..session import shared_path
+    from ..sources import sinks
+    import uuid
+
+    path = shared_path(spark, "io", f"nested-{uuid.uuid4().hex[:12]}")
+    nested.write.mode("overwrite").parquet(path)
+    stored = sinks.read_nested_output(spark, path)
+    return rounded(flatten_nested(stored, "target", "series", "date", "seasonal_naive"))
 
 
 # PR19 -> JN11 -> PR18: long -> response arrays -> long, keyed by series.
@@ -298,6 +306,51 @@ def _sweep_sql() -> str:
     return with_panel("nation", body, NATION, extra=extra)
 
 
+def _sweep_ranked(spark, sf_dir):
+    from ..operators import sweep
+    from ..sources import adapters
+
+    prepped = prepped_for(spark, sf_dir, "nation", NATION)
+    grid = sweep.doe_grid(spark, SWEEP_AXES, NATION)
+    panel = sweep.sweep_panel(adapters.nation_trips(spark, sf_dir), prepped, grid, NATION)
+    preds = sweep.sweep_naive(panel, NATION, 7, "seasonal_naive").unionByName(
+        sweep.sweep_naive(panel, NATION, 1, "last_value")
+    )
+    return grid, sweep.sweep_scores(panel, preds)
+
+
+# EX4 + EX5 + CM3: run records (overrides map, metrics map) appended to a
+# Parquet run log partitioned by experiment and run, read back.
+@register(
+    "run_log_round_trip",
+    _sweep_sql().replace(
+        "SELECT variant, model, ROUND(mae, 6) AS mae",
+        "SELECT 'sweep' AS experiment, 'sweep__' || variant || '__' || model AS run, variant, model, ROUND(mae, 6) AS mae",
+    ),
+)
+def q_run_log(spark, sf_dir):
+    from ..operators import sweep
+    from ..session import shared_path
+    import uuid
+
+    grid, ranked = _sweep_ranked(spark, sf_dir)
+    root = shared_path(spark, "runlog", uuid.uuid4().hex[:12])
+    sweep.write_run_log(sweep.run_records(ranked, grid, "sweep"), root)
+    back = spark.read.option("basePath", root).parquet(root)
+    m = F.col("metrics")
+    return rounded(
+        back.select(
+            F.col("experiment").cast("string").alias("experiment"),
+            F.col("run").cast("string").alias("run"),
+            "variant",
+            "model",
+            *[m[k].alias(k) for k in ("mae", "rmse", "smape", "quantile_loss", "n_points")],
+            "rank",
+            "winner",
+        )
+    )
+
+
 @register("doe_sweep_scores", _sweep_sql())
 def q_sweep(spark, sf_dir):
     from ..operators import sweep

@@ -97,3 +97,19 @@ def test_fingerprint_guard(spark, tmp_path):
     assert rebuilt
     t, rebuilt = ensure_table(spark, path, "fp2", build, force=True)  # forced -> build
     assert rebuilt and len(calls) == 3 and t.count() == 5
+
+
+def test_run_records_and_log(spark, tmp_path):
+    cfg = PanelConfig()
+    grid = sweep.doe_grid(spark, {"forecast.horizon": [7]}, cfg)
+    ranked = spark.createDataFrame(
+        [("horizon7", "m1", 1.0, 2.0, 3.0, 4.0, 10.0, 1, True)],
+        "variant string, model string, mae double, rmse double, smape double, quantile_loss double, n_points double, rank int, winner boolean",
+    )
+    rec = sweep.run_records(ranked, grid, "exp")
+    r = rec.first()
+    assert r["run"] == "exp__horizon7__m1" and r["overrides"] == {"forecast.horizon": "7"} and r["metrics"]["rmse"] == 2.0
+    root = str(tmp_path / "log")
+    sweep.write_run_log(rec, root)
+    sweep.write_run_log(rec, root)  # append
+    assert spark.read.parquet(root).count() == 2
