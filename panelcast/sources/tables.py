@@ -13,8 +13,6 @@
 from __future__ import annotations
 
 import json
-import os
-import shutil
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -22,7 +20,6 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-FINGERPRINT_FILE = "_fingerprint"
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -36,43 +33,93 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.parquet(path)
 
 
+# -- filesystem helpers (Hadoop FileSystem: works for local, HDFS, object stores) --
+def _fs(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        lines = []
+        line = reader.readLine()
+        while line is not None:
+            lines.append(line)
+            line = reader.readLine()
+        return "\n".join(lines)
+    finally:
+        stream.close()
+
+
+def _rename(spark: SparkSession, src: str, dst: str) -> None:
+    fs, p = _fs(spark, src)
+    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(dst)):
+        raise OSError(f"rename {src} -> {dst} failed")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 # -- SC4 + SC13 -----------------------------------------------------------------
+PROPERTIES_FILE = "_properties.json"
+
+
 def write_table(df: DataFrame, path: str, properties: dict[str, str] | None = None,
                 partition_by: tuple[str, ...] = ()) -> int:
     """Write ``df`` as Parquet at ``path`` replacing what is there; returns the
-    row count observed during the write. Written under a temporary sibling and
-    swapped in, so a destination that is also the source is never truncated
-    before it is read, and a failed write leaves the old table intact."""
+    row count observed during the write (no second scan). Written under a
+    temporary sibling and swapped in, so a destination that is also the source
+    is never truncated before it is read, and a failed write leaves the old
+    table intact. The properties file (with the fingerprint) is written last."""
+    spark = df.sparkSession
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    tmp = f"{path.rstrip('/')}.__tmp_{uuid.uuid4().hex[:8]}"
+    base = path.rstrip("/")
+    tmp = f"{base}.__tmp_{uuid.uuid4().hex[:8]}"
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(tmp)
     rows = int(obs.get["rows"])
-    with open(os.path.join(tmp, "_properties.json"), "w") as fh:
-        json.dump({**(properties or {}), "rows": rows}, fh, sort_keys=True)
-    if os.path.exists(path):
-        old = f"{path.rstrip('/')}.__old_{uuid.uuid4().hex[:8]}"
-        os.replace(path, old)
-        os.replace(tmp, path)
-        shutil.rmtree(old, ignore_errors=True)
+    if _exists(spark, base):
+        old = f"{base}.__old_{uuid.uuid4().hex[:8]}"
+        _rename(spark, base, old)
+        _rename(spark, tmp, base)
+        _delete(spark, old)
     else:
-        os.replace(tmp, path)
+        _rename(spark, tmp, base)
+    _write_text(spark, f"{base}/{PROPERTIES_FILE}", json.dumps({**(properties or {}), "rows": rows}, sort_keys=True))
     return rows
 
 
-def table_properties(path: str) -> dict:
-    p = os.path.join(path, "_properties.json")
-    if not os.path.exists(p):
-        return {}
-    with open(p) as fh:
-        return json.load(fh)
+def table_properties(spark: SparkSession, path: str) -> dict:
+    text = _read_text(spark, f"{path.rstrip('/')}/{PROPERTIES_FILE}")
+    return json.loads(text) if text else {}
 
 
 # -- TB5 --------------------------------------------------------------------
-def stored_fingerprint(path: str) -> str | None:
-    return table_properties(path).get("fingerprint")
+def stored_fingerprint(spark: SparkSession, path: str) -> str | None:
+    return table_properties(spark, path).get("fingerprint")
 
 
 def ensure_table(spark: SparkSession, path: str, fingerprint: str, build, force: bool = False) -> tuple[DataFrame, bool]:
@@ -81,7 +128,7 @@ def ensure_table(spark: SparkSession, path: str, fingerprint: str, build, force:
     The fingerprint is stored with the data and written last, so a partial
     write never looks current.
     """
-    if not force and stored_fingerprint(path) == fingerprint:
+    if not force and stored_fingerprint(spark, path) == fingerprint:
         return spark.read.parquet(path), False
     write_table(build(), path, {"fingerprint": fingerprint})
     return spark.read.parquet(path), True

@@ -90,7 +90,7 @@ def test_fingerprint_guard(spark, tmp_path):
         return spark.range(5)
 
     _, rebuilt = ensure_table(spark, path, "fp1", build)  # missing -> build
-    assert rebuilt and stored_fingerprint(path) == "fp1"
+    assert rebuilt and stored_fingerprint(spark, path) == "fp1"
     _, rebuilt = ensure_table(spark, path, "fp1", build)  # equal -> skip
     assert not rebuilt
     _, rebuilt = ensure_table(spark, path, "fp2", build)  # stale -> build
