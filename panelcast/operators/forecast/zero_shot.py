@@ -29,11 +29,24 @@ from ..contexts import expand_horizon
 # -- FC2 --------------------------------------------------------------------
 def seasonal_naive(contexts: DataFrame, horizon: int, period: int = 7, model: str = "seasonal_naive") -> DataFrame:
     """Long prediction frame from contexts, all JVM-side expressions."""
+    return seasonal_naive_models(contexts, horizon, {model: period})
+
+
+def seasonal_naive_models(contexts: DataFrame, horizon: int, periods: dict[str, int]) -> DataFrame:
+    """Several seasonal-naive models (model name -> period) in one pass over
+    the contexts: (model, period) x step are exploded together, so the
+    contexts are computed once and no union is needed."""
     ctx, n = F.col("context"), F.col("n")
-    steps = contexts.where(F.col("n") > 0).select(
-        "series", "context", "n", "last_date", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h")
+    combos = F.array(
+        *[
+            F.struct(F.lit(m).alias("model"), F.lit(p).alias("period"), F.lit(h).alias("h"))
+            for m, p in periods.items()
+            for h in range(1, horizon + 1)
+        ]
     )
-    lag = (F.ceil(F.col("h") / F.lit(period)) * F.lit(period)).cast("int")
+    steps = contexts.where(F.col("n") > 0).select("series", "context", "n", "last_date", F.explode(combos).alias("_c"))
+    steps = steps.select("series", "context", "n", "last_date", "_c.model", "_c.period", "_c.h")
+    lag = (F.ceil(F.col("h") / F.col("period")) * F.col("period")).cast("int")
     steps = steps.withColumn("_lag", lag)
     enough = n >= F.col("_lag")
     point = F.when(enough, F.element_at(ctx, n - F.col("_lag") + F.col("h"))).otherwise(F.element_at(ctx, n))
@@ -55,7 +68,7 @@ def seasonal_naive(contexts: DataFrame, horizon: int, period: int = 7, model: st
         F.col("h").cast("int").alias("horizon_step"),
         F.col("forecast").cast("double").alias("forecast"),
         *[(F.col("forecast") + spread[q]).alias(c) for q, c in zip(QUANTILES, QUANTILE_COLUMNS)],
-        F.lit(model).alias("model"),
+        F.col("model").cast("string").alias("model"),
     )
 
 

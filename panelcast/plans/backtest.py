@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import PanelConfig
 from ..operators import compare, contexts, panel, score
 from ..operators.forecast import zero_shot
-from ..operators.frames import union_predictions
+from ..schemas import PREDICTIONS, conform
 from ..sources import adapters
 from ..sources.scans import actuals
 from ..sources.tables import materialize
@@ -29,14 +29,10 @@ def prepped_for(spark: SparkSession, sf_dir: str, adapter: str = "nation", cfg:
 
 
 def zero_shot_predictions(prepped: DataFrame, cfg: PanelConfig) -> DataFrame:
-    """Weekly seasonal naive and last value over the same contexts (one
-    context build, two JVM-side forecasters, one union)."""
+    """Weekly seasonal naive and last value from one contexts plan in one pass."""
     ctx = contexts.series_contexts(prepped, cfg)
-    return union_predictions(
-        [
-            zero_shot.seasonal_naive(ctx, cfg.horizon, period=7, model="seasonal_naive"),
-            zero_shot.seasonal_naive(ctx, cfg.horizon, period=1, model="last_value"),
-        ]
+    return conform(
+        zero_shot.seasonal_naive_models(ctx, cfg.horizon, {"seasonal_naive": 7, "last_value": 1}), PREDICTIONS
     )
 
 
