@@ -32,42 +32,60 @@ def seasonal_naive(contexts: DataFrame, horizon: int, period: int = 7, model: st
     return seasonal_naive_models(contexts, horizon, {model: period})
 
 
+def _lag(h: int, period: int) -> int:
+    return -(-h // period) * period
+
+
 def seasonal_naive_models(contexts: DataFrame, horizon: int, periods: dict[str, int]) -> DataFrame:
     """Several seasonal-naive models (model name -> period) in one pass over
-    the contexts: (model, period) x step are exploded together, so the
-    contexts are computed once and no union is needed."""
+    the contexts. The differences y_t - y_(t-L) depend only on the lag L, so
+    their quantiles are computed once per (series, distinct lag) and each
+    (model, step) row just indexes them; contexts are built once, no union."""
     ctx, n = F.col("context"), F.col("n")
+    lags = sorted({_lag(h, p) for p in periods.values() for h in range(1, horizon + 1)})
+    lag_pos = {L: i for i, L in enumerate(lags)}
+
+    def diffs(L):
+        return F.when(
+            n > L,
+            F.transform(F.sequence(L + 1, n), lambda t: F.element_at(ctx, t) - F.element_at(ctx, t - L)),
+        ).otherwise(F.array().cast("array<double>"))
+
+    sorted_diffs = F.transform(F.array(*[F.lit(L) for L in lags]), lambda L: F.array_sort(diffs(L)))
+    spreads = F.transform(
+        sorted_diffs,
+        lambda srt: F.array(
+            *[F.coalesce(array_quantile(srt, q, presorted=True), F.lit(0.0)) for q in QUANTILES]
+        ),
+    )
     combos = F.array(
         *[
-            F.struct(F.lit(m).alias("model"), F.lit(p).alias("period"), F.lit(h).alias("h"))
+            F.struct(
+                F.lit(m).alias("model"),
+                F.lit(h).alias("h"),
+                F.lit(_lag(h, p)).alias("_lag"),
+                F.lit(lag_pos[_lag(h, p)]).alias("_li"),
+            )
             for m, p in periods.items()
             for h in range(1, horizon + 1)
         ]
     )
-    steps = contexts.where(F.col("n") > 0).select("series", "context", "n", "last_date", F.explode(combos).alias("_c"))
-    steps = steps.select("series", "context", "n", "last_date", "_c.model", "_c.period", "_c.h")
-    lag = (F.ceil(F.col("h") / F.col("period")) * F.col("period")).cast("int")
-    steps = steps.withColumn("_lag", lag)
+    base = contexts.where(F.col("n") > 0).select("series", "context", "n", "last_date", spreads.alias("_sp"))
+    steps = base.select("series", "context", "n", "last_date", "_sp", F.explode(combos).alias("_c")).select(
+        "series", "context", "n", "last_date", "_sp", "_c.model", "_c.h", "_c._lag", "_c._li"
+    )
     enough = n >= F.col("_lag")
     point = F.when(enough, F.element_at(ctx, n - F.col("_lag") + F.col("h"))).otherwise(F.element_at(ctx, n))
-    diffs = F.when(
-        n > F.col("_lag"),
-        F.transform(
-            F.sequence(F.col("_lag") + 1, n),
-            lambda t: F.element_at(ctx, t) - F.element_at(ctx, t - F.col("_lag")),
-        ),
-    ).otherwise(F.array().cast("array<double>"))
-    steps = steps.withColumn("forecast", point).withColumn("_d", F.array_sort(diffs))
-    spread = {
-        q: F.when(enough, F.coalesce(array_quantile("_d", q, presorted=True), F.lit(0.0))).otherwise(F.lit(0.0))
-        for q in QUANTILES
-    }
+    steps = steps.withColumn("forecast", point.cast("double"))
     return steps.select(
         "series",
         F.date_add("last_date", F.col("h")).alias("date"),
         F.col("h").cast("int").alias("horizon_step"),
-        F.col("forecast").cast("double").alias("forecast"),
-        *[(F.col("forecast") + spread[q]).alias(c) for q, c in zip(QUANTILES, QUANTILE_COLUMNS)],
+        "forecast",
+        *[
+            (F.col("forecast") + F.when(enough, F.col("_sp")[F.col("_li")][i]).otherwise(F.lit(0.0))).alias(c)
+            for i, c in enumerate(QUANTILE_COLUMNS)
+        ],
         F.col("model").cast("string").alias("model"),
     )
 
