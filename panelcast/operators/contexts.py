@@ -21,20 +21,23 @@ from ..functions.scalar import last_n
 
 
 # -- WN3 --------------------------------------------------------------------
-def series_contexts(prepped: DataFrame, cfg: PanelConfig, context_len: int | None = None) -> DataFrame:
-    """(series, context array<double> oldest->newest, last_date, n) from non-TEST rows."""
+def series_contexts(
+    prepped: DataFrame, cfg: PanelConfig, context_len: int | None = None, keys: tuple[str, ...] = ()
+) -> DataFrame:
+    """(*keys, series, context array<double> oldest->newest, last_date, n) from
+    non-TEST rows; ``keys`` (e.g. a sweep variant) partition the contexts too."""
     n = context_len or cfg.context_len
     s, t, y = cfg.series_column, cfg.time_column, cfg.target_column
     hist = prepped.where(F.col("splits") != F.lit(TEST)).select(
-        F.col(s).alias("series"), F.col(t).alias("date"), F.col(y).cast("double").alias("y")
+        *keys, F.col(s).alias("series"), F.col(t).alias("date"), F.col(y).cast("double").alias("y")
     )
-    w = Window.partitionBy("series").orderBy(F.desc("date"))
+    w = Window.partitionBy(*keys, "series").orderBy(F.desc("date"))
     recent = hist.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
-    grouped = recent.groupBy("series").agg(
+    grouped = recent.groupBy(*keys, "series").agg(
         F.array_sort(F.collect_list(F.struct("date", "y"))).alias("_pts"), F.max("date").alias("last_date")
     )
     ctx = F.transform("_pts", lambda p: p["y"])
-    return grouped.select("series", ctx.alias("context"), "last_date", F.size(ctx).alias("n"))
+    return grouped.select(*keys, "series", ctx.alias("context"), "last_date", F.size(ctx).alias("n"))
 
 
 def contexts_long(contexts: DataFrame) -> DataFrame:

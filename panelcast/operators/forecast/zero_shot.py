@@ -36,11 +36,19 @@ def _lag(h: int, period: int) -> int:
     return -(-h // period) * period
 
 
-def seasonal_naive_models(contexts: DataFrame, horizon: int, periods: dict[str, int]) -> DataFrame:
+def seasonal_naive_models(
+    contexts: DataFrame,
+    horizon: int,
+    periods: dict[str, int],
+    keys: tuple[str, ...] = (),
+    horizon_col: str | None = None,
+) -> DataFrame:
     """Several seasonal-naive models (model name -> period) in one pass over
     the contexts. The differences y_t - y_(t-L) depend only on the lag L, so
     their quantiles are computed once per (series, distinct lag) and each
-    (model, step) row just indexes them; contexts are built once, no union."""
+    (model, step) row just indexes them; contexts are built once, no union.
+    ``keys`` are carried through; ``horizon_col`` caps the steps per row
+    (``horizon`` is then the largest value)."""
     ctx, n = F.col("context"), F.col("n")
     lags = sorted({_lag(h, p) for p in periods.values() for h in range(1, horizon + 1)})
     lag_pos = {L: i for i, L in enumerate(lags)}
@@ -70,14 +78,18 @@ def seasonal_naive_models(contexts: DataFrame, horizon: int, periods: dict[str,
             for h in range(1, horizon + 1)
         ]
     )
-    base = contexts.where(F.col("n") > 0).select("series", "context", "n", "last_date", spreads.alias("_sp"))
-    steps = base.select("series", "context", "n", "last_date", "_sp", F.explode(combos).alias("_c")).select(
-        "series", "context", "n", "last_date", "_sp", "_c.model", "_c.h", "_c._lag", "_c._li"
+    cap = [horizon_col] if horizon_col else []
+    base = contexts.where(F.col("n") > 0).select(*keys, *cap, "series", "context", "n", "last_date", spreads.alias("_sp"))
+    steps = base.select(*keys, *cap, "series", "context", "n", "last_date", "_sp", F.explode(combos).alias("_c")).select(
+        *keys, *cap, "series", "context", "n", "last_date", "_sp", "_c.model", "_c.h", "_c._lag", "_c._li"
     )
+    if horizon_col:
+        steps = steps.where(F.col("h") <= F.col(horizon_col))
     enough = n >= F.col("_lag")
     point = F.when(enough, F.element_at(ctx, n - F.col("_lag") + F.col("h"))).otherwise(F.element_at(ctx, n))
     steps = steps.withColumn("forecast", point.cast("double"))
     return steps.select(
+        *keys,
         "series",
         F.date_add("last_date", F.col("h")).alias("date"),
         F.col("h").cast("int").alias("horizon_step"),

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import QUANTILE_COLUMNS, TEST, TRAIN, VALIDATE, PanelConfig
+from ..config import TEST, TRAIN, VALIDATE, PanelConfig
 from ..functions.scalar import slug_value
 from .compare import rank_models
 from .panel import top_series
@@ -119,40 +119,17 @@ def sweep_panel(trips: DataFrame, prepped_max: DataFrame, grid: DataFrame, cfg:
     return kept.withColumn("splits", splits).drop("_max")
 
 
-def sweep_naive(panel: DataFrame, cfg: PanelConfig, period: int, model: str) -> DataFrame:
-    """Seasonal naive per (variant, series), horizon from the variant."""
-    from ..functions.scalar import array_quantile
-    from ..config import QUANTILES
-
-    hist = panel.where(F.col("splits") != F.lit(TEST))
-    w = Window.partitionBy("variant", "series").orderBy(F.desc("date"))
-    recent = hist.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cfg.context_len)
-    ctx = recent.groupBy("variant", "series", "horizon").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("date", "y"))), lambda p: p["y"]).alias("context"),
-        F.max("date").alias("last_date"),
-    ).withColumn("n", F.size("context"))
-    c, n = F.col("context"), F.col("n")
-    steps = ctx.select("variant", "series", "context", "n", "last_date", F.explode(F.sequence(F.lit(1), F.col("horizon"))).alias("h"))
-    steps = steps.withColumn("_lag", (F.ceil(F.col("h") / F.lit(period)) * F.lit(period)).cast("int"))
-    enough = n >= F.col("_lag")
-    point = F.when(enough, F.element_at(c, n - F.col("_lag") + F.col("h"))).otherwise(F.element_at(c, n))
-    diffs = F.when(
-        n > F.col("_lag"),
-        F.transform(F.sequence(F.col("_lag") + 1, n), lambda t: F.element_at(c, t) - F.element_at(c, t - F.col("_lag"))),
-    ).otherwise(F.array().cast("array<double>"))
-    steps = steps.withColumn("forecast", point).withColumn("_d", F.array_sort(diffs))
-    return steps.select(
-        "variant",
-        "series",
-        F.date_add("last_date", F.col("h")).alias("date"),
-        F.col("h").cast("int").alias("horizon_step"),
-        "forecast",
-        *[
-            (F.col("forecast") + F.when(enough, F.coalesce(array_quantile("_d", q, presorted=True), F.lit(0.0))).otherwise(F.lit(0.0))).alias(col)
-            for q, col in zip(QUANTILES, QUANTILE_COLUMNS)
-        ],
-        F.lit(model).alias("model"),
-    )
+def sweep_naive(panel: DataFrame, cfg: PanelConfig, periods: dict[str, int], max_horizon: int) -> DataFrame:
+    """Seasonal-naive models per (variant, series), each variant with its own
+    horizon (``max_horizon`` = the largest in the grid): the same context and
+    forecast operators as a single back-test, keyed by variant."""
+    from .contexts import series_contexts
+    from .forecast.zero_shot import seasonal_naive_models
+
+    keyed = cfg.replace(series_column="series", time_column="date", target_column="y")
+    ctx = series_contexts(panel, keyed, keys=("variant", "horizon"))
+    fc = seasonal_naive_models(ctx, max_horizon, periods, keys=("variant",), horizon_col="horizon")
+    return fc.drop("horizon")
 
 
 def sweep_scores(panel: DataFrame, preds: DataFrame) -> DataFrame:

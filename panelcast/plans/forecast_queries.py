@@ -313,9 +313,8 @@ def _sweep_ranked(spark, sf_dir):
     prepped = prepped_for(spark, sf_dir, "nation", NATION)
     grid = sweep.doe_grid(spark, SWEEP_AXES, NATION)
     panel = sweep.sweep_panel(adapters.nation_trips(spark, sf_dir), prepped, grid, NATION)
-    preds = sweep.sweep_naive(panel, NATION, 7, "seasonal_naive").unionByName(
-        sweep.sweep_naive(panel, NATION, 1, "last_value")
-    )
+    max_h = max(SWEEP_AXES["forecast.horizon"])
+    preds = sweep.sweep_naive(panel, NATION, {"seasonal_naive": 7, "last_value": 1}, max_h)
     return grid, sweep.sweep_scores(panel, preds)
 
 
@@ -353,13 +352,5 @@ def q_run_log(spark, sf_dir):
 
 @register("doe_sweep_scores", _sweep_sql())
 def q_sweep(spark, sf_dir):
-    from ..operators import sweep
-    from ..sources import adapters
-
-    prepped = prepped_for(spark, sf_dir, "nation", NATION)
-    grid = sweep.doe_grid(spark, SWEEP_AXES, NATION)
-    panel = sweep.sweep_panel(adapters.nation_trips(spark, sf_dir), prepped, grid, NATION)
-    preds = sweep.sweep_naive(panel, NATION, 7, "seasonal_naive").unionByName(
-        sweep.sweep_naive(panel, NATION, 1, "last_value")
-    )
-    return rounded(sweep.sweep_scores(panel, preds))
+    _, ranked = _sweep_ranked(spark, sf_dir)
+    return rounded(ranked)
