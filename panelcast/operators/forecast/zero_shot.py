@@ -195,7 +195,10 @@ RAW_RESPONSE = T.StructType(
 
 def forecast_contexts(contexts: DataFrame, horizon: int, predictor: str = "seasonal_naive") -> DataFrame:
     """Batched inference: one response per series (point array + channel arrays
-    per step). Runs in Arrow batches; ``last_date`` travels with the batch."""
+    per step). Runs in Arrow batches; ``last_date`` (and the normalisation
+    statistics, when present) travel with the batch."""
+    carry = [c for c in ("ctx_mean", "ctx_std") if c in contexts.columns]
+    schema = T.StructType(RAW_RESPONSE.fields + [T.StructField(c, T.DoubleType()) for c in carry])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predict = _predictor(predictor)
@@ -204,17 +207,34 @@ def forecast_contexts(contexts: DataFrame, horizon: int, predictor: str = "seaso
                 continue
             inputs = [np.asarray(c, dtype=float) for c in pdf["context"]]
             point, quant = predict(inputs, horizon)
-            yield pd.DataFrame(
-                {
-                    "series_id": pdf["series"].astype(str).values,
-                    "last_date": pdf["last_date"].values,
-                    "horizon": np.full(len(pdf), horizon, dtype=np.int32),
-                    "forecast": [row.tolist() for row in point],
-                    "channels": [[step.tolist() for step in row] for row in quant],
-                }
-            )
+            out = {
+                "series_id": pdf["series"].astype(str).values,
+                "last_date": pdf["last_date"].values,
+                "horizon": np.full(len(pdf), horizon, dtype=np.int32),
+                "forecast": [row.tolist() for row in point],
+                "channels": [[step.tolist() for step in row] for row in quant],
+            }
+            for c in carry:
+                out[c] = pdf[c].astype(float).values
+            yield pd.DataFrame(out)
+
+    cols = ["series", "context", "last_date", *carry]
+    return contexts.where(F.col("n") > 0).select(*cols).mapInPandas(run, schema)
+
+
+def denormalize(responses: DataFrame) -> DataFrame:
+    """Undo ``normalize_contexts`` on every output array: v * std + mean."""
+    if "ctx_mean" not in responses.columns:
+        return responses
+    arrays = ["forecast", *QUANTILE_COLUMNS]
+    st = F.struct(F.col("ctx_mean").alias("m"), F.col("ctx_std").alias("sd"))
 
-    return contexts.where(F.col("n") > 0).select("series", "context", "last_date").mapInPandas(run, RAW_RESPONSE)
+    def undo(a: str):
+        z = F.arrays_zip(F.col(a).alias("v"), F.array_repeat(st, F.size(a)).alias("st"))
+        return F.transform(z, lambda e: e["v"] * e["st"]["sd"] + e["st"]["m"]).alias(a)
+
+    keep = [c for c in responses.columns if c not in arrays and c not in ("ctx_mean", "ctx_std")]
+    return responses.select(*keep, *[undo(a) for a in arrays])
 
 
 def _picker(q: float):
@@ -223,16 +243,31 @@ def _picker(q: float):
 
 def pick_quantiles(raw: DataFrame) -> DataFrame:
     """PR17 per step: choose q10..q90 from each step's channel array."""
+    carry = [c for c in ("ctx_mean", "ctx_std") if c in raw.columns]
     return raw.select(
         "series_id",
         "last_date",
         "horizon",
+        *carry,
         "forecast",
         *[F.transform("channels", _picker(q)).alias(c) for q, c in zip(QUANTILES, QUANTILE_COLUMNS)],
     )
 
 
-def zero_shot_forecast(contexts: DataFrame, cfg: PanelConfig, predictor: str = "seasonal_naive", model: str | None = None) -> DataFrame:
-    """FC1 -> PR17 -> PR18: the standard long frame from the batched slot."""
-    responses = pick_quantiles(forecast_contexts(contexts, cfg.horizon, predictor))
-    return expand_horizon(responses, model or predictor)
+def zero_shot_forecast(
+    contexts: DataFrame,
+    cfg: PanelConfig,
+    predictor: str = "seasonal_naive",
+    model: str | None = None,
+    normalize: bool = False,
+    fix_crossing: bool = True,
+) -> DataFrame:
+    """FC3 (normalise) -> FC1 -> PR17 -> FC3 (denormalise) -> PR18 -> FC3
+    (crossing repair): the standard long frame from the batched slot."""
+    ctx = normalize_contexts(contexts) if normalize else contexts
+    raw = forecast_contexts(ctx, cfg.horizon, predictor)
+    picked = pick_quantiles(raw)
+    if normalize:
+        picked = denormalize(picked)
+    out = expand_horizon(picked, model or predictor)
+    return fix_quantile_crossing(out) if fix_crossing else out

@@ -68,14 +68,16 @@ def q_last_value(spark, sf_dir):
     return rounded(zero_shot.seasonal_naive(ctx, USER.horizon, 1, "last_value"))
 
 
-# FC1 + PR17 + PR18: batched slot (mapInPandas) with the default predictor,
-# ten-channel head -> q10..q90 by channel; equals FC2 by construction.
+# FC3 + FC1 + PR17 + PR18: batched slot (mapInPandas) with the default
+# predictor on normalised contexts, outputs de-normalised, ten-channel head ->
+# q10..q90 by channel, crossing repaired; the weekly naive is equivariant under
+# normalisation, so this equals FC2 and its DuckDB twin.
 @register("forecast_contexts", _naive_sql("nation", NATION, FS.rounded_pred_select("fc")))
 def q_forecast_contexts(spark, sf_dir):
     prepped = prepped_for(spark, sf_dir, "nation", NATION)
     ctx = contexts.series_contexts(prepped, NATION)
-    out = zero_shot.zero_shot_forecast(ctx, NATION, "seasonal_naive", model="seasonal_naive")
-    return rounded(zero_shot.fix_quantile_crossing(out))
+    out = zero_shot.zero_shot_forecast(ctx, NATION, "seasonal_naive", model="seasonal_naive", normalize=True)
+    return rounded(out)
 
 
 # PR16: nested model output (levels out of order) flattened by level.

@@ -97,6 +97,10 @@ def test_fingerprint_guard(spark, tmp_path):
     assert rebuilt
     t, rebuilt = ensure_table(spark, path, "fp2", build, force=True)  # forced -> build
     assert rebuilt and len(calls) == 3 and t.count() == 5
+    from panelcast.sources.tables import table_properties, write_table
+
+    assert write_table(spark.range(7), path, {"fingerprint": "fp3"}) == 7  # SC13: counted on the write
+    assert table_properties(spark, path)["rows"] == 7 and spark.read.parquet(path).count() == 7
 
 
 def test_run_records_and_log(spark, tmp_path):
