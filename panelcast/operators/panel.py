@@ -38,6 +38,13 @@ from ..schemas import MEASURES, conform, prepped_schema, source_schema
 from ..sources.scans import scan_weather
 
 SERIES = "series"  # column name of the series key in the canonical trips frame
+# Largest key list forced into a broadcast; above it AQE decides from measured size.
+BROADCAST_MAX_KEYS = 100_000
+
+
+def few_keys(n: int | None) -> bool:
+    """True when a key list is bounded by configuration and small enough to broadcast."""
+    return n is not None and n <= BROADCAST_MAX_KEYS
 
 
 # -- AG1 --------------------------------------------------------------------
@@ -55,12 +62,14 @@ def top_series(trips: DataFrame, cfg: PanelConfig) -> DataFrame:
 
 
 # -- JN1 --------------------------------------------------------------------
-def restrict_to(trips: DataFrame, top: DataFrame | None) -> DataFrame:
+def restrict_to(trips: DataFrame, top: DataFrame | None, top_n: int | None = None) -> DataFrame:
     """Semi-join the facts to the top-N keys; the key list is <= top_n rows, so
-    broadcasting it is bounded by configuration. ``None``: all valid keys."""
+    broadcasting it is bounded by configuration (forced only up to
+    BROADCAST_MAX_KEYS). ``None``: all valid keys, no join."""
     if top is None:
         return trips.where(valid_key(SERIES))
-    return trips.join(F.broadcast(top.select(SERIES)), SERIES, "left_semi")
+    keys = top.select(SERIES)
+    return trips.join(F.broadcast(keys) if top_n is None or few_keys(top_n) else keys, SERIES, "left_semi")
 
 
 def top_or_all(trips: DataFrame, cfg: PanelConfig) -> DataFrame | None:
@@ -70,7 +79,7 @@ def top_or_all(trips: DataFrame, cfg: PanelConfig) -> DataFrame | None:
 # -- AG2 (+PR2-PR5) ------------------------------------------------------------
 def daily_panel(trips: DataFrame, top: DataFrame | None, cfg: PanelConfig) -> DataFrame:
     """Per (series, day): count, mean duration, subscriber share, male ratio."""
-    facts = restrict_to(trips, top)
+    facts = restrict_to(trips, top, cfg.top_n)
     window = date_window("starttime", cfg.date_start, cfg.date_end)
     if window is not None:
         facts = facts.where(window)
@@ -130,7 +139,7 @@ def modal_id(trips: DataFrame, top: DataFrame | None, cfg: PanelConfig) -> DataF
     Ties: smaller id first; a NULL id wins only with a strictly larger count.
     """
     counts = (
-        restrict_to(trips, top)
+        restrict_to(trips, top, cfg.top_n)
         .groupBy(SERIES, "start_station_id")
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
@@ -178,7 +187,7 @@ def build_source(
     weather = scan_weather(weather_raw, cfg)  # one row per day of the year window
     modal = modal_id(trips, top, cfg)  # one row per series
     dims = meta_for(meta, modal)  # at most one row per series
-    few_series = cfg.top_n is not None
+    few_series = few_keys(cfg.top_n)
 
     panel = (
         series_tbl.join(F.broadcast(weather), t, "left")  # JN4

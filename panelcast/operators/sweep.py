@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from ..config import TEST, TRAIN, VALIDATE, PanelConfig
 from ..functions.scalar import slug_value
 from .compare import rank_models
-from .panel import top_series
+from .panel import few_keys, top_series
 from .score import metric_columns
 
 AXES_SUPPORTED = ("top_n", "horizon", "test_length")
@@ -104,7 +104,7 @@ def sweep_panel(trips: DataFrame, prepped_max: DataFrame, grid: DataFrame, cfg:
         F.row_number().over(Window.orderBy(F.desc("n_rows"), F.asc("series"))).alias("volume_rank"),
     )  # <= max_top rows: the one unpartitioned window is bounded by config
     s, t, y = cfg.series_column, cfg.time_column, cfg.target_column
-    base = prepped_max.select(s, t, y).join(F.broadcast(ranks), s)
+    base = prepped_max.select(s, t, y).join(F.broadcast(ranks) if few_keys(max_top) else ranks, s)
     kept = base.select(
         F.col(s).alias("series"),
         F.col(t).alias("date"),
