@@ -117,3 +117,23 @@ def test_run_records_and_log(spark, tmp_path):
     sweep.write_run_log(rec, root)
     sweep.write_run_log(rec, root)  # append
     assert spark.read.parquet(root).count() == 2
+
+
+def test_sweep_test_length_axis(spark):
+    from panelcast.operators import panel as P
+    from panelcast.sources import adapters
+
+    trips, w, m, cfg = adapters.adapter_inputs(spark, "/root/testdata/sf0.001", "nation")
+    prepped = P.build_tables(trips, w, m, cfg)
+    grid = sweep.doe_grid(spark, {"data.splits.test_length": [7, 14]}, cfg)
+    sp = sweep.sweep_panel(trips, prepped, grid, cfg)
+    days = {
+        r["variant"]: r["n"]
+        for r in sp.where("splits = 'TEST'").groupBy("variant").agg(F.countDistinct("date").alias("n")).collect()
+    }
+    assert days == {"test_length7": 7, "test_length14": 14}
+    preds = sweep.sweep_naive(sp, cfg, {"seasonal_naive": 7}, cfg.horizon)
+    ranked = {r["variant"]: r for r in sweep.sweep_scores(sp, preds).collect()}
+    assert set(ranked) == {"test_length7", "test_length14"}
+    assert ranked["test_length7"]["n_points"] < ranked["test_length14"]["n_points"]
+    assert all(r["winner"] for r in ranked.values())
