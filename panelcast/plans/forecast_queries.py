@@ -356,3 +356,23 @@ def q_run_log(spark, sf_dir):
 def q_sweep(spark, sf_dir):
     _, ranked = _sweep_ranked(spark, sf_dir)
     return rounded(ranked)
+
+
+# AG15 + AG16 in one aggregation (grouping sets): overall rows have series NULL.
+@register(
+    "eval_grouping_sets",
+    with_panel(
+        "supplier",
+        f"""SELECT model, series, CASE WHEN GROUPING(series) = 1 THEN 'overall' ELSE 'series' END AS level,
+                   ROUND(mae, 6) AS mae, ROUND(rmse, 6) AS rmse, ROUND(smape, 6) AS smape,
+                   ROUND(quantile_loss, 6) AS quantile_loss, n_points
+            FROM (SELECT model, series, GROUPING(series) AS g, {FS.metric_exprs()}
+                  FROM preds p JOIN actual a USING (series, date)
+                  GROUP BY GROUPING SETS ((model), (model, series))) t""".replace("GROUPING(series) = 1", "g = 1"),
+        SUPPLIER,
+        extra=_two_model_ctes(SUPPLIER),
+    ),
+)
+def q_eval_sets(spark, sf_dir):
+    prepped = prepped_for(spark, sf_dir, "supplier", SUPPLIER)
+    return rounded(score.evaluate_both(zero_shot_predictions(prepped, SUPPLIER), actuals(prepped, SUPPLIER)))
