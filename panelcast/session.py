@@ -29,6 +29,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -48,3 +49,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for written intermediate tables)."""
     return "/".join([ensure_checkpoint_dir(spark).rstrip("/"), *parts])
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Distribute this package to the Python workers (``addPyFile`` of a zip),
+    so Arrow-batched tasks can import it wherever the driver was started."""
+    import shutil
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="panelcast-pkg-")  # driver-side staging; Spark ships the file
+    archive = shutil.make_archive(
+        os.path.join(out_dir, "panelcast"), "zip", root_dir=os.path.dirname(pkg_dir), base_dir="panelcast"
+    )
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
