@@ -168,7 +168,7 @@ def estimate(counts: DataFrame) -> DataFrame:
     tables = {ORDER: counts}
     for k in range(ORDER - 1, 0, -1):
         mask = (1 << (SYMBOL_BITS * k)) - 1
-        tables[k] = tables[k + 1].groupBy("lang", F.col("key").bitwiseAND(mask).alias("key")).agg(F.count("*").alias("a"))
+        tables[k] = written(tables[k + 1].groupBy("lang", F.col("key").bitwiseAND(mask).alias("key")).agg(F.count("*").alias("a")), f"order{k}")
     lower = None
     for k in range(1, ORDER + 1):
         a = tables[k].withColumn("ctx", F.shiftright("key", SYMBOL_BITS))
@@ -188,7 +188,7 @@ def estimate(counts: DataFrame) -> DataFrame:
             mask = (1 << (SYMBOL_BITS * (k - 1))) - 1
             x = x.select("lang", "key", "a", own.alias("own"), gamma.alias("gamma"), F.col("key").bitwiseAND(mask).alias("low"))
             p = x.join(lower, ["lang", "low"]).withColumn("p", F.col("own") + F.col("gamma") * F.col("p_low"))
-            lower = p.select("lang", F.col("key").alias("low"), F.col("p").alias("p_low"))
+            lower = written(p.select("lang", F.col("key").alias("low"), F.col("p").alias("p_low")), f"p{k}") if k < ORDER else None
     return p.select("lang", "key", "a", F.log("p").alias("logp"))
 
 
