@@ -41,12 +41,27 @@ pre AS (SELECT o.doc_id, g, n FROM o JOIN n USING (doc_id) WHERE p <= n - (85 *
 cand AS (
   SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM pre x JOIN pre y USING (g)
   WHERE x.doc_id < y.doc_id AND 100 * least(x.n, y.n) >= 85 * greatest(x.n, y.n)),
-both AS (
+ov AS (
   SELECT a, b, count(*) AS i FROM cand JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b AND y.g = x.g GROUP BY a, b),
-link AS (SELECT a, b FROM both JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * i >= 85 * (na.n + nb.n - i)),
+link AS (SELECT a, b FROM ov JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * i >= 85 * (na.n + nb.n - i)),
 e AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
 reach(x, y) AS (SELECT a, b FROM e UNION SELECT x, e.b FROM reach JOIN e ON reach.y = e.a),
 c AS (SELECT x AS doc_id, least(x, min(y)) AS c FROM reach GROUP BY x)
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(c, doc_id) AS component_id, doc_id = coalesce(c, doc_id) AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
 """
+
+ORACLE["op6_url_filter"] = r"""
+WITH p AS (
+  SELECT page_id, coalesce(CASE WHEN contains(url, '://') THEN regexp_extract(url, '^(?s:.*?)://([^?#]*)', 1) END, '') AS rest
+  FROM pages),
+h AS (
+  SELECT page_id, translate(split_part(rest, '/', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    substr(rest, length(split_part(rest, '/', 1)) + 1) AS path FROM p),
+r(rule, rhost, rpath, v) AS (VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
+  ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
+m AS (
+  SELECT page_id, host, path, max_by(rule, length(rule)) AS rule, max_by(v, length(rule)) AS v
+  FROM h LEFT JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY ALL)
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM m
+"""

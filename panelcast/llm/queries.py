@@ -7,17 +7,49 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, ngram_quality, secrets, winnowing
+from . import minhash, nbest, ngram_quality, quotes, random_indexing, secrets, token_count, toxicity, url_filter, winnowing
 from .common import table
 from .oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: The rules of operator 6's contract: (verdict, host, path).
+URL_RULES = (
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+)
+
+
+def op1_nbest_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nbest.report(table(spark, sf_dir, "documents"))
+
 
 def op2_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_quality.score(table(spark, sf_dir, "documents"))
 
 
+def op3_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link(table(spark, sf_dir, "conversations"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return random_indexing.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op7_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count(table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
@@ -31,7 +63,10 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op2_ngram_quality, op8_secret_scan, op9_decontamination, op10_minhash)
+    found = (
+        op1_nbest_encoding, op2_ngram_quality, op3_quote_linking, op4_toxicity, op5_quality,
+        op6_url_filter, op7_token_count, op8_secret_scan, op9_decontamination, op10_minhash,
+    )
     return {f.__name__: f for f in found}
 
 
