@@ -1,22 +1,56 @@
-"""A corpus preparation pipeline over ``documents``: each stage is written as Parquet and read again as the next one's input."""
+"""A corpus preparation pipeline over ``documents``: each stage is written as Parquet and read again as the next one's input.
+
+Every stage but the last takes and returns the columns of ``documents``; the last returns the encoding of what is left.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import ngram_quality
+from panelcast.llm import minhash, nbest, ngram_quality, secrets, winnowing
 from panelcast.llm.common import prepare, table, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or lie outside their language's perplexity band go."""
+    prepare(spark)
     return ngram_quality.filter_documents(docs)
 
 
-STAGES = [("quality", quality)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies (five-word shingles, similarity 0.8 or more) the document with the least id stays."""
+    prepare(spark)
+    return minhash.deduplicate(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a twentieth or more of their words in benchmark passages go."""
+    prepare(spark)
+    return winnowing.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are replaced by a mark."""
+    prepare(spark)
+    return secrets.redact(docs)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The N best segmentations of what is left: token counts, scores, digests of the ids, and the round trip."""
+    prepare(spark)
+    return nbest.report(docs)
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("near_dedup", near_duplicates),
+    ("decontamination", decontamination),
+    ("secret_scan", secret_scan),
+    ("encoding", encoding),
+]
 
-#: Perplexity needs an estimated language model: SQL can't express the first stage. The tests compare run() with a
-#: brute-force version.
+#: The first stage estimates a language model and the last searches a piece lattice: SQL can't express them. The tests
+#: compare run() with a brute-force version.
 ORACLE_SQL = None
 
 
