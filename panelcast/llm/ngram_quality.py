@@ -226,14 +226,14 @@ def fit(docs: DataFrame, bits: int = SLOT_BITS) -> Model:
     by_slot = grams.groupBy(slot("lang", "key").alias("slot")).agg(
         (F.sum(F.col("a") * F.col("logp")) / F.sum("a")).cast("float").alias("logp")
     )
-    got = by_slot.toPandas()
+    got = by_slot.toArrow()
     band = (
         grams.groupBy("lang")
         .agg(*[F.sum(e).alias(n) for n, e in {"w": F.col("a"), "s": F.col("a") * F.col("logp"), "q": F.col("a") * F.col("logp") ** 2}.items()])
-        .toPandas()
+        .collect()
     )
-    bands = {r.lang: (-r.s / r.w, float(np.sqrt(max(r.q / r.w - (r.s / r.w) ** 2, 0.0)))) for r in band.itertuples()}
-    return Model(got["slot"].to_numpy(np.int32), got["logp"].to_numpy(np.float32), bands, bits)
+    bands = {r["lang"]: (-r["s"] / r["w"], float(np.sqrt(max(r["q"] / r["w"] - (r["s"] / r["w"]) ** 2, 0.0)))) for r in band}
+    return Model(got.column("slot").to_numpy(), got.column("logp").to_numpy(), bands, bits)
 
 
 def _slot_series(lang: pd.Series, key: pd.Series, bits: int) -> pd.Series:
