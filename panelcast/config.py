@@ -9,6 +9,7 @@ are the top-N cut, the date window, the split lengths and the covariate roles.
 from __future__ import annotations
 
 import dataclasses
+import datetime
 import hashlib
 import json
 from dataclasses import dataclass, field
@@ -84,18 +85,23 @@ class PanelConfig:
             raise ValueError("split lengths must be >= 0")
         if self.context_len <= 0:
             raise ValueError("context_len must be > 0")
+        self.window()
 
     def weather_years(self) -> tuple[str, str]:
-        """Year-shard window: the year of each date bound, else the default."""
-
-        def year(d: str | None, default: str) -> str:
-            return d[:4] if d and len(d) >= 4 and d[:4].isdigit() else default
-
+        """First and last year shard to read: those of the date window where it is bounded."""
+        first, last = self.window()
         return (
-            year(self.date_start, self.weather.default_start_year),
-            year(self.date_end, self.weather.default_end_year),
+            f"{first.year:04d}" if first else self.weather.default_start_year,
+            f"{last.year:04d}" if last else self.weather.default_end_year,
         )
 
+    def window(self) -> tuple[datetime.date | None, datetime.date | None]:
+        """The date window as dates; a bound that is no ISO date raises ValueError."""
+        first, last = (datetime.date.fromisoformat(d) if d else None for d in (self.date_start, self.date_end))
+        if first and last and first > last:
+            raise ValueError(f"date window is empty: {first} to {last}")
+        return first, last
+
     def replace(self, **changes) -> PanelConfig:
         return dataclasses.replace(self, **changes)
 

@@ -43,8 +43,8 @@ def rank_models(metrics: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 # -- CM2 --------------------------------------------------------------------
 def parity_warnings(ranking: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """One row per group whose models were scored over differing positive,
-    finite point counts, with a message listing ``model=n`` in rank order."""
+    """One row per group whose models have unequal (positive, finite) numbers of
+    scored points; the message names each model and its number by rank."""
     n = F.col("n_points")
     valid = ranking.where(n.isNotNull() & ~F.isnan(n) & (F.abs(n) != F.lit(float("inf"))) & (n > 0))
     g = valid.groupBy(*by).agg(
@@ -52,9 +52,5 @@ def parity_warnings(ranking: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("rank", "model", n.cast("long").alias("n")))).alias("_rows"),
     )
     detail = F.array_join(F.transform("_rows", lambda r: F.concat(r["model"], F.lit("="), r["n"].cast("string"))), ", ")
-    msg = F.concat(
-        F.lit("models scored over differing point counts ("),
-        detail,
-        F.lit("); ranked metrics span different denominators and are not directly comparable"),
-    )
+    msg = F.concat(F.lit("unequal coverage, compare ranks with care: "), detail, F.lit(" scored points"))
     return g.where(F.col("distinct_counts") > 1).select(*by, "distinct_counts", msg.alias("warning"))

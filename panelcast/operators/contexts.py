@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..config import QUANTILE_COLUMNS, TEST, PanelConfig
 from ..functions.scalar import last_n
+from ..sources.scans import scan_panel
 
 
 # -- WN3 --------------------------------------------------------------------
@@ -28,7 +29,7 @@ def series_contexts(
     non-TEST rows; ``keys`` (e.g. a sweep variant) partition the contexts too."""
     n = context_len or cfg.context_len
     s, t, y = cfg.series_column, cfg.time_column, cfg.target_column
-    hist = prepped.where(F.col("splits") != F.lit(TEST)).select(
+    hist = scan_panel(prepped, cfg, keys).where(F.col("splits") != F.lit(TEST)).select(
         *keys, F.col(s).alias("series"), F.col(t).alias("date"), F.col(y).cast("double").alias("y")
     )
     w = Window.partitionBy(*keys, "series").orderBy(F.desc("date"))

@@ -10,10 +10,12 @@ Training rows are (series, target day d, step h) with
   label y_d. No join: one window pass per step over series-partitioned data.
 
 The model is fitted on targets in TRAIN; the VALIDATE window (the last part
-of train by date -- TEST is never read) gives residual percentiles per step,
-which turn the point forecast into q10..q90. The forecast is emitted as the
-nested ``predicted_<target>`` struct and flattened by level (PR16).
-The fitted pipeline is saved and re-loaded by path (the model reference).
+of train by date -- TEST is never read) gives residual quantiles per step (exact,
+by ranges, so that no task holds all residuals of a step), which turn the point
+forecast into q10..q90. Missing features take the training mean beside a flag.
+The forecast is emitted as the nested ``predicted_<target>`` struct and flattened
+by level (PR16). Pipeline, means and residual quantiles are stored below one path,
+the model reference that ``GlobalModel.load`` takes.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ...config import QUANTILES, TEST, VALIDATE, PanelConfig
@@ -65,14 +67,31 @@ def feature_columns(cfg: PanelConfig) -> list[str]:
     ]
 
 
-def _flat(df: DataFrame, cfg: PanelConfig) -> DataFrame:
-    cols = feature_columns(cfg)
-    return df.select(
-        "*", *[F.coalesce(F.col(c).cast("double"), F.lit(-1.0)).alias("f_" + c.replace(".", "_")) for c in cols]
-    )
+def _flat(df: DataFrame, cfg: PanelConfig, keep: list[str]) -> DataFrame:
+    """``keep`` and the features as ``f_*`` columns (NULL where missing), nothing else."""
+    names = {c: "f_" + c.replace(".", "_") for c in feature_columns(cfg)}
+    return df.select(*keep, *[F.col(c).cast("double").alias(n) for c, n in names.items()])
+
+
+def feature_names(cfg: PanelConfig) -> list[str]:
+    return ["f_" + c.replace(".", "_") for c in feature_columns(cfg)]
+
 
+def feature_means(train: DataFrame, cfg: PanelConfig) -> dict[str, float]:
+    """Mean of each feature over the training rows (0 where a feature is never known): one small row."""
+    row = train.agg(*[F.avg(c).alias(c) for c in feature_names(cfg)]).first()
+    return {c: float(row[c]) if row[c] is not None else 0.0 for c in feature_names(cfg)}
 
-def training_rows(prepped: DataFrame, cfg: PanelConfig, context_window: int = 28) -> DataFrame:
+
+def impute(df: DataFrame, means: dict[str, float]) -> DataFrame:
+    """Missing features take the training mean, and a flag says so: no legal value stands for 'missing'."""
+    flags = [F.col(c).isNull().cast("double").alias(f"miss_{c}") for c in means]
+    rest = [c for c in df.columns if c not in means]
+    return df.select(*rest, *[F.coalesce(F.col(c), F.lit(m)).alias(c) for c, m in means.items()], *flags)
+
+
+def training_rows(prepped: DataFrame, cfg: PanelConfig, context_window: int = 28, keys: bool = False) -> DataFrame:
+    """splits, label, h and the features (and with ``keys`` the series and day) of every usable (series, day, step)."""
     s, t, y = cfg.series_column, cfg.time_column, cfg.target_column
     non_test = prepped.where(F.col("splits") != F.lit(TEST))
     base = non_test.select(
@@ -86,32 +105,79 @@ def training_rows(prepped: DataFrame, cfg: PanelConfig, context_window: int = 28
     keep = [c for c in shifted.columns if c != "_steps"]
     rows = shifted.select(*keep, F.explode("_steps").alias("_st")).where(F.col("_st.o").isNotNull())
     rows = rows.select(*keep, F.col("_st.h").cast("double").alias("h"), F.col("_st.o").alias("origin"))
-    return _flat(rows, cfg)
+    return _flat(rows, cfg, [*([s, t] if keys else []), "splits", "label", "h"])
+
+
+class GlobalModel:
+    """A fitted pipeline, the training means of its features, and its residual quantiles, all stored below one path: the
+    path is the reference that ``load`` takes in any later session."""
+
+    def __init__(self, pipeline: PipelineModel, means: dict[str, float], resid: DataFrame, path: str):
+        self.pipeline, self.means, self.resid, self.path = pipeline, means, resid, path
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> GlobalModel:
+        means = {r["feature"]: r["mean"] for r in spark.read.parquet(f"{path}/means").collect()}  # a row per feature
+        return cls(PipelineModel.load(f"{path}/pipeline"), means, spark.read.parquet(f"{path}/residuals"), path)
+
+    def predict(self, rows: DataFrame) -> DataFrame:
+        return self.pipeline.transform(impute(rows, self.means))
+
+
+def residual_quantiles(resid: DataFrame, bins: int = 1024) -> DataFrame:
+    """(h, resid_q): exact quantiles of ``r`` per step without one task holding all residuals of a step.
+
+    Residuals are counted in ranges of their step's span; the few ranges that hold a wanted rank are then sorted and picked
+    from. A range that holds many equal values is counted by value.
+    """
+    span = resid.groupBy("h").agg(F.min("r").alias("lo"), F.max("r").alias("hi"), F.count("*").alias("m"))
+    width = (F.col("hi") - F.col("lo")) / bins
+    bin_of = F.when(width > 0, F.least(F.floor((F.col("r") - F.col("lo")) / width), F.lit(bins - 1))).otherwise(F.lit(0))
+    placed = resid.join(F.broadcast(span), "h").withColumn("bin", bin_of)  # a row per step
+    values = placed.groupBy("h", "m", "bin", "r").agg(F.count("*").alias("c"))
+    sizes = values.groupBy("h", "m", "bin").agg(F.sum("c").alias("size"))
+    before = F.sum("size").over(Window.partitionBy("h").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.withColumn("before", F.coalesce(before, F.lit(0)))  # at most ``bins`` rows per step
+    # position (m - 1) * q, between the values of rank floor and floor + 1 (from 0)
+    wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(q)).alias("q")) for i, q in enumerate(QUANTILES)])
+    ranks = sizes.select("h", "m", "bin", "size", "before", F.explode(wanted).alias("w"))
+    pos = (F.col("m") - 1) * F.col("w.q")
+    lo = F.floor(pos)
+    ranks = ranks.select("h", "bin", "before", "size", F.col("w.i").alias("i"), (pos - lo).alias("frac"), lo.alias("lo"), F.least(lo + 1, F.col("m") - 1).alias("hi"))
+    inside = lambda k: (F.col(k) >= F.col("before")) & (F.col(k) < F.col("before") + F.col("size"))
+    ranks = ranks.where(inside("lo") | inside("hi"))
+    up_to = F.sum("c").over(Window.partitionBy("h", "bin").orderBy("r"))
+    chosen = values.join(F.broadcast(ranks.select("h", "bin").distinct()), ["h", "bin"], "left_semi").withColumn("upto", up_to)
+    hit = chosen.join(F.broadcast(ranks), ["h", "bin"])  # at most two ranges per step and level
+    first, last = F.col("before") + F.col("upto") - F.col("c"), F.col("before") + F.col("upto") - 1
+    part = lambda k, w: F.sum(F.when((F.col(k) >= first) & (F.col(k) <= last), F.col("r") * w))
+    q = hit.groupBy("h", "i").agg((part("lo", 1 - F.col("frac")) + part("hi", F.col("frac"))).alias("v"))
+    return q.groupBy("h").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda x: x["v"]).alias("resid_q"))
 
 
 def fit_global(prepped: DataFrame, cfg: PanelConfig, model_path: str, max_iter: int = 20, max_depth: int = 5,
-               context_window: int = 28, seed: int = 7) -> tuple[PipelineModel, DataFrame]:
-    """Fit on TRAIN targets; returns (model, residual quantiles per step from VALIDATE)."""
+               context_window: int = 28, seed: int = 7) -> GlobalModel:
+    """Fit on TRAIN targets, residual quantiles per step from VALIDATE; stored below ``model_path`` and loaded from it."""
     from ...sources.tables import materialize
 
-    rows = materialize(training_rows(prepped, cfg, context_window), "gbt-train")
-    feats = ["f_" + c.replace(".", "_") for c in feature_columns(cfg)]
+    spark = prepped.sparkSession
+    raw = materialize(training_rows(prepped, cfg, context_window), "gbt-train")
+    means = feature_means(raw.where(F.col("splits") != F.lit(VALIDATE)), cfg)
+    rows = impute(raw, means)
+    feats = [*means, *[f"miss_{c}" for c in means]]
     pipe = Pipeline(
         stages=[
             VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep"),
             GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth, seed=seed),
         ]
     )
-    train = rows.where(F.col("splits") != F.lit(VALIDATE)).persist()
-    model = pipe.fit(train)
-    model.write().overwrite().save(model_path)
-    train.unpersist()
+    model = pipe.fit(rows.where(F.col("splits") != F.lit(VALIDATE)))
+    model.write().overwrite().save(f"{model_path}/pipeline")
+    spark.createDataFrame(list(means.items()), "feature string, mean double").write.mode("overwrite").parquet(f"{model_path}/means")
     valid = model.transform(rows.where(F.col("splits") == F.lit(VALIDATE)))
-    resid = valid.groupBy("h").agg(
-        F.percentile(F.col("label") - F.col("prediction"), list(QUANTILES)).alias("resid_q")
-    )
-    resid = materialize(resid, "gbt-resid")
-    return PipelineModel.load(model_path), resid
+    resid = materialize(valid.select("h", (F.col("label") - F.col("prediction")).alias("r")).where("r IS NOT NULL"), "gbt-residuals")
+    residual_quantiles(resid).write.mode("overwrite").parquet(f"{model_path}/residuals")
+    return GlobalModel.load(spark, model_path)
 
 
 def forecast_rows(prepped: DataFrame, cfg: PanelConfig, context_window: int = 28) -> DataFrame:
@@ -127,14 +193,14 @@ def forecast_rows(prepped: DataFrame, cfg: PanelConfig, context_window: int = 28
         s, "origin", F.col("_h").cast("double").alias("h"), F.date_add("origin_date", F.col("_h")).alias(t)
     )
     future = prepped.select(s, t, *_known(cfg))
-    return _flat(steps.join(future, [s, t], "left"), cfg)
+    return _flat(steps.join(future, [s, t], "left"), cfg, [s, t, "h"])
 
 
-def forecast_global(model: PipelineModel, resid: DataFrame, prepped: DataFrame, cfg: PanelConfig,
+def forecast_global(model: GlobalModel, prepped: DataFrame, cfg: PanelConfig,
                     model_name: str = "global_gbt", context_window: int = 28) -> DataFrame:
     s, t, y = cfg.series_column, cfg.time_column, cfg.target_column
-    pred = model.transform(forecast_rows(prepped, cfg, context_window))
-    q = pred.join(F.broadcast(resid), "h", "left")  # one row per step: bounded by the horizon
+    pred = model.predict(forecast_rows(prepped, cfg, context_window))
+    q = pred.join(F.broadcast(model.resid), "h", "left")  # one row per step: bounded by the horizon
     levels = F.array(*[F.lit(v) for v in QUANTILES])
     preds = F.transform(
         F.coalesce(F.col("resid_q"), F.array(*[F.lit(0.0) for _ in QUANTILES])), lambda r: F.col("prediction") + r

@@ -24,10 +24,11 @@ the step), then Gaussian quantiles (PR14/PR15) and the step rank (WN2).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -132,10 +133,10 @@ def _solve_beta(k: int, ridge: float):
 
 def select_ar(g: np.ndarray, b: np.ndarray, rr: float, m: int, max_p: int) -> tuple[np.ndarray, float]:
     """AR order by AIC over p = 0..max_p from one lag Gram (leading blocks)."""
-    if m <= max_p + 1:
-        return np.zeros(0), rr / m if m > 0 else float("nan")
+    if m <= 0:
+        return np.zeros(0), float("nan")
     best = (m * np.log(max(rr, 1e-12) / m), np.zeros(0), rr)
-    for p in range(1, max_p + 1):
+    for p in range(1, min(max_p, m - 2) + 1):  # every order that leaves a degree of freedom
         gp, bp = g[:p, :p], b[:p]
         try:
             phi = np.linalg.solve(gp + np.eye(p) * 1e-9 * max(np.trace(gp) / p, 1.0), bp)
@@ -179,20 +180,26 @@ def _solve_ar(max_p: int):
     return run
 
 
+def load_xreg(spark: SparkSession, path: str) -> DataFrame:
+    """The model table that ``fit_xreg`` stored under ``path``: its reference."""
+    return spark.read.parquet(path)
+
+
 def fit_xreg(
-    train: DataFrame, cfg: PanelConfig, regressors=None, ridge: float = RIDGE, max_p: int = MAX_P
+    train: DataFrame, cfg: PanelConfig, regressors=None, ridge: float = RIDGE, max_p: int = MAX_P, model_path: str | None = None
 ) -> DataFrame:
     """Model table: series, last_date, n, mu, beta, phi, sigma, last_resid,
-    regressors -- one row per series, written once to the shared folder."""
+    regressors -- one row per series, written once, to ``model_path`` where one
+    is given (the reference for ``load_xreg``) and else to the shared folder."""
     from ...sources.tables import materialize
 
     regs = _regressors(cfg, regressors)
     cols = [*regs, "_holiday"]
     k = len(cols) + 1
     base = _feature_frame(train, cfg, regs).where(F.col("y").isNotNull())
-    by_series = Window.partitionBy("series")
-    feats = base.withColumn("mu", F.array(*[F.coalesce(F.avg(c).over(by_series), F.lit(0.0)) for c in cols]))
-    feats = feats.withColumn("x", _x(cols))
+    # means by a partial aggregation and a join: the panel's rows are not sorted by series for them
+    means = base.groupBy("series").agg(F.array(*[F.coalesce(F.avg(c), F.lit(0.0)) for c in cols]).alias("mu"))
+    feats = base.join(means, "series").withColumn("x", _x(cols))
 
     gram = feats.groupBy("series").agg(
         *_gram_aggs("x", "y", k, "reg"), F.max("mu").alias("mu"), F.max("date").alias("last_date")
@@ -216,7 +223,10 @@ def fit_xreg(
     )
     phi = ar.mapInPandas(_solve_ar(max_p), AR_SCHEMA)
     model = beta.join(phi, "series").withColumn("regressors", F.array(*[F.lit(c) for c in regs]))
-    return materialize(model, "xreg-model")
+    if model_path is None:
+        return materialize(model, "xreg-model")
+    model.write.mode("overwrite").parquet(model_path)
+    return load_xreg(train.sparkSession, model_path)
 
 
 PATH_SCHEMA = T.StructType(
@@ -259,10 +269,15 @@ def _paths(horizon: int):
 
 
 def forecast_xreg_raw(
-    model: DataFrame, future: DataFrame, cfg: PanelConfig, horizon: int | None = None, regressors=None
+    model: DataFrame, future: DataFrame, cfg: PanelConfig, horizon: int | None = None, regressors=None,
+    confidence: float = 0.9,
 ) -> DataFrame:
-    """ML.FORECAST-shaped rows: series, forecast_timestamp, forecast_value, standard_error.
+    """Point forecasts with their uncertainty: series, forecast_timestamp, forecast_value, standard_error,
+    confidence_level and the bounds of the central interval of that probability.
     ``regressors`` must be the list the model was fitted with (default: roles)."""
+    if not 0 < confidence < 1:
+        raise ValueError(f"confidence must lie between 0 and 1: {confidence}")
+    z = NormalDist().inv_cdf((1 + confidence) / 2)
     h = horizon or cfg.horizon
     reg_names = _regressors(cfg, regressors)
     cols = [*reg_names, "_holiday"]
@@ -274,12 +289,19 @@ def forecast_xreg_raw(
     fut = _feature_frame(future, cfg, reg_names).drop("y")
     joined = steps.join(fut, ["series", "date"], "left")  # JN10
     x = _x(cols)
-    return joined.select(
+    out = joined.select(
         "series",
         F.col("date").cast("timestamp_ntz").alias("forecast_timestamp"),
         (_dot(x, F.col("beta")) + F.col("e_path")[F.col("_i")]).alias("forecast_value"),
         F.col("se_path")[F.col("_i")].alias("standard_error"),
     )
+    half = F.lit(z) * F.col("standard_error")
+    return out.select(
+        "*",
+        F.lit(confidence).alias("confidence_level"),
+        (F.col("forecast_value") - half).alias("prediction_interval_lower_bound"),
+        (F.col("forecast_value") + half).alias("prediction_interval_upper_bound"),
+    )
 
 
 def forecast_xreg(

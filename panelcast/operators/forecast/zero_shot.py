@@ -13,6 +13,7 @@ FC3 ``normalize_contexts`` / ``fix_quantile_crossing``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -80,25 +81,25 @@ def seasonal_naive_models(
     )
     cap = [horizon_col] if horizon_col else []
     base = contexts.where(F.col("n") > 0).select(*keys, *cap, "series", "context", "n", "last_date", spreads.alias("_sp"))
-    steps = base.select(*keys, *cap, "series", "context", "n", "last_date", "_sp", F.explode(combos).alias("_c")).select(
-        *keys, *cap, "series", "context", "n", "last_date", "_sp", "_c.model", "_c.h", "_c._lag", "_c._li"
-    )
-    if horizon_col:
-        steps = steps.where(F.col("h") <= F.col(horizon_col))
-    enough = n >= F.col("_lag")
-    point = F.when(enough, F.element_at(ctx, n - F.col("_lag") + F.col("h"))).otherwise(F.element_at(ctx, n))
-    steps = steps.withColumn("forecast", point.cast("double"))
+    zero = F.array(*[F.lit(0.0) for _ in QUANTILES])
+
+    def step(c):
+        # all of one step, so that the explode carries scalars and never the context
+        enough = n >= c["_lag"]
+        point = F.element_at(ctx, F.when(enough, n - c["_lag"] + c["h"]).otherwise(n)).cast("double")
+        spread = F.when(enough, F.element_at(F.col("_sp"), c["_li"] + 1)).otherwise(zero)
+        return F.struct(c["model"].alias("model"), c["h"].alias("h"), point.alias("point"), spread.alias("spread"))
+
+    wanted = F.filter(combos, lambda c: c["h"] <= F.col(horizon_col)) if horizon_col else combos
+    steps = base.select(*keys, "series", "last_date", F.explode(F.transform(wanted, step)).alias("_s"))
     return steps.select(
         *keys,
         "series",
-        F.date_add("last_date", F.col("h")).alias("date"),
-        F.col("h").cast("int").alias("horizon_step"),
-        "forecast",
-        *[
-            (F.col("forecast") + F.when(enough, F.col("_sp")[F.col("_li")][i]).otherwise(F.lit(0.0))).alias(c)
-            for i, c in enumerate(QUANTILE_COLUMNS)
-        ],
-        F.col("model").cast("string").alias("model"),
+        F.date_add("last_date", F.col("_s.h")).alias("date"),
+        F.col("_s.h").cast("int").alias("horizon_step"),
+        F.col("_s.point").alias("forecast"),
+        *[(F.col("_s.point") + F.col("_s.spread")[i]).alias(c) for i, c in enumerate(QUANTILE_COLUMNS)],
+        F.col("_s.model").cast("string").alias("model"),
     )
 
 
@@ -148,38 +149,43 @@ def seasonal_naive_predictor(period: int = 7) -> Predictor:
     def predict(inputs: list[np.ndarray], horizon: int) -> tuple[np.ndarray, np.ndarray]:
         point = np.zeros((len(inputs), horizon))
         quant = np.zeros((len(inputs), horizon, 10))
+        steps = np.arange(1, horizon + 1)
+        lags = -(-steps // period) * period
+        by_length: dict[int, list[int]] = {}
         for i, ctx in enumerate(inputs):
-            ctx = np.asarray(ctx, dtype=float)
-            n = len(ctx)
-            for h in range(1, horizon + 1):
-                lag = -(-h // period) * period
+            by_length.setdefault(len(ctx), []).append(i)
+        for n, at in by_length.items():  # series of one length together, quantiles once per lag
+            x = np.stack([np.asarray(inputs[i], dtype=float) for i in at])
+            for lag in np.unique(lags):
+                h = steps[lags == lag]
                 if n >= lag:
-                    f = ctx[n - lag + h - 1]
-                    d = ctx[lag:] - ctx[:-lag] if n > lag else np.array([])
-                    spread = np.quantile(d, DECILES) if len(d) else np.zeros(9)
+                    f = x[:, n - lag + h - 1]
                 else:
-                    f = ctx[-1]
-                    spread = np.zeros(9)
-                point[i, h - 1] = f
-                quant[i, h - 1, 0] = f
-                quant[i, h - 1, 1:] = f + spread
+                    f = np.repeat(x[:, -1:], len(h), axis=1)
+                spread = np.quantile(x[:, lag:] - x[:, :-lag], DECILES, axis=1).T if n > lag else np.zeros((len(at), 9))
+                point[np.ix_(at, h - 1)] = f
+                quant[np.ix_(at, h - 1, [0])] = f[:, :, None]
+                quant[np.ix_(at, h - 1, range(1, 10))] = f[:, :, None] + spread[:, None, :]
         return point, quant
 
     return predict
 
 
-# One predictor per Python worker process, built on first use.
-_PREDICTORS: dict[str, Predictor] = {}
-PREDICTOR_FACTORIES: dict[str, Callable[[], Predictor]] = {
+#: What a predictor is built by: called once per Python worker, on first use.
+Factory = Callable[[], Predictor]
+BUILT_IN: dict[str, Factory] = {
     "seasonal_naive": lambda: seasonal_naive_predictor(7),
     "last_value": lambda: seasonal_naive_predictor(1),
 }
+# By key: a fresh one for every call of forecast_contexts, so that two factories never share a predictor.
+_PREDICTORS: dict[str, Predictor] = {}
 
 
-def _predictor(name: str) -> Predictor:
-    if name not in _PREDICTORS:
-        _PREDICTORS[name] = PREDICTOR_FACTORIES[name]()
-    return _PREDICTORS[name]
+def _built(key: str, factory: Factory) -> Predictor:
+    if key not in _PREDICTORS:
+        _PREDICTORS.clear()
+        _PREDICTORS[key] = factory()
+    return _PREDICTORS[key]
 
 
 RAW_RESPONSE = T.StructType(
@@ -193,15 +199,20 @@ RAW_RESPONSE = T.StructType(
 )
 
 
-def forecast_contexts(contexts: DataFrame, horizon: int, predictor: str = "seasonal_naive") -> DataFrame:
+def forecast_contexts(contexts: DataFrame, horizon: int, predictor: str | Factory = "seasonal_naive") -> DataFrame:
     """Batched inference: one response per series (point array + channel arrays
     per step). Runs in Arrow batches; ``last_date`` (and the normalisation
-    statistics, when present) travel with the batch."""
+    statistics, when present) travel with the batch.
+
+    ``predictor``: a built-in name, or the caller's own factory, which travels
+    to the workers with the task and is called once in each."""
+    factory = BUILT_IN[predictor] if isinstance(predictor, str) else predictor
+    key = uuid.uuid4().hex
     carry = [c for c in ("ctx_mean", "ctx_std") if c in contexts.columns]
     schema = T.StructType(RAW_RESPONSE.fields + [T.StructField(c, T.DoubleType()) for c in carry])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        predict = _predictor(predictor)
+        predict = _built(key, factory)
         for pdf in batches:
             if pdf.empty:
                 continue
@@ -257,7 +268,7 @@ def pick_quantiles(raw: DataFrame) -> DataFrame:
 def zero_shot_forecast(
     contexts: DataFrame,
     cfg: PanelConfig,
-    predictor: str = "seasonal_naive",
+    predictor: str | Factory = "seasonal_naive",
     model: str | None = None,
     normalize: bool = False,
     fix_crossing: bool = True,
@@ -269,5 +280,5 @@ def zero_shot_forecast(
     picked = pick_quantiles(raw)
     if normalize:
         picked = denormalize(picked)
-    out = expand_horizon(picked, model or predictor)
+    out = expand_horizon(picked, model or (predictor if isinstance(predictor, str) else "predictor"))
     return fix_quantile_crossing(out) if fix_crossing else out

@@ -10,11 +10,13 @@ Shuffle map (what moves at scale):
                     (``explode(sequence)``) -- no join, no all-pairs.
 * ``modal_id``     aggregate on (series, id), then a per-series row_number = 1
                     planned as WindowGroupLimit (partial limit before the shuffle).
-* covariates       weather (days in the year window), modal ids (<= top_n) and
-                    metadata semi-joined to those ids: all broadcasts with a
-                    bound that does not grow with the fact table.
-* ``build_prepped`` global max day as a scalar subquery (no cross join); the
-                    daily aggregate's shuffle is reused by the subquery.
+* covariates       weather (days in the year window) is broadcast; modal ids and
+                    metadata semi-joined to those ids are left to AQE, which
+                    broadcasts them when their measured size allows.
+* ``id_counts``     events per (series, id): one pass over the facts that gives
+                    both the top-N series and the modal ids (its exchange is
+                    reused); the daily aggregate is the only other pass.
+* ``build_prepped`` global max day as a scalar subquery over the written source.
 """
 
 from __future__ import annotations
@@ -38,48 +40,47 @@ from ..schemas import MEASURES, conform, prepped_schema, source_schema
 from ..sources.scans import scan_weather
 
 SERIES = "series"  # column name of the series key in the canonical trips frame
-# Largest key list forced into a broadcast; above it AQE decides from measured size.
-BROADCAST_MAX_KEYS = 100_000
 
 
-def few_keys(n: int | None) -> bool:
-    """True when a key list is bounded by configuration and small enough to broadcast."""
-    return n is not None and n <= BROADCAST_MAX_KEYS
+def id_counts(trips: DataFrame) -> DataFrame:
+    """Events per (series, id) over the whole fact table, valid series only."""
+    return trips.where(valid_key(SERIES)).groupBy(SERIES, "start_station_id").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 # -- AG1 --------------------------------------------------------------------
-def top_series(trips: DataFrame, cfg: PanelConfig) -> DataFrame:
+def top_series(trips: DataFrame, cfg: PanelConfig, counts: DataFrame | None = None) -> DataFrame:
     """Top-N series by row count over the whole fact table (no date filter).
 
     Ties at the cut are broken by series name so every engine agrees.
     ``top_n=None`` keeps every valid series (then no top-N frame is needed
     downstream: ``restrict_to`` only drops invalid keys).
     """
-    counts = trips.where(valid_key(SERIES)).groupBy(SERIES).agg(F.count(F.lit(1)).alias("n_rows"))
+    if counts is None:
+        counts = trips.where(valid_key(SERIES)).groupBy(SERIES).agg(F.count(F.lit(1)).alias("n_rows"))
+    else:
+        counts = counts.groupBy(SERIES).agg(F.sum("cnt").alias("n_rows"))
     if cfg.top_n is None:
         return counts
     return counts.orderBy(F.desc("n_rows"), F.asc(SERIES)).limit(cfg.top_n)
 
 
 # -- JN1 --------------------------------------------------------------------
-def restrict_to(trips: DataFrame, top: DataFrame | None, top_n: int | None = None) -> DataFrame:
-    """Semi-join the facts to the top-N keys; the key list is <= top_n rows, so
-    broadcasting it is bounded by configuration (forced only up to
-    BROADCAST_MAX_KEYS). ``None``: all valid keys, no join."""
+def restrict_to(trips: DataFrame, top: DataFrame | None) -> DataFrame:
+    """Semi-join the facts to the selected keys (AQE broadcasts the keys when
+    their measured size allows). ``None``: all valid keys, no join."""
     if top is None:
         return trips.where(valid_key(SERIES))
-    keys = top.select(SERIES)
-    return trips.join(F.broadcast(keys) if top_n is None or few_keys(top_n) else keys, SERIES, "left_semi")
+    return trips.join(top.select(SERIES), SERIES, "left_semi")
 
 
-def top_or_all(trips: DataFrame, cfg: PanelConfig) -> DataFrame | None:
-    return None if cfg.top_n is None else top_series(trips, cfg)
+def top_or_all(trips: DataFrame, cfg: PanelConfig, counts: DataFrame | None = None) -> DataFrame | None:
+    return None if cfg.top_n is None else top_series(trips, cfg, counts)
 
 
 # -- AG2 (+PR2-PR5) ------------------------------------------------------------
 def daily_panel(trips: DataFrame, top: DataFrame | None, cfg: PanelConfig) -> DataFrame:
     """Per (series, day): count, mean duration, subscriber share, male ratio."""
-    facts = restrict_to(trips, top, cfg.top_n)
+    facts = restrict_to(trips, top)
     window = date_window("starttime", cfg.date_start, cfg.date_end)
     if window is not None:
         facts = facts.where(window)
@@ -133,16 +134,12 @@ def gap_fill(daily: DataFrame, cfg: PanelConfig, method: str = "window") -> Data
 
 
 # -- AG4 / WN1 ----------------------------------------------------------------
-def modal_id(trips: DataFrame, top: DataFrame | None, cfg: PanelConfig) -> DataFrame:
+def modal_id(trips: DataFrame, top: DataFrame | None, cfg: PanelConfig, counts: DataFrame | None = None) -> DataFrame:
     """Most frequent id per series (whole fact table, no date filter).
 
     Ties: smaller id first; a NULL id wins only with a strictly larger count.
     """
-    counts = (
-        restrict_to(trips, top, cfg.top_n)
-        .groupBy(SERIES, "start_station_id")
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    )
+    counts = restrict_to(id_counts(trips) if counts is None else counts, top)
     w = Window.partitionBy(SERIES).orderBy(F.desc("cnt"), F.asc_nulls_last("start_station_id"))
     ranked = counts.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
     return ranked.select(F.col(SERIES).alias(cfg.series_column), F.col("start_station_id").alias("station_id"))
@@ -165,16 +162,9 @@ def meta_for(meta: DataFrame, modal: DataFrame) -> DataFrame:
 
 
 # -- TB1 --------------------------------------------------------------------
-def bounded_broadcast(df: DataFrame, bounded: bool) -> DataFrame:
-    """Broadcast only a side whose size is bounded by configuration; otherwise
-    leave the choice to AQE, which broadcasts only below its measured-size
-    threshold and else keeps a shuffle join."""
-    return F.broadcast(df) if bounded else df
-
-
 def build_daily(trips: DataFrame, cfg: PanelConfig) -> DataFrame:
     """AG1 -> JN1 -> AG2: the daily aggregate of the selected series."""
-    return daily_panel(trips, top_or_all(trips, cfg), cfg)
+    return daily_panel(trips, top_or_all(trips, cfg, id_counts(trips)), cfg)
 
 
 def build_source(
@@ -182,19 +172,19 @@ def build_source(
 ) -> DataFrame:
     """AG1 -> JN1 -> AG2 -> TB2 -> AG4/WN1 -> JN4-JN6 -> PR9, one lazy plan."""
     s, t, y = cfg.series_column, cfg.time_column, cfg.target_column
-    top = top_or_all(trips, cfg)
+    counts = id_counts(trips)
+    top = top_or_all(trips, cfg, counts)
     series_tbl = gap_fill(daily if daily is not None else daily_panel(trips, top, cfg), cfg)
     weather = scan_weather(weather_raw, cfg)  # one row per day of the year window
-    modal = modal_id(trips, top, cfg)  # one row per series
+    modal = modal_id(trips, top, cfg, counts)  # one row per series
     dims = meta_for(meta, modal)  # at most one row per series
-    few_series = few_keys(cfg.top_n)
 
     panel = (
         series_tbl.join(F.broadcast(weather), t, "left")  # JN4
-        .join(bounded_broadcast(modal, few_series), s, "left")  # JN5
+        .join(modal, s, "left")  # JN5
     )
     panel = panel.join(  # JN6, on the id as a string on both sides
-        bounded_broadcast(dims.withColumnRenamed("station_id", "_meta_id"), few_series),
+        dims.withColumnRenamed("station_id", "_meta_id"),
         F.col("station_id").cast("string") == F.col("_meta_id"),
         "left",
     )

@@ -51,12 +51,16 @@ def series_ranges(prepped: DataFrame, cfg: PanelConfig) -> DataFrame:
 
 
 def split_boundaries(prepped: DataFrame, cfg: PanelConfig) -> DataFrame:
-    """Global last day and the first day of each split window."""
+    """Global last day, the cut dates (the last day *before* each window: TEST is
+    ``date > test_cut``) and the first day of each window."""
     mx = F.max(cfg.time_column)
+    val = cfg.test_length + cfg.validate_length
     return prepped.agg(
         mx.alias("last_day"),
+        F.date_sub(mx, cfg.test_length).alias("test_cut"),
+        F.date_sub(mx, val).alias("validate_cut"),
         F.date_sub(mx, cfg.test_length - 1).alias("test_start"),
-        F.date_sub(mx, cfg.test_length + cfg.validate_length - 1).alias("validate_start"),
+        F.date_sub(mx, val - 1).alias("validate_start"),
     )
 
 
@@ -70,7 +74,11 @@ def topk_mean_test(prepped: DataFrame, cfg: PanelConfig, k: int = 5) -> DataFram
 
 # -- JN12 -------------------------------------------------------------------
 def metadata_coverage(prepped: DataFrame, meta: DataFrame, cfg: PanelConfig) -> DataFrame:
-    """Which series have a dimension row, joined on the series *name*."""
+    """Which series have a known capacity, joined on the series *name*.
+
+    A dimension row without a capacity does not count; of several rows of one
+    name any with a capacity does.
+    """
     names = prepped.select(F.col(cfg.series_column).alias("series")).distinct()
-    keys = meta.select(F.col("station_id").alias("series")).distinct().withColumn("_m", F.lit(True))
-    return names.join(keys, "series", "left").select("series", F.coalesce("_m", F.lit(False)).alias("has_metadata"))
+    known = meta.groupBy(F.col("name").alias("series")).agg((F.count("capacity") > 0).alias("_known"))
+    return names.join(known, "series", "left").select("series", F.coalesce("_known", F.lit(False)).alias("has_metadata"))

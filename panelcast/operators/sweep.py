@@ -1,69 +1,82 @@
-"""Design-of-experiments sweep (EX1-EX5) as one Spark job keyed by variant.
-
-EX1 ``doe_grid``      cross-product of the configured axes (config values,
-                       expanded on the driver -- it is configuration, not data);
-                       no axes -> one ``base`` row.
-EX2 ``variant_label`` ``horizon7-top_n10`` / ``base``: last path segment +
-                       lower-cased alphanumeric value, as a column expression.
-EX3 ``sweep_scores``  data-side axes (top_n, horizon, test_length) become
-                       columns: series get their volume rank once (bounded by
-                       the largest top-N), panel rows are replicated only to the
-                       variants that keep them (``explode(filter(...))``), each
-                       variant gets its own global cut-off, and contexts,
-                       forecasts, actuals and metrics are all keyed by variant
-                       -- one plan, no per-variant driver loop.
-EX4/EX5 run records: ``run_records`` / ``write_run_log``.
+"""Design-of-experiments sweep (EX1-EX5).
+
+EX1 ``doe_grid``      every combination of the configured axes. An axis is a full
+                       configuration path of ``AXES``; each combination is built as
+                       a ``PanelConfig``, so its values are validated like any other.
+EX2 ``variant_label`` ``horizon7-top_n10`` / ``base``: last path segment + value.
+EX3 ``sweep_scores``  one plan for models that need no fit. Contexts are built once per distinct
+                       cut date and series, then fanned out to the variants that share it; a
+                       variant's own horizon and top-N apply to arrays and forecasts, never to
+                       copies of the panel.
+EX3 ``run_sweep``     any models, fitted ones too: each variant's panel, every model, the shared
+                       scorer. The driver loops over configuration rows only; each step is a Spark job.
+EX4/EX5 run records (parameters, overrides, metrics), the run's configuration and its predictions:
+                       ``run_records`` / ``write_run_log`` / ``write_artifacts``.
 """
 
 from __future__ import annotations
 
+import dataclasses
 import itertools
-from collections.abc import Mapping, Sequence
+import json
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import TEST, TRAIN, VALIDATE, PanelConfig
+from ..config import TEST, PanelConfig, fingerprint
 from ..functions.scalar import slug_value
 from .compare import rank_models
-from .panel import few_keys, top_series
-from .score import metric_columns
+from .panel import top_series
+from .score import metric_columns, require_overlap
+
+#: Axis path -> the configuration field it sets.
+AXES = {
+    "data.station_filter.top_n": "top_n",
+    "data.splits.test_length": "test_length",
+    "data.splits.validate_length": "validate_length",
+    "forecast.horizon": "horizon",
+    "forecast.context_len": "context_len",
+}
 
-AXES_SUPPORTED = ("top_n", "horizon", "test_length")
+Model = Callable[[DataFrame, PanelConfig], DataFrame]
 
 
 # -- EX1 + EX2 -----------------------------------------------------------------
+def variant_configs(axes: Mapping[str, Sequence], cfg: PanelConfig) -> list[tuple[list[str], list[str], PanelConfig]]:
+    """(paths, values as text, configuration) of every combination; no axes: the base configuration alone."""
+    unknown = [a for a in axes if a not in AXES]
+    if unknown:
+        raise ValueError(f"no such axis: {', '.join(unknown)}; known: {', '.join(AXES)}")
+    empty = [a for a, values in axes.items() if not list(values)]
+    if empty:
+        raise ValueError(f"axis without values: {', '.join(empty)}")
+    out = []
+    for combo in itertools.product(*axes.values()):
+        for path, v in zip(axes, combo):
+            if not (isinstance(v, int) and not isinstance(v, bool)) and not (v is None and AXES[path] == "top_n"):
+                raise ValueError(f"{path}: {v!r} is no whole number")
+        over = {AXES[path]: v for path, v in zip(axes, combo)}
+        out.append((list(axes), [str(v) for v in combo], cfg.replace(**over)))
+    return out
+
+
 def doe_grid(spark: SparkSession, axes: Mapping[str, Sequence], cfg: PanelConfig) -> DataFrame:
-    """One row per combination: variant label + the effective parameters."""
-    for a in axes:
-        if a.split(".")[-1] not in AXES_SUPPORTED:
-            raise ValueError(f"axis {a!r} is not a data-side axis ({AXES_SUPPORTED})")
-    keys = list(axes)
-    combos = list(itertools.product(*[axes[k] for k in keys])) if keys else [()]
-    rows = []
-    for combo in combos:
-        over = {k.split(".")[-1]: v for k, v in zip(keys, combo)}
-        rows.append(
-            (
-                [k for k in keys],
-                [str(v) for v in combo],
-                int(over.get("top_n", cfg.top_n)),
-                int(over.get("horizon", cfg.horizon)),
-                int(over.get("test_length", cfg.test_length)),
-            )
-        )
+    """One row per combination: variant label + the effective parameters (``top_n`` NULL: every series)."""
+    rows = [
+        (paths, values, c.top_n, c.horizon, c.test_length, c.validate_length, c.context_len)
+        for paths, values, c in variant_configs(axes, cfg)
+    ]
+    ints = ("top_n", "horizon", "test_length", "validate_length", "context_len")
     schema = T.StructType(
         [
             T.StructField("axis_paths", T.ArrayType(T.StringType())),
             T.StructField("axis_values", T.ArrayType(T.StringType())),
-            T.StructField("top_n", T.IntegerType()),
-            T.StructField("horizon", T.IntegerType()),
-            T.StructField("test_length", T.IntegerType()),
+            *[T.StructField(c, T.IntegerType()) for c in ints],
         ]
     )
-    grid = spark.createDataFrame(rows, schema)
-    return grid.withColumn("variant", variant_label("axis_paths", "axis_values"))
+    return spark.createDataFrame(rows, schema).withColumn("variant", variant_label("axis_paths", "axis_values"))
 
 
 def variant_label(paths: str, values: str) -> F.Column:
@@ -74,93 +87,183 @@ def variant_label(paths: str, values: str) -> F.Column:
     return F.when(F.size(paths) == 0, F.lit("base")).otherwise(F.array_join(parts, "-"))
 
 
-# -- EX3 --------------------------------------------------------------------
-def _variants_literal(grid_rows: list) -> F.Column:
-    return F.array(
-        *[
-            F.struct(
-                F.lit(r["variant"]).alias("variant"),
-                F.lit(int(r["top_n"])).alias("top_n"),
-                F.lit(int(r["horizon"])).alias("horizon"),
-                F.lit(int(r["test_length"])).alias("test_length"),
-            )
-            for r in grid_rows
-        ]
-    )
+# -- EX3: models without a fit, one plan ------------------------------------------
+def _keeps(v, rank: str = "volume_rank") -> F.Column:
+    return v["top_n"].isNull() | (F.col(rank) <= v["top_n"])
 
 
-def sweep_panel(trips: DataFrame, prepped_max: DataFrame, grid: DataFrame, cfg: PanelConfig) -> DataFrame:
-    """Panel rows (series, date, target) x the variants that keep the series,
-    with per-variant splits. ``prepped_max`` is the panel of the largest top-N.
+def sweep_panel(
+    trips: DataFrame, prepped_max: DataFrame, grid: DataFrame, cfg: PanelConfig, counts: DataFrame | None = None
+) -> tuple[DataFrame, list]:
+    """(panel rows with the series' volume rank; the variants as dictionaries, each with its ``cut``: the last day
+    before its TEST window).
 
-    The grid is configuration (a handful of rows) and is inlined as a literal
-    array; the series ranks are bounded by the largest top-N and broadcast.
+    ``prepped_max`` must be a panel of the grid's largest top-N (or more): the call raises and names the first series it
+    lacks, so that no variant is silently short. ``counts`` (series, n_rows) saves another pass over the facts.
     """
     rows = grid.collect()  # configuration rows, not data
-    max_top = max(int(r["top_n"]) for r in rows)
-    top = top_series(trips, cfg.replace(top_n=max_top))
-    ranks = top.select(
-        F.col("series").alias(cfg.series_column),
-        F.row_number().over(Window.orderBy(F.desc("n_rows"), F.asc("series"))).alias("volume_rank"),
-    )  # <= max_top rows: the one unpartitioned window is bounded by config
+    tops = [r["top_n"] for r in rows]
+    largest = None if None in tops else max(tops)
+    top = top_series(trips, cfg.replace(top_n=largest)) if counts is None else counts
+    if counts is not None and largest is not None:
+        top = counts.orderBy(F.desc("n_rows"), F.asc("series")).limit(largest)
     s, t, y = cfg.series_column, cfg.time_column, cfg.target_column
-    base = prepped_max.select(s, t, y).join(F.broadcast(ranks) if few_keys(max_top) else ranks, s)
-    kept = base.select(
-        F.col(s).alias("series"),
-        F.col(t).alias("date"),
-        F.col(y).cast("double").alias("y"),
-        F.explode(F.filter(_variants_literal(rows), lambda v: F.col("volume_rank") <= v["top_n"])).alias("v"),
-    ).select("series", "date", "y", "v.variant", "v.horizon", "v.test_length")
-    last = kept.groupBy("variant").agg(F.max("date").alias("_max"))  # one row per variant
-    kept = kept.join(F.broadcast(last), "variant")
-    test_cut = F.date_sub(F.col("_max"), F.col("test_length"))
-    val_cut = F.date_sub(F.col("_max"), F.col("test_length") + F.lit(cfg.validate_length))
-    splits = F.when(F.col("date") > test_cut, F.lit(TEST)).when(F.col("date") > val_cut, F.lit(VALIDATE)).otherwise(F.lit(TRAIN))
-    return kept.withColumn("splits", splits).drop("_max")
-
-
-def sweep_naive(panel: DataFrame, cfg: PanelConfig, periods: dict[str, int], max_horizon: int) -> DataFrame:
-    """Seasonal-naive models per (variant, series), each variant with its own
-    horizon (``max_horizon`` = the largest in the grid): the same context and
-    forecast operators as a single back-test, keyed by variant."""
+    panel = prepped_max.select(F.col(s).alias("series"), F.col(t).alias("date"), F.col(y).cast("double").alias("y"))
+    last = panel.groupBy("series").agg(F.max("date").alias("last"))  # one row per series
+    short = top.select("series").join(last, "series", "left_anti").orderBy("series").take(1)
+    if short:
+        raise ValueError(f"the panel lacks series {short[0]['series']!r}, which a variant of the grid keeps")
+    if largest is None:
+        ranks = top.select("series", F.lit(1).alias("volume_rank"))  # variants by rank need a bounded list
+        if any(n is not None for n in tops):
+            raise ValueError("a grid with top_n=None can't also cut by rank: run it as two sweeps")
+    else:
+        # at most the largest top-N rows: the one window without partitions is bounded by configuration
+        by_volume = Window.orderBy(F.desc("n_rows"), F.asc("series"))
+        ranks = top.select("series", F.row_number().over(by_volume).alias("volume_rank"))
+    literal = F.array(
+        *[F.struct(F.lit(r["variant"]).alias("variant"), F.lit(r["top_n"]).cast("int").alias("top_n")) for r in rows]
+    )
+    ends = last.join(ranks, "series").select("last", F.explode(F.filter(literal, lambda v: _keeps(v))).alias("v"))
+    ends = {r["variant"]: r["last"] for r in ends.groupBy("v.variant").agg(F.max("last").alias("last")).collect()}
+    variants = [{**r.asDict(), "cut": ends[r["variant"]] - _days(r["test_length"])} for r in rows]
+    return panel.join(ranks, "series"), variants
+
+
+def _days(n: int):
+    import datetime
+
+    return datetime.timedelta(days=n)
+
+
+def _variant_array(variants: list, cut: F.Column, extra=lambda v: F.lit(True)) -> F.Column:
+    """The variants (a literal: configuration) that have this cut date and keep the row's series."""
+    one = lambda v: F.struct(
+        F.lit(v["variant"]).alias("variant"), F.lit(v["top_n"]).cast("int").alias("top_n"),
+        F.lit(v["horizon"]).alias("horizon"), F.lit(v["context_len"]).alias("context_len"), F.lit(v["cut"]).alias("cut"),
+    )
+    return F.filter(F.array(*[one(v) for v in variants]), lambda v: (v["cut"] == cut) & _keeps(v) & extra(v))
+
+
+def sweep_naive(panel: DataFrame, variants: list, periods: dict[str, int]) -> DataFrame:
+    """Seasonal-naive forecasts per (variant, series), from one context per (cut date, context length, series)."""
     from .contexts import series_contexts
     from .forecast.zero_shot import seasonal_naive_models
 
-    keyed = cfg.replace(series_column="series", time_column="date", target_column="y")
-    ctx = series_contexts(panel, keyed, keys=("variant", "horizon"))
-    fc = seasonal_naive_models(ctx, max_horizon, periods, keys=("variant",), horizon_col="horizon")
-    return fc.drop("horizon")
+    cfg = PanelConfig(series_column="series", time_column="date", target_column="y")
+    out = None
+    for length in sorted({v["context_len"] for v in variants}):
+        own = [v for v in variants if v["context_len"] == length]
+        cuts = F.array(*[F.lit(c) for c in sorted({v["cut"] for v in own})])
+        hist = panel.select("series", "date", "y", "volume_rank", F.explode(F.filter(cuts, lambda c: F.col("date") <= c)).alias("cut"))
+        ctx = series_contexts(hist.withColumn("splits", F.lit("TRAIN")), cfg, length, keys=("cut", "volume_rank"))
+        fan = ctx.select("series", "context", "last_date", "n", F.explode(_variant_array(own, F.col("cut"))).alias("v"))
+        fan = fan.select("series", "context", "last_date", "n", "v.variant", "v.horizon")
+        fc = seasonal_naive_models(fan, max(v["horizon"] for v in own), periods, keys=("variant",), horizon_col="horizon")
+        out = fc if out is None else out.unionByName(fc)
+    return out
 
 
-def sweep_scores(panel: DataFrame, preds: DataFrame) -> DataFrame:
-    """Metrics per (variant, model) against each variant's own TEST rows,
+def sweep_actuals(panel: DataFrame, variants: list) -> DataFrame:
+    """(variant, series, date, actual): each variant's held-out days."""
+    first = min(v["cut"] for v in variants)
+    cuts = F.array(*[F.lit(c) for c in sorted({v["cut"] for v in variants})])
+    late = panel.where(F.col("date") > F.lit(first)).select(
+        "series", "date", "y", "volume_rank", F.explode(F.filter(cuts, lambda c: F.col("date") > c)).alias("cut")
+    )
+    held = late.select("series", "date", "y", F.explode(_variant_array(variants, F.col("cut"))).alias("v"))
+    return held.select("v.variant", "series", "date", F.col("y").alias("actual"))
+
+
+def sweep_scores(preds: DataFrame, actuals: DataFrame) -> DataFrame:
+    """Metrics per (variant, model) against each variant's own held-out days,
     then ranked within each variant (two variants never share a winner)."""
-    acts = panel.where(F.col("splits") == F.lit(TEST)).select("variant", "series", "date", F.col("y").alias("actual"))
-    j = preds.join(acts, ["variant", "series", "date"], "inner")
+    j = preds.join(actuals, ["variant", "series", "date"], "inner")
     metrics = j.groupBy("variant", "model").agg(*metric_columns())
-    return rank_models(metrics, by=("variant",))
+    return rank_models(require_overlap(metrics, preds, ("variant", "model")), by=("variant",))
+
+
+# -- EX3: any model ---------------------------------------------------------------
+def run_sweep(
+    panel_of: Callable[[PanelConfig], DataFrame], axes: Mapping[str, Sequence], cfg: PanelConfig, models: Mapping[str, Model],
+    experiment: str, root: str,
+) -> DataFrame:
+    """Every model on every variant's own panel; returns the run log of the experiment.
+
+    ``panel_of`` gives the (written) prepped panel of a configuration, ``models`` map a name to (panel, configuration) ->
+    long predictions. Predictions, configuration and records are written below ``root``.
+    """
+    from ..sources.scans import actuals
+    from .score import evaluate
+
+    for paths, values, c in variant_configs(axes, cfg):
+        prepped = panel_of(c)
+        spark = prepped.sparkSession
+        row = spark.createDataFrame([(paths, values)], "axis_paths array<string>, axis_values array<string>")
+        label = row.select(variant_label("axis_paths", "axis_values")).first()[0]
+        preds = None
+        for name, model in models.items():
+            p = model(prepped, c).withColumn("model", F.lit(name))
+            preds = p if preds is None else preds.unionByName(p)
+        preds = write_artifacts(preds, c, experiment, label, root)
+        metrics = require_overlap(evaluate(preds, actuals(prepped, c)), preds)
+        ranked = rank_models(metrics).withColumn("variant", F.lit(label))
+        grid = row.withColumn("variant", F.lit(label))
+        write_run_log(run_records(ranked, grid, experiment, c), f"{root}/runs")
+    return spark.read.option("basePath", f"{root}/runs").parquet(f"{root}/runs").where(F.col("experiment") == experiment)
 
 
 # -- EX4 / EX5 ----------------------------------------------------------------
-def run_records(ranked: DataFrame, grid: DataFrame, experiment: str) -> DataFrame:
-    """Run-record rows: run name, model, overrides map, metrics map."""
+def parameters(cfg: PanelConfig) -> dict[str, str]:
+    """The configuration as flat text pairs."""
+    out: dict[str, str] = {}
+
+    def walk(prefix: str, value) -> None:
+        if isinstance(value, dict):
+            for k, v in value.items():
+                walk(f"{prefix}.{k}" if prefix else k, v)
+        else:
+            out[prefix] = json.dumps(value, default=str)
+
+    walk("", dataclasses.asdict(cfg))
+    return out
+
+
+def run_records(ranked: DataFrame, grid: DataFrame, experiment: str, cfg: PanelConfig | None = None) -> DataFrame:
+    """Run-record rows: run name, model, overrides map, parameters map, metrics map."""
     over = F.map_from_arrays(F.col("axis_paths"), F.col("axis_values"))
     metrics = F.create_map(
         *[x for m in ("mae", "rmse", "smape", "quantile_loss", "n_points") for x in (F.lit(m), F.col(m).cast("double"))]
     )
+    pairs = [F.lit(x) for kv in (parameters(cfg) if cfg else {}).items() for x in kv]
+    params = F.create_map(*pairs) if pairs else F.lit(None).cast("map<string,string>")
     g = grid.select("variant", over.alias("overrides"))
-    return ranked.join(F.broadcast(g), "variant").select(
+    return ranked.join(F.broadcast(g), "variant").select(  # a row per variant: configuration
         F.lit(experiment).alias("experiment"),
         F.concat_ws("__", F.lit(experiment), F.col("variant"), F.col("model")).alias("run"),
         "variant",
         "model",
         "overrides",
+        params.alias("parameters"),
         metrics.alias("metrics"),
         "rank",
         "winner",
     )
 
 
+def write_artifacts(preds: DataFrame, cfg: PanelConfig, experiment: str, variant: str, root: str) -> DataFrame:
+    """Write a variant's predictions and its resolved configuration (JSON); returns the stored predictions."""
+    from ..sources.sinks import read_predictions, write_predictions
+
+    spark = preds.sparkSession
+    base = f"{root}/artifacts/{experiment}/{variant}"
+    write_predictions(preds, f"{base}/predictions")
+    payload = dataclasses.asdict(cfg)
+    text = json.dumps({"variant": variant, "fingerprint": fingerprint(payload), "config": payload}, default=str)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{base}/config")
+    return read_predictions(spark, f"{base}/predictions")
+
+
 def write_run_log(records: DataFrame, root: str) -> None:
     """Append to a Parquet run log partitioned by experiment and run."""
     records.write.mode("append").partitionBy("experiment", "run").parquet(root)

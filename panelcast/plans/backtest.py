@@ -9,23 +9,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..config import PanelConfig
+from ..config import PanelConfig, fingerprint
 from ..operators import compare, contexts, panel, score
 from ..operators.forecast import zero_shot
 from ..schemas import PREDICTIONS, conform
 from ..sources import adapters
 from ..sources.scans import actuals
-from ..sources.tables import materialize
+from ..session import shared_path
+from ..sources.tables import ensure_table, input_identity
 from .common import CONFIGS, rounded
 
 
 def prepped_for(spark: SparkSession, sf_dir: str, adapter: str = "nation", cfg: PanelConfig | None = None) -> DataFrame:
-    """The prepped panel, built once and checkpointed to the shared folder:
-    every model, the actuals and the scorer read it without recomputing the
-    fact-table plan (series x days rows, small next to the facts)."""
+    """The prepped panel over the stored source table: every model, the actuals
+    and the scorer read it without another pass over the facts. The table is
+    written once per configuration and input files (its fingerprint covers
+    both); the splits and their cut-off come from the stored table, so queries
+    read only its columns that they need."""
     cfg = cfg or CONFIGS[adapter]
+    return panel.build_prepped(source_for(spark, sf_dir, adapter, cfg), cfg)
+
+
+def source_for(spark: SparkSession, sf_dir: str, adapter: str, cfg: PanelConfig) -> DataFrame:
     trips, weather_raw, meta, _ = adapters.adapter_inputs(spark, sf_dir, adapter)
-    return materialize(panel.build_tables(trips, weather_raw, meta, cfg), f"prepped-{adapter}")
+    fp = fingerprint({"adapter": adapter, "config": cfg.source_fields(), "inputs": input_identity(trips, weather_raw, meta)}, 24)
+    path = shared_path(spark, "tables", f"source-{adapter}-{fp}")
+    table, _ = ensure_table(spark, path, fp, lambda: panel.build_source(trips, weather_raw, meta, cfg))
+    return table
+
+
+def counts_for(spark: SparkSession, sf_dir: str, adapter: str) -> DataFrame:
+    """(series, n_rows) of every valid series, stored once per input like the source table."""
+    trips, _, _, cfg = adapters.adapter_inputs(spark, sf_dir, adapter)
+    fp = fingerprint({"adapter": adapter, "counts": True, "inputs": input_identity(trips)}, 24)
+    build = lambda: panel.top_series(trips, cfg.replace(top_n=None))
+    return ensure_table(spark, shared_path(spark, "tables", f"counts-{adapter}-{fp}"), fp, build)[0]
 
 
 def zero_shot_predictions(prepped: DataFrame, cfg: PanelConfig) -> DataFrame:
@@ -37,7 +55,7 @@ def zero_shot_predictions(prepped: DataFrame, cfg: PanelConfig) -> DataFrame:
 
 
 def backtest(prepped: DataFrame, preds: DataFrame, cfg: PanelConfig) -> DataFrame:
-    metrics = score.evaluate(preds, actuals(prepped, cfg))
+    metrics = score.require_overlap(score.evaluate(preds, actuals(prepped, cfg)), preds)
     return compare.rank_models(metrics)
 
 

@@ -10,7 +10,7 @@ from ..operators.forecast import zero_shot
 from ..operators.frames import flatten_nested, horizon_rank, union_predictions
 from ..sources.scans import actuals
 from . import forecast_sql as FS
-from .backtest import prepped_for, zero_shot_predictions
+from .backtest import counts_for, prepped_for, zero_shot_predictions
 from .common import NATION, SUPPLIER, USER, rounded
 from .oracle_sql import with_panel
 from .registry import register
@@ -249,9 +249,8 @@ def q_rank(spark, sf_dir):
     with_panel(
         "nation",
         """SELECT CAST(COUNT(DISTINCT n_points) AS BIGINT) AS distinct_counts,
-                  'models scored over differing point counts (' ||
-                  string_agg(model || '=' || CAST(n_points AS VARCHAR), ', ' ORDER BY rank) ||
-                  '); ranked metrics span different denominators and are not directly comparable' AS warning
+                  'unequal coverage, compare ranks with care: ' ||
+                  string_agg(model || '=' || CAST(n_points AS VARCHAR), ', ' ORDER BY rank) || ' scored points' AS warning
            FROM rk WHERE n_points > 0 HAVING COUNT(DISTINCT n_points) > 1""",
         NATION,
         extra=_two_model_ctes(NATION, horizon_b=7) + "," + FS.metrics_cte("m", "preds") + "," + FS.rank_cte("rk", "m"),
@@ -277,8 +276,6 @@ SWEEP_AXES = {"data.station_filter.top_n": [5, 25], "forecast.horizon": [7, 14]}
 def _sweep_sql() -> str:
     import itertools
 
-    from ..operators.sweep import AXES_SUPPORTED  # noqa: F401
-
     rows = []
     for top_n, h in itertools.product(*SWEEP_AXES.values()):
         rows.append(f"('top_n{top_n}-horizon{h}', {top_n}, {h}, {NATION.test_length})")
@@ -312,12 +309,13 @@ def _sweep_ranked(spark, sf_dir):
     from ..operators import sweep
     from ..sources import adapters
 
-    prepped = prepped_for(spark, sf_dir, "nation", NATION)
+    largest = NATION.replace(top_n=max(SWEEP_AXES["data.station_filter.top_n"]))
+    prepped = prepped_for(spark, sf_dir, "nation", largest)
     grid = sweep.doe_grid(spark, SWEEP_AXES, NATION)
-    panel = sweep.sweep_panel(adapters.nation_trips(spark, sf_dir), prepped, grid, NATION)
-    max_h = max(SWEEP_AXES["forecast.horizon"])
-    preds = sweep.sweep_naive(panel, NATION, {"seasonal_naive": 7, "last_value": 1}, max_h)
-    return grid, sweep.sweep_scores(panel, preds)
+    trips = adapters.nation_trips(spark, sf_dir)
+    panel, variants = sweep.sweep_panel(trips, prepped, grid, NATION, counts_for(spark, sf_dir, "nation"))
+    preds = sweep.sweep_naive(panel, variants, {"seasonal_naive": 7, "last_value": 1})
+    return grid, sweep.sweep_scores(preds, sweep.sweep_actuals(panel, variants))
 
 
 # EX4 + EX5 + CM3: run records (overrides map, metrics map) appended to a
@@ -358,6 +356,39 @@ def q_sweep(spark, sf_dir):
     return rounded(ranked)
 
 
+# EX3 + EX4 + EX5: every model on every variant's own panel, with parameters, configuration and predictions
+# stored per run; equal to the one-plan sweep above.
+@register(
+    "sweep_artifacts",
+    _sweep_sql().replace(
+        "SELECT variant, model, ROUND(mae, 6) AS mae",
+        "SELECT 'artifacts' AS experiment, variant, model, regexp_extract(variant, 'horizon([0-9]+)', 1) AS horizon, "
+        "regexp_extract(variant, 'top_n([0-9]+)', 1) AS top_n, ROUND(mae, 6) AS mae",
+    ),
+)
+def q_sweep_artifacts(spark, sf_dir):
+    from ..operators import sweep
+    from ..session import shared_path
+    import uuid
+
+    def naive(period, name):
+        def model(prepped, cfg):
+            return zero_shot.seasonal_naive(contexts.series_contexts(prepped, cfg), cfg.horizon, period, name)
+
+        return model
+
+    root = shared_path(spark, "sweeps", uuid.uuid4().hex[:12])
+    models = {"seasonal_naive": naive(7, "seasonal_naive"), "last_value": naive(1, "last_value")}
+    log = sweep.run_sweep(lambda c: prepped_for(spark, sf_dir, "nation", c), SWEEP_AXES, NATION, models, "artifacts", root)
+    m, p = F.col("metrics"), F.col("parameters")
+    return rounded(
+        log.select(
+            "experiment", "variant", "model", p["horizon"].alias("horizon"), p["top_n"].alias("top_n"),
+            *[m[k].alias(k) for k in ("mae", "rmse", "smape", "quantile_loss", "n_points")], "rank", "winner",
+        )
+    )
+
+
 # AG15 + AG16 in one aggregation (grouping sets): overall rows have series NULL.
 @register(
     "eval_grouping_sets",

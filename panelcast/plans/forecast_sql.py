@@ -29,19 +29,27 @@ def naive_cte(name: str, horizon: int, period: int, model: str, ctx: str = "ctx"
     key_list = [k.strip() for k in keys.split(",") if k.strip()]
     skeys = "".join(f"s.{k}, " for k in key_list)
     join_keys = "".join(f" AND s.{k} = sp.{k}" for k in key_list)
+    akeys = "".join(f"a.{k}, " for k in key_list)
+    ab_keys = "".join(f" AND a.{k} = b.{k}" for k in key_list)
+    v_keys = "".join(f" AND s.{k} = v.{k}" for k in key_list)
     cap = f" AND h <= {horizon_col}" if horizon_col else ""
     return f"""
-  {name}_steps AS (
-    SELECT {keys}series, context, n, last_date, h, CAST(ceil(h / {period}.0) * {period} AS BIGINT) AS lag
-    FROM {ctx}, (SELECT UNNEST(range(1, {horizon} + 1)) AS h) WHERE n > 0{cap}),
+  {name}_lags AS (
+    SELECT h, CAST(ceil(h / {period}.0) * {period} AS BIGINT) AS lag FROM (SELECT UNNEST(range(1, {horizon} + 1)) AS h)),
+  {name}_vals AS (SELECT {keys}series, UNNEST(context) AS v, UNNEST(range(1, n + 1)) AS t FROM {ctx} WHERE n > 0),
   {name}_diffs AS (
-    SELECT {keys}series, h, context[t] - context[t - lag] AS d
-    FROM (SELECT {keys}series, h, context, lag, UNNEST(range(lag + 1, n + 1)) AS t FROM {name}_steps WHERE n > lag)),
-  {name}_spread AS (SELECT {keys}series, h, {spreads} FROM {name}_diffs GROUP BY {keys}series, h),
+    SELECT {akeys}a.series, l.lag, a.v - b.v AS d
+    FROM {name}_vals a, (SELECT DISTINCT lag FROM {name}_lags) l JOIN {name}_vals b
+      ON a.series = b.series AND b.t = a.t - l.lag{ab_keys}),
+  {name}_spread AS (SELECT {keys}series, lag, {spreads} FROM {name}_diffs GROUP BY {keys}series, lag),
+  {name}_steps AS (
+    SELECT {keys}series, n, last_date, h, lag, CASE WHEN n >= lag THEN n - lag + h ELSE n END AS t
+    FROM {ctx}, {name}_lags WHERE n > 0{cap}),
   {name}_fc AS (
     SELECT {skeys}s.series, CAST(s.last_date + CAST(s.h AS INTEGER) AS DATE) AS date, CAST(s.h AS INTEGER) AS horizon_step,
-           CASE WHEN s.n >= s.lag THEN s.context[s.n - s.lag + s.h] ELSE s.context[s.n] END AS forecast, {fc_spreads}
-    FROM {name}_steps s LEFT JOIN {name}_spread sp ON s.series = sp.series AND s.h = sp.h{join_keys}),
+           v.v AS forecast, {fc_spreads}
+    FROM {name}_steps s JOIN {name}_vals v ON s.series = v.series AND s.t = v.t{v_keys}
+    LEFT JOIN {name}_spread sp ON s.series = sp.series AND s.lag = sp.lag{join_keys}),
   {name} AS (SELECT {keys}series, date, horizon_step, forecast, {qcols}, '{model}' AS model FROM {name}_fc)"""
 
 

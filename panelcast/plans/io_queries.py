@@ -11,7 +11,7 @@ from ..config import fingerprint
 from ..operators import contexts
 from ..operators.forecast import zero_shot
 from ..sources import sinks
-from ..sources.tables import ensure_table
+from ..sources.tables import ensure_table, input_identity, table_properties, write_table
 from ..session import shared_path
 from . import forecast_sql as FS
 from .backtest import flagship, prepped_for
@@ -57,27 +57,42 @@ def q_pred_csv(spark, sf_dir):
     return rounded(sinks.read_predictions_csv(spark, path))
 
 
-# SC9 + PR20: requests as JSON lines, read back, truncated to 128 values.
-@register(
-    "jsonl_round_trip",
-    with_panel(
+def _requests_sql(values: str) -> str:
+    return with_panel(
         "supplier",
         "SELECT series_id, CAST(pos AS INTEGER) AS pos, ROUND(value, 6) AS value FROM ("
         "SELECT series AS series_id, UNNEST(c) AS value, UNNEST(range(1, len(c) + 1)) AS pos "
-        "FROM (SELECT series, CASE WHEN len(context) > 128 THEN context[len(context) - 127:] ELSE context END AS c FROM ctx))",
+        f"FROM (SELECT series, {values} AS c FROM ctx))",
         SUPPLIER,
         extra=FS.contexts_cte("ctx", SUPPLIER.context_len),
-    ),
-)
+    )
+
+
+def _long_requests(requests):
+    return rounded(
+        requests.select("series_id", F.posexplode("context").alias("_p", "value")).select(
+            "series_id", (F.col("_p") + 1).cast("int").alias("pos"), "value"
+        )
+    )
+
+
+# SC9: requests as JSON lines, read back, every value.
+@register("jsonl_round_trip", _requests_sql("context"))
 def q_requests(spark, sf_dir):
     ctx, _ = _naive(spark, sf_dir, SUPPLIER, "supplier")
     path = _path(spark, "requests")
     sinks.write_requests(ctx, path)
-    req = contexts.truncate_context(sinks.read_requests(spark, path), 128)
-    long = req.select("series_id", F.posexplode("context").alias("_p", "value")).select(
-        "series_id", (F.col("_p") + 1).cast("int").alias("pos"), "value"
-    )
-    return rounded(long)
+    return _long_requests(sinks.read_requests(spark, path))
+
+
+# PR20: requests cut to their last 128 values (the operator's own limit).
+@register(
+    "truncated_requests",
+    _requests_sql("CASE WHEN len(context) > 128 THEN context[len(context) - 127:] ELSE context END"),
+)
+def q_truncated(spark, sf_dir):
+    ctx, _ = _naive(spark, sf_dir, SUPPLIER, "supplier")
+    return _long_requests(contexts.truncate_context(ctx.withColumnRenamed("series", "series_id"), 128))
 
 
 # SC10 + JN11: responses as JSON lines, read with the schema, joined to last dates by series.
@@ -102,8 +117,25 @@ def q_ranking_json(spark, sf_dir):
 @register("table_round_trip", with_panel("nation", f"SELECT {SOURCE_COLS}, splits FROM prepped"))
 def q_table(spark, sf_dir):
     path = _path(spark, "prepped-table")
-    fp = fingerprint({"sf": sf_dir, **NATION.prepped_fields()})
-    table, _ = ensure_table(spark, path, fp, lambda: prepped_for(spark, sf_dir, "nation", NATION))
+    prepped = prepped_for(spark, sf_dir, "nation", NATION)
+    fp = fingerprint({"adapter": "nation", "inputs": input_identity(prepped), **NATION.prepped_fields()})
+    ensure_table(spark, path, fp, lambda: prepped)
+    table, rebuilt = ensure_table(spark, path, fp, lambda: prepped.limit(0))  # current: the skip branch
+    if rebuilt:
+        raise RuntimeError("a current table was rebuilt")
     return rounded(table)
 
 
+# SC13: the row count observed by the write itself, with labels and description.
+@register(
+    "table_row_count",
+    with_panel("nation", "SELECT CAST(COUNT(*) AS BIGINT) AS n_rows, 'daily' AS grain, 'prepped panel' AS description FROM prepped"),
+)
+def q_table_count(spark, sf_dir):
+    path = _path(spark, "counted-table")
+    prepped = prepped_for(spark, sf_dir, "nation", NATION)
+    write_table(prepped, path, labels={"grain": "daily"}, description="prepped panel")
+    p = table_properties(spark, path)
+    return spark.createDataFrame([(p["rows"], p["labels"]["grain"], p["description"])], "n_rows long, grain string, description string")
+
+

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from ..config import QUANTILE_COLUMNS
 from ..functions.scalar import Z_SCORES
 from ..operators import panel as P
 from ..operators import score
 from ..operators.forecast import baselines, holidays, xreg
+from ..session import shared_path
 from ..sources.scans import actuals
 from .backtest import prepped_for
 from .common import NATION, SUPPLIER, rounded
@@ -78,7 +81,9 @@ def q_gaussian(spark, sf_dir):
 @register("xreg_forecast")
 def q_xreg_forecast(spark, sf_dir):
     prepped = prepped_for(spark, sf_dir, "nation", NATION)
-    model = xreg.fit_xreg(P.build_train(prepped), NATION)
+    path = shared_path(spark, "models", f"xreg-{uuid.uuid4().hex[:12]}")
+    xreg.fit_xreg(P.build_train(prepped), NATION, model_path=path)
+    model = xreg.load_xreg(spark, path)  # by reference
     return rounded(xreg.forecast_xreg(model, P.build_infer(prepped, NATION), NATION, "xreg"))
 
 
@@ -99,11 +104,11 @@ def q_xreg_scores(spark, sf_dir):
 @register("global_forecast")
 def q_global(spark, sf_dir):
     from ..operators.forecast import global_gbt
-    from ..session import shared_path
 
     prepped = prepped_for(spark, sf_dir, "nation", NATION)
-    import uuid
-
     path = shared_path(spark, "models", f"global-gbt-{uuid.uuid4().hex[:12]}")
-    model, resid = global_gbt.fit_global(prepped, NATION, path, max_iter=10, max_depth=4)
-    return rounded(global_gbt.forecast_global(model, resid, prepped, NATION))
+    fitted = global_gbt.fit_global(prepped, NATION, path, max_iter=10, max_depth=4)
+    reference = fitted.path
+    del fitted  # forecast from the stored model alone
+    model = global_gbt.GlobalModel.load(spark, reference)
+    return rounded(global_gbt.forecast_global(model, prepped, NATION))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from ..operators import panel as P
 from ..sources import adapters as A
 from ..sources.scans import scan_weather
+from .backtest import prepped_for
 from .common import NATION, SUPPLIER, SUPPLIER_TOP10, USER, rounded
 from .oracle_sql import SOURCE_COLS, r, with_panel
 from .registry import register
@@ -20,11 +21,6 @@ def source_of(spark, sf_dir, adapter, cfg):
     return P.build_source(trips, weather_raw, meta, cfg)
 
 
-def prepped_of(spark, sf_dir, adapter, cfg):
-    trips, weather_raw, meta = _inputs(spark, sf_dir, adapter)
-    return P.build_tables(trips, weather_raw, meta, cfg)
-
-
 # AG1: top-k report (the limit is the feature); tie at the cut broken by name.
 @register(
     "top_series",
@@ -99,19 +95,19 @@ def q_source_user(spark, sf_dir):
     with_panel("supplier", f"SELECT {SOURCE_COLS}, splits FROM prepped", SUPPLIER),
 )
 def q_prepped(spark, sf_dir):
-    return rounded(prepped_of(spark, sf_dir, "supplier", SUPPLIER))
+    return rounded(prepped_for(spark, sf_dir, "supplier", SUPPLIER))
 
 
 # TB4: train (TRAIN + VALIDATE rows).
 @register("train_table", with_panel("nation", f"SELECT {SOURCE_COLS}, splits FROM train"))
 def q_train(spark, sf_dir):
-    return rounded(P.build_train(prepped_of(spark, sf_dir, "nation", NATION)))
+    return rounded(P.build_train(prepped_for(spark, sf_dir, "nation", NATION)))
 
 
 # TB4: infer (TEST rows, target typed NULL).
 @register("infer_table", with_panel("nation", f"SELECT {SOURCE_COLS}, splits FROM infer"))
 def q_infer(spark, sf_dir):
-    return rounded(P.build_infer(prepped_of(spark, sf_dir, "nation", NATION), NATION))
+    return rounded(P.build_infer(prepped_for(spark, sf_dir, "nation", NATION), NATION))
 
 
 # PR13: role-based column selection for the regression model.
@@ -121,5 +117,23 @@ def q_infer(spark, sf_dir):
                "day_of_week, month, is_weekend FROM train"),
 )
 def q_regressors(spark, sf_dir):
-    return rounded(P.regressor_frame(P.build_train(prepped_of(spark, sf_dir, "nation", NATION)), NATION))
+    return rounded(P.regressor_frame(P.build_train(prepped_for(spark, sf_dir, "nation", NATION)), NATION))
+
 
+
+# PR2: daily aggregate inside a date window (inclusive bounds on the raw timestamp).
+WINDOWED = SUPPLIER.replace(date_start="1995-01-15", date_end="1996-06-30")
+
+
+@register(
+    "windowed_daily_panel",
+    with_panel(
+        "supplier",
+        f"SELECT series, date, target, {r('avg_tripduration')} AS avg_tripduration, "
+        f"{r('pct_subscriber')} AS pct_subscriber, {r('ratio_gender')} AS ratio_gender FROM daily",
+        WINDOWED,
+    ),
+)
+def q_windowed_daily(spark, sf_dir):
+    trips = A.supplier_trips(spark, sf_dir)
+    return rounded(P.daily_panel(trips, P.top_or_all(trips, WINDOWED), WINDOWED))

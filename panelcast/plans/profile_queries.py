@@ -60,7 +60,9 @@ def q_series_ranges(spark, sf_dir):
     "split_boundaries",
     with_panel(
         "nation",
-        f"SELECT MAX(date) AS last_day, CAST(MAX(date) - {NATION.test_length - 1} AS DATE) AS test_start, "
+        f"SELECT MAX(date) AS last_day, CAST(MAX(date) - {NATION.test_length} AS DATE) AS test_cut, "
+        f"CAST(MAX(date) - {NATION.test_length + NATION.validate_length} AS DATE) AS validate_cut, "
+        f"CAST(MAX(date) - {NATION.test_length - 1} AS DATE) AS test_start, "
         f"CAST(MAX(date) - {NATION.test_length + NATION.validate_length - 1} AS DATE) AS validate_start FROM prepped",
     ),
 )
@@ -85,8 +87,8 @@ def q_topk(spark, sf_dir):
     "metadata_coverage",
     with_panel(
         "supplier",
-        "SELECT s.series, (m.station_id IS NOT NULL) AS has_metadata FROM (SELECT DISTINCT series FROM prepped) s "
-        "LEFT JOIN (SELECT DISTINCT station_id FROM meta) m ON s.series = m.station_id",
+        "SELECT s.series, (m.name IS NOT NULL) AS has_metadata FROM (SELECT DISTINCT series FROM prepped) s "
+        "LEFT JOIN (SELECT DISTINCT name FROM meta WHERE capacity IS NOT NULL) m ON s.series = m.name",
         SUPPLIER,
     ),
 )

@@ -36,6 +36,7 @@ WEATHER_RAW = T.StructType(
 META = T.StructType(
     [
         T.StructField("station_id", T.StringType()),
+        T.StructField("name", T.StringType()),
         T.StructField("capacity", T.LongType()),
         T.StructField("region_id", T.LongType()),
         T.StructField("latitude", T.DoubleType()),
@@ -115,6 +116,12 @@ def assert_columns(df: DataFrame, schema: T.StructType, what: str) -> None:
         raise ValueError(f"{what}: " + "; ".join(problems))
 
 
+def declared(df: DataFrame, schema: T.StructType, what: str) -> DataFrame:
+    """The declared columns of a frame that has them in the declared types."""
+    assert_columns(df, schema, what)
+    return df.select(*schema.fieldNames())
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select + cast to exactly ``schema`` (column order and types)."""
     from pyspark.sql import functions as F

@@ -4,6 +4,7 @@ checkpoint folder from the session (never a machine-local temp dir on a cluster)
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -36,10 +37,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only where it is unset (local tests) do we set our own.
+    A cluster must name it: a machine-local folder there would be a different folder on every executor, so an unset
+    name is an error unless the master is local, where a temporary folder is set.
     """
     current = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY, None)
     if not current:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^-]*\])?", master):
+            raise RuntimeError(f"{CHECKPOINT_KEY} must name a folder that all executors share (master is {master})")
         current = tempfile.mkdtemp(prefix="panelcast-ckpt-")
         spark.conf.set(CHECKPOINT_KEY, current)
     spark.sparkContext.setCheckpointDir(current)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import PanelConfig, WeatherSpec
+from .scans import scan_meta, scan_trips
 
 # How the test tables map onto the event-fact roles.
 SUBSCRIBER = "Subscriber"
@@ -109,11 +110,17 @@ def weather_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dimension keyed by the customer key as a string (the fact id is a long)."""
+    """Dimension keyed by the customer key as a string (the fact id is a long).
+
+    The name is the key's text, which the suppliers' series share, so that a
+    join by name has partners; a negative balance stands for no capacity.
+    """
     c = read(spark, sf_dir, "customer")
+    balance = F.col("c_acctbal").cast("long")
     return c.select(
         F.col("c_custkey").cast("string").alias("station_id"),
-        F.col("c_acctbal").cast("long").alias("capacity"),
+        F.col("c_custkey").cast("string").alias("name"),
+        F.when(balance >= 0, balance).alias("capacity"),
         F.col("c_nationkey").cast("long").alias("region_id"),
         F.lit(None).cast("double").alias("latitude"),
         F.lit(None).cast("double").alias("longitude"),
@@ -138,8 +145,8 @@ TRIPS_ADAPTERS = {"nation": nation_trips, "supplier": supplier_trips, "user": us
 def adapter_inputs(spark: SparkSession, sf_dir: str, adapter: str = "nation"):
     """(trips, weather_raw, meta, cfg) for one adapter."""
     return (
-        TRIPS_ADAPTERS[adapter](spark, sf_dir),
+        scan_trips(TRIPS_ADAPTERS[adapter](spark, sf_dir)),
         weather_shards(spark, sf_dir),
-        customer_meta(spark, sf_dir),
+        scan_meta(customer_meta(spark, sf_dir)),
         ADAPTER_CONFIGS[adapter],
     )

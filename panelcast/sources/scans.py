@@ -1,14 +1,16 @@
-"""Scans (SC1-SC3, SC5, SC6, SC11). Column pruning and filter pushdown are left
+"""Scans (SC1-SC3, SC5, SC6). Each asserts the declared columns and types of its source: a
+wrong type is an error at the boundary, never a silent cast. Column pruning and filter pushdown are left
 to Catalyst: each scan only declares the columns and predicates it needs."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import TEST, PanelConfig
 from ..functions.scalar import date_from_parts, sentinel_to_null
-from ..schemas import META, TRIPS, conform
+from ..schemas import META, TRIPS, WEATHER_RAW, assert_columns, declared
 
 
 def _frame(spark: SparkSession | None, src: DataFrame | str) -> DataFrame:
@@ -21,8 +23,8 @@ def _frame(spark: SparkSession | None, src: DataFrame | str) -> DataFrame:
 
 # -- SC1 --------------------------------------------------------------------
 def scan_trips(src: DataFrame | str, spark: SparkSession | None = None) -> DataFrame:
-    """Event facts in the canonical column set (types conformed)."""
-    return conform(_frame(spark, src), TRIPS)
+    """Event facts in the canonical column set."""
+    return declared(_frame(spark, src), TRIPS, "trips")
 
 
 # -- SC2 --------------------------------------------------------------------
@@ -38,7 +40,10 @@ def scan_weather(src: DataFrame | str, cfg: PanelConfig, spark: SparkSession | N
     """
     y0, y1 = cfg.weather_years()
     w = cfg.weather
-    raw = _frame(spark, src).where(
+    frame = _frame(spark, src)
+    # a partition column's type is inferred from its folder names: any type that compares as text will do for the year
+    assert_columns(frame, T.StructType([f for f in WEATHER_RAW.fields if f.name != "year"]), "weather")
+    raw = frame.select(*WEATHER_RAW.fieldNames()).where(
         F.col("year").between(F.lit(y0), F.lit(y1)) & (F.col("stn") == F.lit(w.stn)) & (F.col("wban") == F.lit(w.wban))
     )
     day = raw.select(
@@ -51,13 +56,15 @@ def scan_weather(src: DataFrame | str, cfg: PanelConfig, spark: SparkSession | N
 
 # -- SC3 --------------------------------------------------------------------
 def scan_meta(src: DataFrame | str, spark: SparkSession | None = None) -> DataFrame:
-    return conform(_frame(spark, src), META)
+    """Dimension rows in the declared column set."""
+    return declared(_frame(spark, src), META, "metadata")
 
 
 # -- SC5 --------------------------------------------------------------------
-def scan_panel(prepped: DataFrame, cfg: PanelConfig) -> DataFrame:
-    """The four columns a univariate model reads: series, time, target, splits."""
-    return prepped.select(cfg.series_column, cfg.time_column, cfg.target_column, "splits")
+def scan_panel(prepped: DataFrame, cfg: PanelConfig, keys: tuple[str, ...] = ()) -> DataFrame:
+    """The four columns a univariate model reads: series, time, target, splits
+    (and ``keys``, where the panel holds several variants)."""
+    return prepped.select(*keys, cfg.series_column, cfg.time_column, cfg.target_column, "splits")
 
 
 # -- SC6 --------------------------------------------------------------------

@@ -3,11 +3,16 @@
 * ``materialize``      cut lineage with a reliable checkpoint in the shared
                         folder named by ``spark.checkpoint.dir`` (survives
                         executor loss; never a local checkpoint).
-* ``write_table``      replace-on-write Parquet table + properties, built under
-                        a temporary name and swapped in, row count observed on
-                        the write itself (no second scan).
+* ``write_table``      replace-on-write Parquet table + properties: each write
+                        goes to a version folder of its own, and a small pointer
+                        file, written last, names the current one. Nothing is
+                        renamed (a rename copies every byte on an object store)
+                        and there is no moment without a table; row count
+                        observed on the write itself (no second scan).
 * ``ensure_table``     fingerprint-guarded build: skip when the stored
                         fingerprint equals the current one.
+* ``input_identity``   path, size and time of every input file, so that changed
+                        inputs make another fingerprint.
 """
 
 from __future__ import annotations
@@ -70,54 +75,71 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def _rename(spark: SparkSession, src: str, dst: str) -> None:
-    fs, p = _fs(spark, src)
-    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(dst)):
-        raise OSError(f"rename {src} -> {dst} failed")
-
-
 def _delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
 
 
 # -- SC4 + SC13 -----------------------------------------------------------------
-PROPERTIES_FILE = "_properties.json"
+POINTER = "_current.json"
 
 
-def write_table(df: DataFrame, path: str, properties: dict[str, str] | None = None,
-                partition_by: tuple[str, ...] = ()) -> int:
-    """Write ``df`` as Parquet at ``path`` replacing what is there; returns the
-    row count observed during the write (no second scan). Written under a
-    temporary sibling and swapped in, so a destination that is also the source
-    is never truncated before it is read, and a failed write leaves the old
-    table intact. The properties file (with the fingerprint) is written last."""
+def write_table(df: DataFrame, path: str, properties: dict[str, str] | None = None, partition_by: tuple[str, ...] = (),
+                labels: dict[str, str] | None = None, description: str | None = None) -> int:
+    """Write ``df`` as the new current version of the table at ``path``; returns the row count observed during the write.
+    A destination that is also the source is read to its end before the pointer moves, and a failed write leaves the old
+    version current. The version before stays for readers under way; older ones go."""
     spark = df.sparkSession
-    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
     base = path.rstrip("/")
-    tmp = f"{base}.__tmp_{uuid.uuid4().hex[:8]}"
-    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    before = _pointer(spark, base)
+    version = f"v-{uuid.uuid4().hex[:12]}"
+    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(tmp)
+    w.parquet(f"{base}/{version}")
     rows = int(obs.get["rows"])
-    if _exists(spark, base):
-        old = f"{base}.__old_{uuid.uuid4().hex[:8]}"
-        _rename(spark, base, old)
-        _rename(spark, tmp, base)
-        _delete(spark, old)
-    else:
-        _rename(spark, tmp, base)
-    _write_text(spark, f"{base}/{PROPERTIES_FILE}", json.dumps({**(properties or {}), "rows": rows}, sort_keys=True))
+    record = {
+        "version": version, "previous": before.get("version"), "rows": rows, "labels": labels or {},
+        "description": description, "properties": properties or {},
+    }
+    _write_text(spark, f"{base}/{POINTER}", json.dumps(record, sort_keys=True))
+    if before.get("previous"):
+        _delete(spark, f"{base}/{before['previous']}")
     return rows
 
 
-def table_properties(spark: SparkSession, path: str) -> dict:
-    text = _read_text(spark, f"{path.rstrip('/')}/{PROPERTIES_FILE}")
+def _pointer(spark: SparkSession, path: str) -> dict:
+    text = _read_text(spark, f"{path.rstrip('/')}/{POINTER}")
     return json.loads(text) if text else {}
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table's current version."""
+    version = _pointer(spark, path).get("version")
+    if version is None:
+        raise FileNotFoundError(f"no table at {path}")
+    return spark.read.parquet(f"{path.rstrip('/')}/{version}")
+
+
+def table_properties(spark: SparkSession, path: str) -> dict:
+    """The properties of the current version, with its rows, labels and description."""
+    p = _pointer(spark, path)
+    return {**p.get("properties", {}), **{k: p[k] for k in ("rows", "labels", "description") if k in p}}
+
+
 # -- TB5 --------------------------------------------------------------------
+def input_identity(*frames: DataFrame) -> list[str]:
+    """``path:length:modified`` of every file the frames read, sorted."""
+    out = set()
+    for df in frames:
+        for f in df.inputFiles():
+            fs, p = _fs(df.sparkSession, f)
+            status = fs.getFileStatus(p)
+            out.add(f"{f}:{status.getLen()}:{status.getModificationTime()}")
+    return sorted(out)
+
+
 def stored_fingerprint(spark: SparkSession, path: str) -> str | None:
     return table_properties(spark, path).get("fingerprint")
 
@@ -125,10 +147,10 @@ def stored_fingerprint(spark: SparkSession, path: str) -> str | None:
 def ensure_table(spark: SparkSession, path: str, fingerprint: str, build, force: bool = False) -> tuple[DataFrame, bool]:
     """(table, rebuilt?): rebuild when the table is missing, stale or forced.
 
-    The fingerprint is stored with the data and written last, so a partial
-    write never looks current.
+    The fingerprint is stored with the pointer, which is written last, so a
+    partial write never looks current.
     """
     if not force and stored_fingerprint(spark, path) == fingerprint:
-        return spark.read.parquet(path), False
+        return read_table(spark, path), False
     write_table(build(), path, {"fingerprint": fingerprint})
-    return spark.read.parquet(path), True
+    return read_table(spark, path), True

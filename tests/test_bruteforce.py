@@ -50,8 +50,8 @@ def test_xreg_beta_and_ar_match_numpy(spark, nation):
 
 def test_gbt_training_rows_match_pandas_shift(spark, nation):
     prepped, cfg = nation
-    rows = global_gbt.training_rows(prepped, cfg).where("h = 3").select(
-        "series", "date", "label", F.col("origin.y_lag0").alias("lag0"), F.col("origin.y_lag2").alias("lag2")
+    rows = global_gbt.training_rows(prepped, cfg, keys=True).where("h = 3").select(
+        "series", "date", "label", F.col("f_origin_y_lag0").alias("lag0"), F.col("f_origin_y_lag2").alias("lag2")
     ).toPandas()
     base = prepped.where("splits != 'TEST'").select("series", "date", F.col("target").cast("double").alias("y")).toPandas()
     base = base.sort_values(["series", "date"])

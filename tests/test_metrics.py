@@ -43,7 +43,7 @@ def test_empty_overlap_raises(spark):
     p = preds_df(spark, [("s", D1, 10.0)])
     a = acts_df(spark, [("s", date(2019, 1, 1), 12.0)])
     with pytest.raises(ValueError):
-        score.require_overlap(score.evaluate(p, a))
+        score.require_overlap(score.evaluate(p, a), p)
 
 
 def test_smape(spark):
@@ -89,3 +89,27 @@ def test_grouping_sets_match_separate(spark):
     overall = [r for r in both if r["level"] == "overall"][0]
     assert overall["mae"] == pytest.approx(score.evaluate(p, a).first()["mae"])
     assert len([r for r in both if r["level"] == "series"]) == 2
+
+
+def test_overlap_counts_with_repeated_keys_and_variants(spark):
+    p = spark.createDataFrame([("m", "v1", "a", "2020-01-01"), ("m", "v2", "a", "2020-01-01")], "model string, variant string, series string, date string")
+    p = p.withColumn("date", p["date"].cast("date"))
+    a = spark.createDataFrame([("a", "2020-01-01"), ("a", "2020-01-01"), ("b", "2020-01-02")], "series string, date string")
+    o = score.overlap_counts(p.where("variant = 'v1'"), a).first()
+    assert (o["n_predictions"], o["n_matched"], o["predictions_unmatched"], o["actuals_unmatched"]) == (1, 1, 0, 1)
+    by = spark.createDataFrame([("v1", "a", "2020-01-01"), ("v2", "a", "2020-01-01"), ("v2", "b", "2020-01-02")], "variant string, series string, date string")
+    rows = {r["variant"]: r for r in score.overlap_counts(p, by, ("variant", "model")).collect()}
+    assert rows["v1"]["actuals_unmatched"] == 0 and rows["v2"]["actuals_unmatched"] == 1
+
+
+def test_lost_model_is_named(spark):
+    cols = "model string, series string, date date, forecast double, q10 double, q30 double, q50 double, q70 double, q90 double"
+    import datetime
+
+    d, far = datetime.date(2020, 1, 1), datetime.date(2030, 1, 1)
+    p = spark.createDataFrame([("good", "a", d, *[1.0] * 6), ("lost", "a", far, *[1.0] * 6)], cols)
+    a = spark.createDataFrame([("a", d, 2.0)], "series string, date date, actual double")
+    with pytest.raises(ValueError, match="lost"):
+        score.require_overlap(score.evaluate(p, a), p)
+    good = p.where("model = 'good'")
+    assert score.require_overlap(score.evaluate(good, a), good).count() == 1

@@ -79,6 +79,18 @@ def test_doe_grid_and_labels(spark):
     one = sweep.doe_grid(spark, {"forecast.horizon": [14]}, cfg).first()["variant"]
     assert one == "horizon14"
     assert sweep.doe_grid(spark, {}, cfg).first()["variant"] == "base"
+    every = sweep.doe_grid(spark, {"data.station_filter.top_n": [None, 5]}, cfg).collect()
+    assert {r["variant"]: r["top_n"] for r in every} == {"top_nnone": None, "top_n5": 5}
+
+
+@pytest.mark.parametrize(
+    "axes",
+    [{"no.such.path.horizon": [7]}, {"forecast.horizon": [-1]}, {"forecast.horizon": [None]}, {"forecast.horizon": ["7"]},
+     {"forecast.horizon": []}, {"data.station_filter.top_n": [0]}, {"forecast.horizon": [True]}],
+)
+def test_bad_axes_raise(spark, axes):
+    with pytest.raises(ValueError):
+        sweep.doe_grid(spark, axes, PanelConfig())
 
 
 def test_fingerprint_guard(spark, tmp_path):
@@ -97,10 +109,22 @@ def test_fingerprint_guard(spark, tmp_path):
     assert rebuilt
     t, rebuilt = ensure_table(spark, path, "fp2", build, force=True)  # forced -> build
     assert rebuilt and len(calls) == 3 and t.count() == 5
-    from panelcast.sources.tables import table_properties, write_table
+    from panelcast.sources.tables import input_identity, read_table, table_properties, write_table
 
-    assert write_table(spark.range(7), path, {"fingerprint": "fp3"}) == 7  # SC13: counted on the write
-    assert table_properties(spark, path)["rows"] == 7 and spark.read.parquet(path).count() == 7
+    assert write_table(spark.range(7), path, {"fingerprint": "fp3"}, labels={"a": "b"}, description="seven") == 7  # SC13
+    p = table_properties(spark, path)
+    assert p == {"fingerprint": "fp3", "rows": 7, "labels": {"a": "b"}, "description": "seven"}
+    t = read_table(spark, path)
+    assert t.count() == 7
+    assert write_table(t.where("id < 3"), path) == 3  # reads the version that it replaces
+    assert read_table(spark, path).count() == 3 and t.count() == 7  # readers under way keep theirs
+    with pytest.raises(FileNotFoundError):
+        read_table(spark, path + "-none")
+    other = str(tmp_path / "in")
+    spark.range(3).write.parquet(other)
+    one = input_identity(spark.read.parquet(other))
+    spark.range(4).write.mode("overwrite").parquet(other)
+    assert one and one != input_identity(spark.read.parquet(other))
 
 
 def test_run_records_and_log(spark, tmp_path):
@@ -126,14 +150,116 @@ def test_sweep_test_length_axis(spark):
     trips, w, m, cfg = adapters.adapter_inputs(spark, "/root/testdata/sf0.001", "nation")
     prepped = P.build_tables(trips, w, m, cfg)
     grid = sweep.doe_grid(spark, {"data.splits.test_length": [7, 14]}, cfg)
-    sp = sweep.sweep_panel(trips, prepped, grid, cfg)
-    days = {
-        r["variant"]: r["n"]
-        for r in sp.where("splits = 'TEST'").groupBy("variant").agg(F.countDistinct("date").alias("n")).collect()
-    }
+    sp, variants = sweep.sweep_panel(trips, prepped, grid, cfg)
+    acts = sweep.sweep_actuals(sp, variants)
+    days = {r["variant"]: r["n"] for r in acts.groupBy("variant").agg(F.countDistinct("date").alias("n")).collect()}
     assert days == {"test_length7": 7, "test_length14": 14}
-    preds = sweep.sweep_naive(sp, cfg, {"seasonal_naive": 7}, cfg.horizon)
-    ranked = {r["variant"]: r for r in sweep.sweep_scores(sp, preds).collect()}
+    preds = sweep.sweep_naive(sp, variants, {"seasonal_naive": 7})
+    ranked = {r["variant"]: r for r in sweep.sweep_scores(preds, acts).collect()}
     assert set(ranked) == {"test_length7", "test_length14"}
     assert ranked["test_length7"]["n_points"] < ranked["test_length14"]["n_points"]
     assert all(r["winner"] for r in ranked.values())
+
+
+def test_sweep_needs_the_largest_top_n(spark):
+    from panelcast.operators import panel as P
+    from panelcast.sources import adapters
+
+    trips, w, m, cfg = adapters.adapter_inputs(spark, "/root/testdata/sf0.001", "nation")
+    small = P.build_tables(trips, w, m, cfg.replace(top_n=5))
+    grid = sweep.doe_grid(spark, {"data.station_filter.top_n": [5, 10]}, cfg)
+    with pytest.raises(ValueError, match="lacks series"):
+        sweep.sweep_panel(trips, small, grid, cfg)
+
+
+def test_caller_predictor_runs_in_workers(spark):
+    from panelcast.operators.forecast import zero_shot
+
+    def factory():
+        def predict(inputs, horizon):
+            point = np.array([[10.0 * len(x) + h for h in range(1, horizon + 1)] for x in inputs])
+            return point, np.repeat(point[:, :, None], 10, axis=2) + np.arange(10)
+
+        return predict
+
+    ctx = spark.createDataFrame([("a", [1.0, 2.0], 2), ("b", [5.0], 1)], "series string, context array<double>, n int")
+    ctx = ctx.withColumn("last_date", F.to_date(F.lit("2020-01-01")))
+    out = zero_shot.zero_shot_forecast(ctx, PanelConfig(horizon=2), factory, model="mine").orderBy("series", "date").collect()
+    assert [(r["series"], r["forecast"], r["q10"], r["q90"], r["model"]) for r in out] == [
+        ("a", 21.0, 22.0, 30.0, "mine"), ("a", 22.0, 23.0, 31.0, "mine"), ("b", 11.0, 12.0, 20.0, "mine"), ("b", 12.0, 13.0, 21.0, "mine"),
+    ]
+
+
+def test_ar_order_with_few_rows():
+    rng = np.random.default_rng(1)
+    e = rng.normal(size=9)
+    r = np.array([0.9**i for i in range(9)]) * 5 + 0.01 * e
+    lag = np.stack([np.r_[np.zeros(i), r[:-i]] for i in range(1, 8)], axis=1)[1:]
+    y = r[1:]
+    phi, _ = xreg.select_ar(lag.T @ lag, lag.T @ y, float(y @ y), len(y), 7)
+    assert len(phi) >= 1  # eight rows are too few for seven lags, not for one
+
+
+def test_residual_quantiles_are_exact(spark):
+    from panelcast.operators.forecast import global_gbt
+
+    rng = np.random.default_rng(2)
+    data = {1.0: rng.normal(size=401), 2.0: np.r_[np.zeros(50), 7.0], 3.0: np.array([4.0]), 4.0: rng.integers(0, 3, 200).astype(float)}
+    df = spark.createDataFrame([(h, float(v)) for h, vs in data.items() for v in vs], "h double, r double")
+    for bins in (1, 7, 1024):
+        got = {r["h"]: r["resid_q"] for r in global_gbt.residual_quantiles(df, bins).collect()}
+        for h, vs in data.items():
+            assert got[h] == pytest.approx(np.quantile(vs, [0.1, 0.3, 0.5, 0.7, 0.9])), (bins, h)
+
+
+def test_global_model_from_its_reference(spark, tmp_path):
+    from panelcast.operators import panel as P
+    from panelcast.operators.forecast import global_gbt
+    from panelcast.sources import adapters
+
+    trips, w, m, cfg = adapters.adapter_inputs(spark, "/root/testdata/sf0.001", "nation")
+    cfg = cfg.replace(top_n=4, horizon=3, test_length=3, validate_length=14)
+    prepped = P.build_tables(trips, w, m, cfg).cache()
+    path = str(tmp_path / "model")
+    global_gbt.fit_global(prepped, cfg, path, max_iter=2, max_depth=2)
+    fc = global_gbt.forecast_global(global_gbt.GlobalModel.load(spark, path), prepped, cfg).orderBy("series", "date").collect()
+    series = sorted({r["series"] for r in fc})
+    assert len(fc) == len(series) * 3 and len(series) == 4
+    for s in series:
+        days = [r["date"] for r in fc if r["series"] == s]
+        assert [(d - days[0]).days for d in days] == [0, 1, 2]
+    assert all(r["q10"] <= r["q30"] <= r["q50"] <= r["q70"] <= r["q90"] for r in fc)
+    scrambled = prepped.withColumn("target", F.when(F.col("splits") == "TEST", F.lit(10**6).cast("long")).otherwise(F.col("target")))
+    global_gbt.fit_global(scrambled, cfg, path + "2", max_iter=2, max_depth=2)
+    again = global_gbt.forecast_global(global_gbt.GlobalModel.load(spark, path + "2"), scrambled, cfg).orderBy("series", "date").collect()
+    assert [r["forecast"] for r in fc] == pytest.approx([r["forecast"] for r in again])
+
+
+def test_xreg_interval_and_reference(spark, tmp_path):
+    from panelcast.operators import panel as P
+    from panelcast.sources import adapters
+
+    trips, w, m, cfg = adapters.adapter_inputs(spark, "/root/testdata/sf0.001", "nation")
+    cfg = cfg.replace(top_n=3)
+    prepped = P.build_tables(trips, w, m, cfg)
+    path = str(tmp_path / "xreg")
+    xreg.fit_xreg(P.build_train(prepped), cfg, model_path=path)
+    raw = xreg.forecast_xreg_raw(xreg.load_xreg(spark, path), P.build_infer(prepped, cfg), cfg, confidence=0.95).collect()
+    assert len(raw) == 3 * cfg.horizon
+    for r in raw:
+        half = 1.959964 * r["standard_error"]
+        assert r["prediction_interval_upper_bound"] - r["forecast_value"] == pytest.approx(half, rel=1e-5)
+        assert r["forecast_value"] - r["prediction_interval_lower_bound"] == pytest.approx(half, rel=1e-5)
+    with pytest.raises(ValueError):
+        xreg.forecast_xreg_raw(xreg.load_xreg(spark, path), P.build_infer(prepped, cfg), cfg, confidence=1.0)
+
+
+def test_shared_folder_must_be_named_off_local():
+    from types import SimpleNamespace
+
+    from panelcast.session import ensure_checkpoint_dir
+
+    nothing = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(master="yarn", getConf=lambda: nothing)
+    with pytest.raises(RuntimeError, match="executors share"):
+        ensure_checkpoint_dir(SimpleNamespace(conf=nothing, sparkContext=sc))
