@@ -2,7 +2,7 @@
 
 In each chunk's piece lattice a forward Viterbi pass gives the best score of every place. These scores are exact
 heuristics for the A-star search that runs backwards from the chunk's end: what it takes from its heap is always the next
-best segmentation. The Viterbi pass also gives the loss of a chunk's second best segmentation, so of a whole text only the
+best segmentation, and its memory does not grow with the paths that tie. The Viterbi pass also gives the loss of a chunk's second best segmentation, so of a whole text only the
 ``n - 1`` chunk occurrences with the least losses are searched; their alternatives are merged best first into the text's N
 best segmentations (every path that differs elsewhere is no better).
 
@@ -31,28 +31,27 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
 
 
-def _edges(v: Vocabulary, s: str) -> list[list[tuple[int, int, float]]]:
-    """By end place: (start, id, score) of the lattice's pieces, by start; id -1 is an unknown character."""
-    n, get = len(s), v.pieces.get
-    into: list[list[tuple[int, int, float]]] = [[] for _ in range(n + 1)]
-    for i in range(n):
-        single = False
-        for j in range(i + 1, min(n, i + v.longest) + 1):
-            p = get(s[i:j])
-            if p:
-                into[j].append((i, p[0], p[1]))
-                single |= j == i + 1
-        if not single:
-            into[i + 1].append((i, -1, v.unknown_score))
-    return into
-
-
-def _viterbi(into: list[list[tuple[int, int, float]]]) -> tuple[list[float], list[tuple[int, int, float]]]:
-    """The best score of each place and the edge it comes by."""
+Edge = tuple[int, int, float]  # start, id (-1: an unknown character), score
+
+
+def _into(v: Vocabulary, s: str, end: int) -> list[Edge]:
+    """The lattice's edges that end at a place, by start."""
+    out = []
+    for start in range(max(0, end - v.longest), end):
+        p = v.pieces.get(s[start:end])
+        if p:
+            out.append((start, p[0], p[1]))
+    if s[end - 1] not in v.pieces:
+        out.append((end - 1, -1, v.unknown_score))
+    return out
+
+
+def _forward(v: Vocabulary, s: str) -> tuple[list[float], list[Edge]]:
+    """Viterbi: the best score of each place and the edge it comes by."""
     best, by = [0.0], [(0, 0, 0.0)]
-    for end in range(1, len(into)):
+    for end in range(1, len(s) + 1):
         top, edge = None, None
-        for e in into[end]:
+        for e in _into(v, s, end):
             x = best[e[0]] + e[2]
             if top is None or x > top:
                 top, edge = x, e
@@ -78,7 +77,7 @@ def best_of(v: Vocabulary, s: str, automaton=None) -> tuple[float, tuple[int, ..
     if automaton:
         edges = ((last + 1, last + 1 - length, i, score) for last, (length, i, score) in automaton.iter(s))
     else:
-        edges = ((end, b, i, score) for end, into in enumerate(_edges(v, s)) for b, i, score in into)
+        edges = ((end, b, i, score) for end in range(1, n + 1) for b, i, score in _into(v, s, end))
     for end, b, i, score in edges:
         x = best[b] + score
         if x > best[end]:
@@ -100,24 +99,35 @@ def best_of(v: Vocabulary, s: str, automaton=None) -> tuple[float, tuple[int, ..
 
 
 def search(v: Vocabulary, s: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
-    """A chunk's ``n`` best segmentations: backward A-star, the first by the tie rule."""
-    into = _edges(v, s)
-    best, by = _viterbi(into)
-    first, end = [], len(s)
-    while end:
-        first.append((by[end][0], end, by[end][1]))
-        end = by[end][0]
-    found = [(best[-1], tuple(first))]
-    heap = [(-best[-1], (), len(s), 0.0)]  # minus the whole path's best score, path from the end, place, score behind it
-    while heap and len(found) < n + 1:
-        f, path, place, behind = heapq.heappop(heap)
-        if not place:
-            if path != found[0][1]:
-                found.append((-f, path))
-            continue
-        for start, i, score in into[place]:
-            heapq.heappush(heap, (-(best[start] + score + behind), (*path, (start, place, i)), start, score + behind))
-    return [(score, _ids(v, s, list(path[::-1]))) for score, path in found[:n]]
+    """A chunk's ``n`` best segmentations: A-star backwards from the end, the tokenizer's own choice first.
+
+    A hypothesis goes back from the end by the forward pass's best edges but for the side edges it names; what the forward
+    scores lose by a side edge is exact, so the heap's first hypothesis is always the next best path. Its successors take
+    one more side edge further back; only the n - 1 with the least losses can still be wanted. So the heap holds n * n
+    hypotheses at most, however long the chunk and however many paths tie.
+    """
+    best, by = _forward(v, s)
+
+    def sides(end: int) -> Iterator[tuple[float, int, int, int]]:
+        while end:
+            for start, i, score in _into(v, s, end):
+                if start != by[end][0]:
+                    yield best[end] - best[start] - score, end, start, i
+            end = by[end][0]
+
+    heap: list[tuple[float, tuple[tuple[int, int, int], ...]]] = [(0.0, ())]
+    found = []
+    while heap and len(found) < n:
+        loss, taken = heapq.heappop(heap)
+        side, path, end = {e: (b, i) for e, b, i in taken}, [], len(s)
+        while end:
+            start, i = side.get(end) or by[end][:2]
+            path.append((start, end, i))
+            end = start
+        found.append((best[-1] - loss, _ids(v, s, path[::-1])))
+        for more, end, start, i in heapq.nsmallest(n - 1, sides(taken[-1][1] if taken else len(s))):
+            heapq.heappush(heap, (loss + more, (*taken, (end, start, i))))
+    return found
 
 
 class Encoder:
