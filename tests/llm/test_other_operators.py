@@ -48,7 +48,7 @@ def test_bodies_have_no_quotes(linked):
     by = {(r["conv_id"], r["turn"]): r for r in linked}
     assert by[1, 1]["body"] == "Fine, thank you very much.\nAsk away, please do."
     assert by[1, 2]["body"] == "Why is the join slow here?" and by[1, 2]["quote_levels"] == 2
-    assert by[3, 0]["body"] == "x" and by[3, 0]["quote_levels"] == 2
+    assert by[3, 0]["body"] == "x" and by[3, 0]["quote_levels"] == 3
     assert by[2, None]["body"] == "" and by[None, 0]["body"] == ""
 
 
