@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import functions as F
+
 from ..config import QUANTILE_COLUMNS
 from ..functions.scalar import Z_SCORES
 from ..operators import panel as P
@@ -52,6 +54,36 @@ def q_xreg_one(spark, sf_dir):
     return rounded(xreg.fit_one_regressor(P.build_train(prepped), SUPPLIER, "temp"))
 
 
+# FC4 with two regressors and no holiday: the Gram solve against its closed form (means imputed on both sides).
+PLAIN = NATION.replace(holiday_region=None)
+
+
+@register(
+    "xreg_two_regressors",
+    with_panel(
+        "nation",
+        """SELECT series, ROUND(my - b1 * m1 - b2 * m2, 4) AS intercept, ROUND(b1, 4) AS b_temp, ROUND(b2, 4) AS b_prcp, n
+           FROM (SELECT *, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1,
+                        (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2
+                 FROM (SELECT series, CAST(COUNT(*) AS BIGINT) AS n, AVG(y) AS my, AVG(x1) AS m1, AVG(x2) AS m2,
+                              VAR_POP(x1) AS s11, VAR_POP(x2) AS s22, COVAR_POP(x1, x2) AS s12,
+                              COVAR_POP(x1, y) AS s1y, COVAR_POP(x2, y) AS s2y
+                       FROM (SELECT series, CAST(target AS DOUBLE) AS y,
+                                    COALESCE(temp, AVG(temp) OVER (PARTITION BY series), 0.0) AS x1,
+                                    COALESCE(prcp, AVG(prcp) OVER (PARTITION BY series), 0.0) AS x2 FROM train)
+                       GROUP BY series))""",
+        PLAIN,
+    ),
+)
+def q_xreg_two(spark, sf_dir):
+    prepped = prepped_for(spark, sf_dir, "nation", PLAIN)
+    model = xreg.fit_xreg(P.build_train(prepped), PLAIN, regressors=["temp", "prcp"], ridge=0.0)
+    b = F.col("beta")
+    return model.select(
+        "series", F.round(b[0], 4).alias("intercept"), F.round(b[1], 4).alias("b_temp"), F.round(b[2], 4).alias("b_prcp"), "n"
+    )
+
+
 def _z(c: str) -> float:
     return Z_SCORES[{"q10": 0.1, "q30": 0.3, "q50": 0.5, "q70": 0.7, "q90": 0.9}[c]]
 

@@ -1,4 +1,4 @@
-"""Ranking and parity cases (same numbers as the reference's tests)."""
+"""Ranking and parity cases worked out by hand."""
 
 import pytest
 

@@ -1,4 +1,4 @@
-"""Scorer cases computed by hand (same numbers as the reference's tests)."""
+"""Scorer cases computed by hand."""
 
 import math
 from datetime import date
