@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import prepare
-from .pieces import BLANK, Memo, Vocabulary, chunks, load, piece_automaton, unknown_ids
+from .pieces import BLANK, Memo, Vocabulary, chunks, load, neighbours, parts, piece_automaton, unknown_ids
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
@@ -75,16 +75,24 @@ def best_of(v: Vocabulary, s: str, automaton=None) -> tuple[float, tuple[int, ..
     start, piece = [0] * (n + 1), [0] * (n + 1)
     best[0] = 0.0
     if automaton:
-        edges = ((last + 1, last + 1 - length, i, score) for last, (length, i, score) in automaton.iter(s))
+        for end, (length, i, score) in automaton.iter(s):
+            end += 1
+            x = best[end - length] + score
+            if x > best[end]:
+                second[end] = best[end]
+                best[end] = x
+                start[end] = end - length
+                piece[end] = i
+            elif x > second[end]:
+                second[end] = x
     else:
-        edges = ((end, b, i, score) for end in range(1, n + 1) for b, i, score in _into(v, s, end))
-    for end, b, i, score in edges:
-        x = best[b] + score
-        if x > best[end]:
-            second[end], best[end] = best[end], x
-            start[end], piece[end] = b, i
-        elif x > second[end]:
-            second[end] = x
+        for end in range(1, n + 1):
+            for b, i, score in _into(v, s, end):
+                x = best[b] + score
+                if x > best[end]:
+                    second[end], best[end], start[end], piece[end] = best[end], x, b, i
+                elif x > second[end]:
+                    second[end] = x
     ids, end, loss = [], n, float("inf")
     while end:
         if best[end] - second[end] < loss:
@@ -95,7 +103,8 @@ def best_of(v: Vocabulary, s: str, automaton=None) -> tuple[float, tuple[int, ..
         else:
             ids.append(piece[end])
         end = b
-    return best[n], tuple(ids[::-1]), loss
+    ids.reverse()
+    return best[n], tuple(ids), loss
 
 
 def search(v: Vocabulary, s: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
@@ -130,30 +139,72 @@ def search(v: Vocabulary, s: str, n: int) -> list[tuple[float, tuple[int, ...]]]
     return found
 
 
+#: Stand for the bytes 0 to 255 while pieces are joined: code points of a private plane that no vocabulary piece may hold.
+_BYTES = re.compile("[\U000F0000-\U000F00FF]+")
+
+
+class Decoder:
+    def __init__(self, v: Vocabulary):
+        self.text = list(v.text)
+        if any(_BYTES.search(p) for p in v.text):
+            raise ValueError("a piece holds a code point that stands for a byte")
+        for b, i in enumerate(v.byte_ids):
+            self.text[i] = chr(0xF0000 + b)
+
+    def pieces(self, ids) -> str:
+        """The pieces' joined text, with the first blank."""
+        text = self.text
+        joined = "".join([text[i] for i in ids])
+        joined = _BYTES.sub(lambda m: bytes(ord(c) - 0xF0000 for c in m[0]).decode("utf-8", "replace"), joined)
+        return joined.replace(BLANK, " ")
+
+    def __call__(self, ids: list[int]) -> str:
+        """The text of a list of ids."""
+        return self.pieces(ids).removeprefix(" ")
+
+
 class Encoder:
     """Encodes and decodes whole texts; remembers chunks."""
 
     def __init__(self, v: Vocabulary, n: int):
-        self.v, self.n = v, n
-        automaton = piece_automaton(v)
-        known = {p for p in v.pieces if len(p) == 1}
-        self.best = Memo(lambda s: best_of(v, s, automaton if known.issuperset(s) else None))
-        self.more = Memo(lambda s: search(v, s, n))
-
-    def encode(self, text: str | None) -> list[tuple[float, list[int]]]:
-        """(score, ids) of the N best segmentations, best first."""
+        self.v, self.n, self.decode = v, n, Decoder(v)
+        self.automaton = piece_automaton(v)
+        self.known = {p for p in v.pieces if len(p) == 1}
+        self.pairs = neighbours(v)
+        self.best = Memo(self._best)
+        self.more = Memo(self._more)
+
+    def _best(self, chunk: str) -> tuple[float, tuple[int, ...], float]:
+        """A chunk's best segmentation, put together from its parts'."""
+        own = parts(chunk, self.pairs)
+        if len(own) == 1:
+            return best_of(self.v, chunk, self.automaton if self.known.issuperset(chunk) else None)
+        got = [self.best[s] for s in own]
+        return sum([g[0] for g in got]), tuple([i for g in got for i in g[1]]), min([g[2] for g in got])
+
+    def _more(self, chunk: str) -> tuple[list[tuple[float, tuple[int, ...]]], bool]:
+        """A chunk's N best segmentations, and whether every one of them decodes to the chunk."""
+        found = search(self.v, chunk, self.n)
+        want = chunk.replace(BLANK, " ")
+        return found, all(self.decode.pieces(ids) == want for _, ids in found)
+
+    def segment(self, text: str | None) -> tuple[list[tuple[float, list[int]]], bool]:
+        """(score, ids) of the N best segmentations, best first, and whether each decodes to the text. The alternatives
+        differ from the best one in whole chunks, so theirs is known from those chunks."""
         if not text:
-            return [(0.0, [])]
-        parts = chunks(text)
-        got = [self.best[s] for s in parts]
+            return [(0.0, [])], True
+        whole = chunks(text)
+        best = self.best
+        got = [best[s] for s in whole]
         total = sum([g[0] for g in got])
         ids = [i for g in got for i in g[1]]
-        out = [(total, ids)]
+        out, sound = [(total, ids)], self.decode(ids) == text.replace(BLANK, " ")
         if self.n == 1:
-            return out
+            return out, sound
         combos: list[tuple[float, tuple[tuple[int, int], ...]]] = [(0.0, ())]  # (loss, ((place, rank), ...))
         for _, place in heapq.nsmallest(self.n - 1, zip([g[2] for g in got], range(len(got)), strict=True)):
-            options = self.more[parts[place]]
+            options, decodes = self.more[whole[place]]
+            sound &= decodes
             top = options[0][0]
             grown = [(loss + top - sc, (*c, (place, r)) if r else c) for loss, c in combos for r, (sc, _) in enumerate(options)]
             combos = heapq.nsmallest(self.n, grown, key=lambda x: (x[0], sorted(x[1])))
@@ -161,29 +212,13 @@ class Encoder:
             other = ids.copy()
             for place, rank in sorted(c, reverse=True):
                 at = sum([len(g[1]) for g in got[:place]])
-                other[at : at + len(got[place][1])] = self.more[parts[place]][rank][1]
+                other[at : at + len(got[place][1])] = self.more[whole[place]][0][rank][1]
             out.append((total - loss, other))
-        return out
-
-
-#: Stand for the bytes 0 to 255 while pieces are joined: code points of a private plane that no vocabulary piece may hold.
-_BYTES = re.compile("[\U000F0000-\U000F00FF]+")
-
+        return out, sound
 
-class Decoder:
-    def __init__(self, v: Vocabulary):
-        self.text = list(v.text)
-        if any(_BYTES.search(p) for p in v.text):
-            raise ValueError("a piece holds a code point that stands for a byte")
-        for b, i in enumerate(v.byte_ids):
-            self.text[i] = chr(0xF0000 + b)
-
-    def __call__(self, ids: list[int]) -> str:
-        """The text of a list of ids."""
-        text = self.text
-        joined = "".join([text[i] for i in ids])
-        joined = _BYTES.sub(lambda m: bytes(ord(c) - 0xF0000 for c in m[0]).decode("utf-8", "replace"), joined)
-        return joined.replace(BLANK, " ").removeprefix(" ")
+    def encode(self, text: str | None) -> list[tuple[float, list[int]]]:
+        """(score, ids) of the N best segmentations, best first."""
+        return self.segment(text)[0]
 
 
 _encoders: dict[int, Encoder] = {}
@@ -244,16 +279,14 @@ def report(docs: DataFrame, model: str = MODEL, n: int = N_BEST) -> DataFrame:
     4-byte little-endian forms, SHA-256 in hex), and whether decoding every one gives the text back."""
 
     def rows(e: Encoder, texts: list):
-        decode = Decoder(e.v)
         tokens, best, scores, digests, back = [], [], [], [], []
         for t in texts:
-            got = e.encode(t)
+            got, sound = e.segment(t)
             tokens.append(len(got[0][1]))
             best.append(got[0][0])
             scores.append([s for s, _ in got])
             digests.append([hashlib.sha256(array("i", ids).tobytes()).hexdigest() for _, ids in got])
-            want = (t or "").replace(BLANK, " ")
-            back.append(all(decode(ids) == want for _, ids in got))
+            back.append(sound)
         return tokens, best, scores, digests, back
 
     schema = "doc_id long, n_tokens long, score double, nbest_scores array<double>, nbest_sha256 array<string>, round_trip boolean"

@@ -7,8 +7,10 @@ unknown of the least score minus 10, and is written as its UTF-8 bytes' pieces w
 Ties follow the tokenizer's own rule: of equally good ways to reach a place, the one whose last piece starts first wins.
 Scores are summed exactly (the library sums in 32-bit floats, so a very long text may tie differently there).
 
-Blanks occur only at the front of pieces, so no piece crosses from another character to a blank: a text's lattice falls
-apart into chunks (blanks and what follows them), and a chunk that occurs again is looked up in a bounded memory.
+Blanks occur only at the front of pieces, so no piece crosses from another character to a blank; nor does one cross a place
+between two characters that stand side by side in no piece. There a text's lattice falls apart: chunks (blanks and what
+follows them) and, within a chunk, parts are solved by themselves, and those that occur again are looked up in a bounded
+memory.
 """
 
 from __future__ import annotations
@@ -22,8 +24,8 @@ import sentencepiece
 BLANK = "▁"
 CHUNK = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
 UNKNOWN_PENALTY = 10.0
-#: Chunks of at most MEMO_CHARS characters are kept, 2 * MEMO of them at most.
-MEMO, MEMO_CHARS = 150_000, 48
+#: Chunks and parts of at most MEMO_CHARS characters are kept, 2 * MEMO of them at most (some 200 MB in a Python worker).
+MEMO, MEMO_CHARS = 300_000, 48
 
 
 class Vocabulary(NamedTuple):
@@ -70,6 +72,19 @@ def unknown_ids(v: Vocabulary, char: str) -> tuple[int, ...]:
     return tuple(v.byte_ids[b] for b in char.encode("utf-8", "surrogatepass"))
 
 
+def neighbours(v: Vocabulary) -> frozenset[str]:
+    """The pairs of characters that stand side by side in some piece."""
+    return frozenset(p[i : i + 2] for p in v.pieces for i in range(len(p) - 1))
+
+
+def parts(chunk: str, pairs: frozenset[str]) -> list[str]:
+    """The independent parts of a chunk (a word of letters alone is taken as one)."""
+    if chunk[1:].isalpha():
+        return [chunk]
+    cuts = [i for i in range(1, len(chunk)) if chunk[i - 1 : i + 1] not in pairs]
+    return [chunk[a:b] for a, b in zip([0, *cuts], [*cuts, len(chunk)], strict=True)] if cuts else [chunk]
+
+
 class Memo(dict):
     """Results by chunk in two generations: a full young one becomes the old one, a hit in the old one moves up."""
 

@@ -18,48 +18,48 @@ from pyspark.sql import DataFrame
 
 from .common import prepare
 from .nbest import MODEL
-from .pieces import Memo, Vocabulary, chunks, load, piece_automaton
+from .pieces import Memo, Vocabulary, chunks, load, neighbours, parts, piece_automaton
 
 
 class Counter:
     def __init__(self, v: Vocabulary):
-        self.v = v
+        self.v, self.pairs = v, neighbours(v)
         self.automaton = piece_automaton(v)
+        self.known = {p for p in v.pieces if len(p) == 1}
         self.memo = Memo(self.chunk)
 
     def chunk(self, s: str) -> tuple[float, int]:
-        """Best score and its number of pieces."""
+        """Best score of a chunk and its number of pieces, from its parts."""
+        own = parts(s, self.pairs)
+        if len(own) == 1:
+            return self.count(s)
+        got = [self.memo[p] for p in own]
+        return sum([g[0] for g in got]), sum([g[1] for g in got])
+
+    def count(self, s: str) -> tuple[float, int]:
+        """Best score and number of pieces of a part."""
         n = len(s)
-        best: list[float] = [0.0] + [0.0] * n
-        count = [0] * (n + 1)
-        seen = [False] * (n + 1)
-        single = [False] * (n + 1)
-        done = 0  # places up to here are settled
-
-        def settle(to: int) -> None:
-            # the unknown character is the last way to a place: it has the latest start
-            nonlocal done
-            while done < to:
-                done += 1
-                if not single[done]:
-                    x = best[done - 1] + self.v.unknown_score
-                    if not seen[done] or x > best[done]:
-                        best[done], seen[done] = x, True
-                        c = s[done - 1]
-                        count[done] = count[done - 1] + (len(c.encode("utf-8", "surrogatepass")) if self.v.byte_ids else 1)
-
+        best, count = [float("-inf")] * (n + 1), [0] * (n + 1)
+        best[0] = 0.0
+        unknown = [] if self.known.issuperset(s) else [i for i, c in enumerate(s) if c not in self.known]
         for last, (length, _, score) in self.automaton.iter(s):
-            end = last + 1
-            settle(end - 1)
-            start = end - length
-            x = best[start] + score
-            if not seen[end] or x > best[end]:
-                best[end], count[end], seen[end] = x, count[start] + 1, True
-            if length == 1:
-                single[end] = True
-        settle(n)
+            while unknown and unknown[0] < last:  # nothing ends there but longer pieces, which have been seen
+                self._unknown(s, unknown.pop(0), best, count)
+            x = best[last + 1 - length] + score
+            if x > best[last + 1]:
+                best[last + 1] = x
+                count[last + 1] = count[last + 1 - length] + 1
+        for at in unknown:
+            self._unknown(s, at, best, count)
         return best[n], count[n]
 
+    def _unknown(self, s: str, at: int, best: list[float], count: list[int]) -> None:
+        """The way to the place behind an unknown character: it starts last, so it wins only by a greater score."""
+        x = best[at] + self.v.unknown_score
+        if x > best[at + 1]:
+            best[at + 1] = x
+            count[at + 1] = count[at] + (len(s[at].encode("utf-8", "surrogatepass")) if self.v.byte_ids else 1)
+
     def text(self, t: str | None) -> tuple[int, float]:
         if not t:
             return 0, 0.0
