@@ -12,11 +12,11 @@ ORACLE["op9_decontamination"] = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_WORD9}') AS w FROM documents),
 b AS (SELECT DISTINCT item_id, regexp_extract_all({_LOWER}, '{_WORD9}') AS w FROM benchmark),
 bw AS (
-  SELECT DISTINCT item_id, len(w) AS n0, least(len(w), 13) AS n, w[i + 1 : i + least(len(w), 13)] AS g
+  SELECT DISTINCT item_id, len(w) AS n0, least(len(w), 13) AS n, array_to_string(w[i + 1 : i + least(len(w), 13)], ' ') AS g
   FROM b, unnest(range(len(w) - least(len(w), 13) + 1)) AS u(i) WHERE len(w) > 0),
 ns AS (SELECT DISTINCT n FROM bw),
 dw AS (
-  SELECT r, n, i, w[i + 1 : i + n] AS g FROM d, ns, unnest(range(len(w) - n + 1)) AS u(i) WHERE len(w) >= n),
+  SELECT r, n, i, array_to_string(w[i + 1 : i + n], ' ') AS g FROM d, ns, unnest(range(len(w) - n + 1)) AS u(i) WHERE len(w) >= n),
 m AS (SELECT r, i, dw.n, item_id FROM dw JOIN bw ON dw.n = bw.n AND dw.g = bw.g),
 h AS (SELECT r, count(DISTINCT i + j) AS n_hit FROM m, unnest(range(n)) AS u(j) GROUP BY r),
 t AS (
@@ -31,7 +31,7 @@ FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
 ORACLE["op10_minhash"] = rf"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD10}') AS w FROM documents),
 s AS (
-  SELECT DISTINCT doc_id, w[i + 1 : i + least(len(w), 5)] AS g
+  SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + least(len(w), 5)], ' ') AS g
   FROM d, unnest(range(len(w) - least(len(w), 5) + 1)) AS u(i) WHERE len(w) > 0),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 o AS (

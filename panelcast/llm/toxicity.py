@@ -112,8 +112,9 @@ def learn_lexicon(sample: DataFrame) -> tuple[dict[str, float], set[str]]:
     if not lexicon:
         return {}, set()
     heads = sample.sparkSession.createDataFrame([(k.strip(),) for k in lexicon], "head string")
-    harmless = scored.filter("weight < 0").select("stem")
-    harmless = harmless.join(F.broadcast(heads), F.col("stem").startswith(F.col("head")) & (F.length("stem") > F.length("head")))
+    longer = scored.filter("weight < 0").filter(F.length("stem") > STEM[0])
+    fronts = F.transform(F.sequence(F.lit(STEM[0]), F.length("stem") - 1), lambda n: F.substring(F.col("stem"), F.lit(1), n))
+    harmless = longer.select("stem", F.explode(fronts).alias("head")).join(F.broadcast(heads), "head")  # MAX_TERMS rows at most
     found = harmless.select("stem").distinct().orderBy("stem").limit(MAX_TERMS).collect()
     return lexicon, {r["stem"] for r in found}
 
