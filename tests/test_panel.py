@@ -108,3 +108,23 @@ def test_source_schema(spark, adapter):
     trips, w, m, cfg = adapters.adapter_inputs(spark, SF_SMALL, adapter)
     src = panel.build_source(trips, w, m, cfg)
     assert [(f.name, f.dataType) for f in src.schema.fields] == [(f.name, f.dataType) for f in source_schema(cfg).fields]
+
+
+def test_stored_panel_is_built_once_and_read_without_facts(spark):
+    from panelcast.plans.backtest import prepped_for
+
+    first = prepped_for(spark, SF_SMALL, "nation")
+    again = prepped_for(spark, SF_SMALL, "nation")
+    assert sorted(first.inputFiles()) == sorted(again.inputFiles())
+    plan = again.select("series")._jdf.queryExecution().optimizedPlan().toString()
+    assert "o_custkey" not in plan and "l_shipdate" not in plan and "temp" not in plan
+
+
+def test_top_and_modal_ids_share_one_pass_over_the_facts(spark):
+    trips, w, m, cfg = adapters.adapter_inputs(spark, SF_SMALL, "supplier")
+    cfg = cfg.replace(top_n=5)
+    counts = panel.id_counts(trips)
+    top = panel.top_series(trips, cfg, counts)
+    assert top.collect() == panel.top_series(trips, cfg).collect()
+    a = panel.modal_id(trips, top, cfg, counts).orderBy("series").collect()
+    assert a == panel.modal_id(trips, top, cfg).orderBy("series").collect()
