@@ -52,14 +52,23 @@ _FOLD = str.maketrans(
     HOMOGLYPHS | {chr(0xFF41 + i): chr(97 + i) for i in range(26)} | {"​": None, "‍": None, "­": None}
 )
 _DIGITS = str.maketrans(DIGITS)
-_MIXED = re.compile(r"[^\W_]*(?:[0-9@$][^\W\d_]|[^\W\d_][0-9@$])[\w@$]*")
+# A word with a digit or sign; tried once per word.
+_MIXED = re.compile(r"(?<![\w@$])[^\W\d_]*+[0-9@$][\w@$]*+")
+_LETTER = re.compile(r"[^\W\d_]")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def fold(text: str) -> str:
     """Lower case, look-alikes to Latin, and digits or signs to letters in words that mix them with letters."""
     t = text.lower().translate(_FOLD)
-    return _MIXED.sub(lambda m: m[0].rstrip("@$").translate(_DIGITS) + " " * (len(m[0]) - len(m[0].rstrip("@$"))), t)
+    return _MIXED.sub(_letters, t)
+
+
+def _letters(m: re.Match) -> str:
+    word = m[0].rstrip("@$")
+    if not _LETTER.search(word):
+        return m[0]  # a number
+    return word.translate(_DIGITS) + " " * (len(m[0]) - len(word))
 
 
 def stems(text: str) -> set[str]:
