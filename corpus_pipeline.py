@@ -14,7 +14,7 @@ from panelcast.llm.common import prepare, table, written
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or lie outside their language's perplexity band go."""
     prepare(spark)
-    return ngram_quality.filter_documents(docs)
+    return ngram_quality.filter_judged(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

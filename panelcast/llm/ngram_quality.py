@@ -13,6 +13,11 @@ distinct n-grams; its perplexity must lie between its language's lower and upper
   n characters passes if its mean surprisal (the log of its perplexity) lies between ``BAND_LOW`` standard deviations below
   and ``BAND_HIGH`` above the mean, both widened by ``BAND_SHORT / sqrt(n)``.
 
+The query and the pipeline use ``judge`` and ``filter_judged``: the model is counted over the distinct texts of each
+language, and the bounds come from the medians and quartiles of the surprisal of distinct texts that pass the base rules,
+by language and size class, so that copies move neither. ``score`` and ``filter_documents`` count every row and use the
+bands above.
+
 Symbols are code points of the lower-cased text, digits read as 0 and white space as a blank; those of U+1000 and above
 are hashed into 11 bits (a documented collision).
 
@@ -50,9 +55,15 @@ BAND_LOW = 0.30
 BAND_HIGH = 0.35
 BAND_SHORT = 3.0
 SLOT_BITS = 24
+#: ``judge``: a document may lie so many times the distance from its group's median to the quartile below and above.
+#: The lower side leaves room for near copies, which know each other's n-grams.
+REACH_LOW, REACH_HIGH = 10.0, 6.0
+#: A group of fewer distinct texts sets no bounds: its language's do, or none.
+LEAST_TEXTS = 40
 #: Distinct n-grams a counting task holds before it hands them on.
 FLUSH = 2_000_000
 
+MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, surprisal double, n long"
 VERDICT = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, perplexity double"
 
 
@@ -300,3 +311,74 @@ def filter_documents(docs: DataFrame, bits: int = SLOT_BITS) -> DataFrame:
     prepare(docs.sparkSession)
     v = verdict_column(fit(docs.select("text", "lang"), bits), docs.sparkSession, docs["text"], docs["lang"])
     return docs.withColumn("__llm_v", v).filter("__llm_v.kept").select(*[docs[c] for c in docs.columns])
+
+
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """(lang, text): each text of a language once, however often it is copied."""
+    return docs.select(F.coalesce("lang", F.lit("")).alias("lang"), "text").filter(F.col("text").isNotNull()).distinct()
+
+
+def _measured(model: Model, spark, text: F.Column, lang: F.Column) -> F.Column:
+    """Struct column with the base counts, the mean surprisal and the number of characters with the end."""
+    sent = spark.sparkContext.broadcast(model)
+
+    def measure(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        m = sent.value
+        for texts, langs in batches:
+            rows = []
+            for t, g in zip(texts, langs, strict=True):
+                b = base_counts(t)
+                failed = b[0] < MIN_WORDS or 100 * b[4] > MAX_REPEAT_PCT * b[0]
+                rows.append((*b, failed, *(m.surprisal(g, t) if t else (None, 0))))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in MEASURES.split(", ")])
+
+    measure.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.DataFrame]}
+    return F.pandas_udf(measure, MEASURES)(text, lang)
+
+
+def _quartiles(rows: DataFrame) -> DataFrame:
+    """(lang, size, lo, hi): bounds of the surprisal by language and size class (size null: the whole language), from the
+    distinct texts that pass the base rules. Surprisal is counted in steps of a thousandth, so the quartiles are exact."""
+    texts = rows.filter("NOT base_failed").groupBy("lang", "th", "n").agg(F.min("surprisal").alias("h"))
+    steps = texts.groupBy("lang", _size(), F.round(F.col("h") * 1000).cast("long").alias("step")).agg(F.count("*").alias("times"))
+    q = F.percentile("step", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("times")).alias("q")
+    found = steps.rollup("lang", "size").agg(q, F.sum("times").alias("texts")).filter("lang IS NOT NULL").filter(F.col("texts") >= LEAST_TEXTS)
+    lo, mid, hi = (F.col("q")[i] / 1000 for i in range(3))
+    return found.select("lang", "size", (mid - REACH_LOW * (mid - lo)).alias("lo"), (mid + REACH_HIGH * (hi - mid)).alias("hi"))
+
+
+def _size() -> F.Column:
+    return F.floor(F.log2(F.col("n").cast("double"))).alias("size")
+
+
+def _judged(rows: DataFrame) -> DataFrame:
+    """Rows of _measured's fields with ``kept`` and ``perplexity``."""
+    bounds = written(_quartiles(rows), "bounds")
+    own = bounds.filter("size IS NOT NULL").select(F.col("lang").alias("__llm_l"), F.col("size").alias("__llm_s"), F.col("lo").alias("__llm_lo"), F.col("hi").alias("__llm_hi"))
+    whole = bounds.filter("size IS NULL").select(F.col("lang").alias("__llm_w"), F.col("lo").alias("__llm_wlo"), F.col("hi").alias("__llm_whi"))
+    d = rows.join(F.broadcast(own), (F.col("lang") == F.col("__llm_l")) & (_size() == F.col("__llm_s")), "left")
+    d = d.join(F.broadcast(whole), F.col("lang") == F.col("__llm_w"), "left")
+    inside = F.col("surprisal").between(F.coalesce("__llm_lo", "__llm_wlo"), F.coalesce("__llm_hi", "__llm_whi"))
+    kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(True))
+    return d.withColumn("kept", kept).withColumn("perplexity", F.exp(F.least("surprisal", F.lit(700.0))))
+
+
+def judge(docs: DataFrame, bits: int = SLOT_BITS) -> DataFrame:
+    """The columns of ``score``; the model is counted over distinct texts, and a document passes if its surprisal lies
+    within the bounds that the distinct texts of its language and size class set."""
+    prepare(docs.sparkSession)
+    d = docs.select("doc_id", "text", "lang")
+    lang = F.coalesce("lang", F.lit(""))
+    v = _measured(fit(distinct_texts(d), bits), docs.sparkSession, F.col("text"), lang)
+    rows = written(d.select("doc_id", lang.alias("lang"), F.xxhash64("text").alias("th"), v.alias("v")).select("doc_id", "lang", "th", "v.*"), "measured")
+    return _judged(rows).select("doc_id", *[c.split()[0] for c in VERDICT.split(", ")])
+
+
+def filter_judged(docs: DataFrame, bits: int = SLOT_BITS) -> DataFrame:
+    """The documents that pass ``judge``, with all their columns."""
+    prepare(docs.sparkSession)
+    lang = F.coalesce("lang", F.lit(""))
+    v = _measured(fit(distinct_texts(docs), bits), docs.sparkSession, F.col("text"), lang)
+    own = F.struct(*docs.columns).alias("__llm_row")
+    rows = written(docs.select(own, lang.alias("lang"), F.xxhash64("text").alias("th"), v.alias("v")).select("__llm_row", "lang", "th", "v.*"), "measured")
+    return _judged(rows).filter("kept").select("__llm_row.*")

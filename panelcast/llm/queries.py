@@ -27,7 +27,7 @@ def op1_nbest_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_quality.score(table(spark, sf_dir, "documents"))
+    return ngram_quality.judge(table(spark, sf_dir, "documents"))
 
 
 def op3_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:

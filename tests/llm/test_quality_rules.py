@@ -1,14 +1,16 @@
 """Operator 2: base counts and the language model against brute force."""
 
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
 import pytest
 
 from panelcast.llm import ngram_quality as Q
+from panelcast.llm import queries
 
-from .fixtures import corpus, empty, frame
+from .fixtures import corpus, empty, frame, vocabulary, words
 
 
 def brute_base(text):
@@ -139,3 +141,19 @@ def test_junk_goes(spark):
 def test_empty_table(spark):
     assert Q.score(empty(spark)).count() == 0
     assert Q.filter_documents(empty(spark)).count() == 0
+
+
+def op2(spark, folder, rows):
+    frame(spark, rows).write.parquet(f"{folder}/documents.parquet")
+    return queries.op2_ngram_quality(spark, str(folder)).collect()
+
+
+def test_clean_documents_stay_beside_a_text_copied_to_a_third_of_the_rows(spark, tmp_path):
+    rng = random.Random(6)
+    v = vocabulary(rng, 2000)
+    rows = [(i, words(rng, rng.randint(30, 150), v), "en") for i in range(400)]
+    copied = words(rng, 400, v)
+    rows += [(1000 + i, copied, "en") for i in range(200)]
+    kept = {r["doc_id"]: r["kept"] for r in op2(spark, tmp_path, rows)}
+    assert sum(kept[i] for i in range(400)) >= 0.97 * 400
+    assert all(kept[1000 + i] for i in range(200))
