@@ -179,7 +179,7 @@ def _labelled(nodes: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _grouped(docs: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
-    """(sketches of all rows: doc_id, th, n, key), (key, component_id)."""
+    """(sketches of all rows: doc_id, th, n, key), (key, label, component_id); component_ids may be null or shared, labels not."""
     prepare(docs.sparkSession)
     texts = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
     rows = written(texts.mapInArrow(_sketch, "doc_id long, th long, n long, key long, bands array<long>"), "sketches")
@@ -213,7 +213,7 @@ def _grouped(docs: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
 
     full = _labelled(reps.select("node", "key", "doc_id"), labels)
     names = written(full.groupBy("label").agg(F.min("doc_id").alias("component_id")), "names")
-    return rows, written(full.join(names, "label").select("key", "component_id"), "components")
+    return rows, written(full.join(names, "label").select("key", "label", "component_id"), "components")
 
 
 def groups(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -228,11 +228,11 @@ def deduplicate(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """One document of each group, with all its columns: the one with the least doc_id."""
     rows, named = _grouped(docs.select("doc_id", "text"), threshold)
     d = rows.filter("n > 0").select("doc_id", "th", "key").join(named, "key")
-    d = written(d.groupBy("component_id", "doc_id", "th").agg(F.count("*").alias("copies")), "group-members")
+    d = written(d.groupBy("label", "doc_id", "th").agg(F.count("*").alias("copies")), "group-members")
     # one row's key per group: the least doc_id, then the least text hash
-    best = d.groupBy(F.col("component_id").alias("name")).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("x"))
+    best = d.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("x"))
     best = written(best, "kept")
-    kept = d.join(best, F.col("component_id").eqNullSafe(F.col("name")), "left")
+    kept = d.join(best, "label")
     is_best = (F.col("th") == F.col("x.th")) & F.col("doc_id").eqNullSafe(F.col("x.doc_id"))
     out = written(kept.filter(~is_best).select(F.col("th").alias("__llm_th"), F.col("doc_id").alias("__llm_id")).distinct(), "dropped")
     twice = written(kept.filter(is_best & (F.col("copies") > 1)).select(F.col("th").alias("__llm_th"), F.col("doc_id").alias("__llm_id")).distinct(), "repeated")

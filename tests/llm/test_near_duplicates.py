@@ -88,6 +88,18 @@ def test_deduplicate_leaves_one_of_each_group(spark):
     assert got == sorted(expected)
 
 
+def test_deduplicate_keeps_unrelated_texts_with_null_or_equal_ids(spark):
+    import random
+
+    rng = random.Random(11)
+    v = vocabulary(rng)
+    texts = [words(rng, 40, v) for _ in range(7)]
+    rows = [(i, t, "en") for i, t in zip([None, None, None, 5, 5, 5, 6], texts, strict=True)]
+    rows += [(None, texts[1], "en"), (9, texts[4], "en"), (None, texts[6], "en")]  # copies
+    got = sorted((r["doc_id"] or 0, r["text"]) for r in M.deduplicate(frame(spark, rows)).collect())
+    assert got == sorted((i or 0, t) for i, t, _ in rows[:7])
+
+
 def test_sketch_estimates_similarity():
     rng = np.random.Generator(np.random.PCG64(1))
     pool = rng.integers(0, 2**63, 1200, dtype=np.uint64) * np.uint64(2)
