@@ -2,7 +2,7 @@
 
 A message's lines are split by their quote level (the number of leading ``>`` signs; blanks between them are allowed). Runs
 of lines of one level are passages; a passage is normalised (quote signs off, letters and digits only, lower-cased, one
-blank between words) and hashed. A message's own text is its lines of level 0 without attribution lines ("... wrote:"
+blank between words) and hashed, however short it is; one without letters and digits is no passage. A message's own text is its lines of level 0 without attribution lines ("... wrote:"
 before a quote).
 
 Originals are indexed by conversation and hash: the whole own text, each own passage and each own line, with the earliest
@@ -34,8 +34,6 @@ QUOTE = r"^(?:[ \t]*>)+ ?"
 ATTRIBUTION = r"(?i)^\s*(on\b.*|.*\S) (wrote|schrieb|écrit|escribió) ?:\s*$"
 #: Turns in one block of the numbering.
 BLOCK = 256
-#: Passages of fewer characters after normalisation are not indexed: a lone "yes" is no quotation.
-MIN_CHARS = 8
 
 
 def normalised(text: Column) -> Column:
@@ -64,7 +62,7 @@ def _passages(lines: DataFrame) -> DataFrame:
     runs = runs.select("id", "conv_id", "turn", "level", F.array_join(F.col("ls.line"), " ").alias("t"), F.lit("run").alias("kind"))
     single = rows.select("id", "conv_id", "turn", "level", F.col("line").alias("t"), F.lit("line").alias("kind"))
     d = runs.unionByName(single).select("id", "conv_id", "turn", "level", "kind", normalised(F.col("t")).alias("norm"))
-    return d.filter(F.char_length("norm") >= MIN_CHARS)
+    return d.filter(F.char_length("norm") > 0)
 
 
 def _roots(parents: DataFrame) -> DataFrame:
@@ -94,7 +92,7 @@ def link(conversations: DataFrame) -> DataFrame:
 
     passages = written(_passages(lines), "passages")
     key = F.xxhash64("norm")
-    whole = m.join(facts, "id").select("conv_id", "turn", normalised(F.col("body")).alias("norm")).filter(F.char_length("norm") >= MIN_CHARS)
+    whole = m.join(facts, "id").select("conv_id", "turn", normalised(F.col("body")).alias("norm")).filter(F.char_length("norm") > 0)
     originals = passages.filter("level = 0").select("conv_id", "turn", "norm").unionByName(whole).filter("turn IS NOT NULL")
     originals = originals.groupBy(F.col("conv_id").alias("oc"), key.alias("oh")).agg(F.min("turn").alias("parent_turn"))
     originals = written(originals, "originals")

@@ -69,6 +69,13 @@ def test_long_conversation_is_numbered_by_blocks(spark):
     assert [r["turn"] for r in got] == sorted(range(1500), key=lambda i: (root[i], i))
 
 
+def test_short_passages_are_linked_and_counted(spark):
+    rows = [(1, 0, "user", "Thanks!"), (1, 1, "user", "今日は。"), (1, 2, "user", "> Thanks!\nYou are welcome."), (1, 3, "user", "> 今日は。\nGood day."), (1, 4, "user", "> Why?\nJust so."), (1, 5, "user", "> !!!\nWell.")]
+    got = {r["turn"]: r for r in quotes.link(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert [got[t]["parent_turn"] for t in range(6)] == [None, None, 0, 1, None, None]
+    assert [(got[t]["n_quoted"], got[t]["n_linked"]) for t in range(2, 6)] == [(1, 1), (1, 1), (1, 0), (0, 0)]
+
+
 def test_quotes_empty(spark):
     assert quotes.link(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
