@@ -11,24 +11,27 @@ from panelcast.session import shared_path, ship_package
 
 #: Rows of whole texts in one Arrow batch: bounds what a Python worker holds at once.
 ARROW_ROWS = 512
+#: Bytes of a batch, so that long texts don't meet in one.
+ARROW_BYTES = 32 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Ship the package to Python workers and bound the rows of an Arrow batch."""
+    """Ship the package to Python workers and bound the rows and bytes of an Arrow batch."""
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back: cuts the
     lineage, survives the loss of executors and gives Catalyst the measured size."""
     spark = df.sparkSession
     path = shared_path(spark, "llm", f"{label}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -65,3 +65,54 @@ m AS (
   FROM h LEFT JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY ALL)
 SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM m
 """
+
+ORACLE["op11_exact_dedup"] = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS n FROM d GROUP BY t)
+SELECT doc_id, keep_id, n AS group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)
+"""
+
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE CAST(strlen(CAST({0} AS VARCHAR)) AS VARCHAR) || ':' || CAST({0} AS VARCHAR) END"
+_LEAF = " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "{n_chars}", "text"))
+
+ORACLE["op13_merkle_manifest"] = f"""
+WITH RECURSIVE bytes AS (
+  SELECT doc_id, list_transform(range(strlen(CAST(doc_id AS VARCHAR))),
+    lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), i + 1, 1)) AS BIGINT)) AS b FROM documents),
+crc AS (
+  SELECT doc_id, xor(list_reduce(b, lambda c, x: list_reduce(range(8), lambda v, k:
+    xor(v // 2, CASE WHEN v % 2 = 1 THEN 3988292384 ELSE 0 END), xor(c, x)), 4294967295), 4294967295) AS crc FROM bytes),
+leaf AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS g, sha256({_LEAF.format(n_chars="n_chars")}) AS leaf,
+    CASE WHEN crc % 7 = 0 THEN sha256({_LEAF.format(n_chars="(n_chars + 1)")}) ELSE sha256({_LEAF.format(n_chars="n_chars")}) END AS held,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS p, count(*) OVER (PARTITION BY lang) AS n
+  FROM documents JOIN crc USING (doc_id)),
+node(g, l, p, n, h) AS (
+  SELECT g, 0, p, n, leaf FROM leaf
+  UNION ALL
+  SELECT g, l + 1, p // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY p)) FROM node WHERE n > 1 GROUP BY g, l, p // 2, n),
+sub AS (
+  SELECT g, l AS height, h, row_number() OVER (ORDER BY g) - 1 AS p, count(*) OVER () AS n FROM node WHERE n = 1),
+top(l, p, n, h) AS (
+  SELECT 0, p, n, h FROM sub
+  UNION ALL
+  SELECT l + 1, p // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY p)) FROM top WHERE n > 1 GROUP BY l, p // 2, n),
+step AS (
+  SELECT a.g, a.l, a.p, coalesce(b.h, '') AS s FROM node a LEFT JOIN node b ON a.g = b.g AND a.l = b.l AND b.p = xor(a.p, 1)
+  WHERE a.n > 1),
+top_step AS (SELECT a.l, a.p, coalesce(b.h, '') AS s FROM top a LEFT JOIN top b ON a.l = b.l AND b.p = xor(a.p, 1) WHERE a.n > 1),
+way AS (
+  SELECT doc_id, k, q, s FROM (
+    SELECT d.doc_id, s.l AS k, s.p AS q, s.s FROM leaf d JOIN step s ON s.g = d.g AND s.p = d.p >> s.l
+    UNION ALL
+    SELECT d.doc_id, sub.height + s.l, s.p, s.s FROM leaf d JOIN sub ON sub.g = d.g JOIN top_step s ON s.p = sub.p >> s.l)),
+climb(doc_id, k, h) AS (
+  SELECT doc_id, 0, held FROM leaf
+  UNION ALL
+  SELECT c.doc_id, c.k + 1, sha256(CASE WHEN w.q % 2 = 1 THEN w.s || c.h ELSE c.h || w.s END)
+  FROM climb c JOIN way w ON w.doc_id = c.doc_id AND w.k = c.k)
+SELECT d.doc_id, d.leaf, sub.h AS subroot, r.h AS root, sha256(coalesce(pr.s, '')) AS proof_sha256, f.h AS folded_root, f.h = r.h AS verified
+FROM leaf d JOIN sub ON sub.g = d.g CROSS JOIN (SELECT h FROM top WHERE n = 1) r
+LEFT JOIN (SELECT doc_id, string_agg(s, '' ORDER BY k) AS s FROM way GROUP BY doc_id) pr USING (doc_id)
+JOIN (SELECT doc_id, arg_max(h, k) AS h FROM climb GROUP BY doc_id) f USING (doc_id)
+"""

@@ -7,7 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, nbest, ngram_quality, quotes, random_indexing, secrets, token_count, toxicity, url_filter, winnowing
+from . import (
+    alignment, grace_dedup, merkle, minhash, nbest, ngram_quality, quotes, random_indexing, secrets, token_count, toxicity,
+    url_filter, winnowing,
+)
 from .common import table
 from .oracle import ORACLE
 
@@ -62,10 +65,23 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.groups(table(spark, sf_dir, "documents"), threshold=85)
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grace_dedup.groups(table(spark, sf_dir, "documents"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_nbest_encoding, op2_ngram_quality, op3_quote_linking, op4_toxicity, op5_quality,
         op6_url_filter, op7_token_count, op8_secret_scan, op9_decontamination, op10_minhash,
+        op11_exact_dedup, op12_alignment, op13_merkle_manifest,
     )
     return {f.__name__: f for f in found}
 
