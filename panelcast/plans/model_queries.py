@@ -139,7 +139,7 @@ def q_global(spark, sf_dir):
 
     prepped = prepped_for(spark, sf_dir, "nation", NATION)
     path = shared_path(spark, "models", f"global-gbt-{uuid.uuid4().hex[:12]}")
-    fitted = global_gbt.fit_global(prepped, NATION, path, max_iter=10, max_depth=4)
+    fitted = global_gbt.fit_global(prepped, NATION, path)
     reference = fitted.path
     del fitted  # forecast from the stored model alone
     model = global_gbt.GlobalModel.load(spark, reference)

@@ -3,6 +3,7 @@
 from datetime import date, timedelta
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -200,16 +201,32 @@ def test_ar_order_with_few_rows():
     assert len(phi) >= 1  # eight rows are too few for seven lags, not for one
 
 
-def test_residual_quantiles_are_exact(spark):
-    from panelcast.operators.forecast import global_gbt
+def test_grouped_quantiles_are_exact(spark):
+    from panelcast.operators.quantiles import grouped_quantiles
 
     rng = np.random.default_rng(2)
-    data = {1.0: rng.normal(size=401), 2.0: np.r_[np.zeros(50), 7.0], 3.0: np.array([4.0]), 4.0: rng.integers(0, 3, 200).astype(float)}
-    df = spark.createDataFrame([(h, float(v)) for h, vs in data.items() for v in vs], "h double, r double")
-    for bins in (1, 7, 1024):
-        got = {r["h"]: r["resid_q"] for r in global_gbt.residual_quantiles(df, bins).collect()}
+    data = {
+        1.0: rng.normal(size=401), 2.0: np.r_[np.zeros(50), 7.0], 3.0: np.array([4.0]), 4.0: rng.integers(0, 3, 200).astype(float),
+        5.0: np.r_[rng.normal(size=999), 1e12], 6.0: np.r_[np.full(400, 2.5), rng.normal(size=600)],
+    }
+    df = spark.createDataFrame([(h, float(v)) for h, vs in data.items() for v in vs] + [(1.0, None)], "h double, r double")
+    levels = [0.0, 0.1, 0.3, 0.5, 0.7, 0.9, 1.0]
+    for ranges in (1, 7, 512):
+        got = {r["h"]: r["quantiles"] for r in grouped_quantiles(df.repartition(5), ["h"], "r", levels, ranges).collect()}
         for h, vs in data.items():
-            assert got[h] == pytest.approx(np.quantile(vs, [0.1, 0.3, 0.5, 0.7, 0.9])), (bins, h)
+            assert got[h] == pytest.approx(np.quantile(vs, levels)), (ranges, h)
+
+
+def test_quantile_ranges_stay_even_under_heavy_tails(spark):
+    from panelcast.operators import quantiles as Q
+
+    rng = np.random.default_rng(4)
+    for values in (np.r_[rng.normal(size=20_000), 1e9], rng.standard_cauchy(20_001), np.exp(8 * rng.normal(size=20_001))):
+        df = spark.createDataFrame(pd.DataFrame({"h": 1, "r": values}))
+        sizes = {r["bin"]: r["n"] for r in Q.placed(df, ["h"], "r").groupBy("bin").agg(F.count("*").alias("n")).collect()}
+        assert sum(sizes.values()) == 20_001 and max(sizes.values()) < 201
+        got = Q.grouped_quantiles(df, ["h"], "r", [0.1, 0.5, 0.9]).first()["quantiles"]
+        assert got == pytest.approx(np.quantile(values, [0.1, 0.5, 0.9]))
 
 
 def test_global_model_from_its_reference(spark, tmp_path):
