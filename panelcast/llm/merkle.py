@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-TIER = 10
+TIER = 6
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
