@@ -27,6 +27,7 @@ from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -45,6 +46,8 @@ FAN_IN, CHUNK = 8, 1 << 16
 GAMMA = 2  # bits for each key of a level
 #: Characters that a tokenizer is given at once.
 PIECE, LOT = 1 << 20, 1 << 21
+#: Words that a Python worker remembers (some 150 MB).
+WORDS = 1 << 20
 
 # -- the two tokenizers -----------------------------------------------------------------------------------------------
 def byte_alphabet() -> dict[str, int]:
@@ -131,27 +134,72 @@ def ids_type(*tables: list[bytes]) -> str:
     return "<u2" if max(map(len, tables)) <= 1 << 16 else "<i4"
 
 
-def encode_pairs(texts: list[str], a_path: str, b_path: str, limit: int = PIECE) -> Iterator[tuple[list[int], list[int]]]:
-    """The ids of each text by both tokenizers; none where either doesn't give the text back."""
-    (encode_a, bytes_a), (encode_b, bytes_b) = tokenizer_a(a_path), tokenizer_b(b_path)
-    parts = [cut(t, limit) if t else [] for t in texts]
-    flat_a = in_lots(encode_a, [p if k else " " + p for x in parts for k, p in enumerate(x)])
-    flat_b = in_lots(encode_b, [p[1:] if k else p for x in parts for k, p in enumerate(x)])  # B puts the blank there itself
-    for text, x in zip(texts, parts, strict=True):
-        a, b = (next(flat) if len(x) == 1 else [i for _ in x for i in next(flat)] for flat in (flat_a, flat_b))
-        whole = (" " + text).encode()
-        same = b"".join(map(bytes_a.__getitem__, a)) == whole == b"".join(map(bytes_b.__getitem__, b))
-        yield (a, b) if same else ([], [])
+class Coder:
+    """Both tokenizers of a Python worker. B's tokens never hold a blank after another character, so where a text's blanks stand
+    alone its words are encoded for themselves and remembered (``WORDS`` of them at most)."""
+
+    def __init__(self, a_path: str, b_path: str, limit: int = PIECE):
+        (self.encode_a, self.bytes_a), (self.encode_b, self.bytes_b) = tokenizer_a(a_path), tokenizer_b(b_path)
+        self.kind, self.limit = ids_type(self.bytes_a, self.bytes_b), limit
+        self.by_words = all(re.fullmatch(b" *[^ ]*", p) for p in self.bytes_b)
+        self.words: dict[str, bytes | None] = {}
+
+    def packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
+
+    def back_b(self, ids) -> bytes:
+        return b"".join(map(self.bytes_b.__getitem__, ids))
+
+    def learn(self, words: set[str]) -> None:
+        """Remember the packed ids of ``words`` (none where they don't give the word back)."""
+        new = [w for w in words if w not in self.words]
+        if len(self.words) + len(new) > WORDS:
+            self.words, new = {}, list(words)
+        for k in range(0, len(new), 1 << 14):
+            some = new[k : k + (1 << 14)]
+            ids = self.encode_b(some)
+            ends = np.cumsum([0, *map(len, ids)]).tolist()
+            body, width = self.packed([i for x in ids for i in x]), np.dtype(self.kind).itemsize
+            back = [self.back_b(x) for x in ids]
+            for w, x, i, j in zip(some, back, ends, ends[1:], strict=False):
+                self.words[w] = body[width * i : width * j] if x == (" " + w).encode() else None
+
+    def side_b(self, text: str, parts: list[str]) -> bytes | None:
+        """B's ids of a text; none where they don't give it back. B puts the first blank itself."""
+        ids = [i for k, p in enumerate(parts) for i in self.encode_b([p[1:] if k else p])[0]]
+        return self.packed(ids) if self.back_b(ids) == (" " + text).encode() else None
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
+        """The packed ids of each text by both tokenizers; empty where either doesn't give the text back."""
+        parts = [cut(t, self.limit) if t else [] for t in texts]
+        flat = in_lots(self.encode_a, [p if k else " " + p for x in parts for k, p in enumerate(x)])
+        words = [t.split(" ") if self.by_words and t and "  " not in t and t[0] != " " and t[-1] != " " else None for t in texts]
+        self.learn(set().union(*[w for w in words if w]))
+        known = self.words
+        for text, x, own in zip(texts, parts, words, strict=True):
+            a = next(flat) if len(x) == 1 else [i for _ in x for i in next(flat)]
+            if own:
+                found = [known[w] for w in own]
+                b = None if None in found else b"".join(found)
+            else:
+                b = self.side_b(text, x) if text else None
+            same = b is not None and b"".join(map(self.bytes_a.__getitem__, a)) == (" " + text).encode()
+            yield (self.packed(a), b) if same else (b"", b"")
+
+
+@lru_cache(maxsize=2)
+def coder(a_path: str, b_path: str) -> Coder:
+    return Coder(a_path, b_path)
 
 
 def _encode(a_path: str, b_path: str):
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("a", pa.binary()), ("b", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = ids_type(tokenizer_a(a_path)[1], tokenizer_b(b_path)[1])
+        own = coder(a_path, b_path)
         for batch in batches:
-            found = list(encode_pairs([t or "" for t in batch.column(2).to_pylist()], a_path, b_path))
-            sides = [pa.array([np.array(x[k], kind).tobytes() for x in found], pa.binary()) for k in (0, 1)]
+            found = list(own.encode([t or "" for t in batch.column(2).to_pylist()]))
+            sides = [pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *sides], schema=schema)
 
     return run
@@ -170,45 +218,69 @@ def sizes_of(a_path: str, b_path: str) -> Sizes:
 
 
 class Aligned:
-    """Batch-wide arrays: ids and byte ends of both sides, and per link its A and B token and its document."""
+    """A batch as one string of bytes: each side's ends are marks over its places, links and groups are counts of marks."""
 
     def __init__(self, a: list[bytes], b: list[bytes], sizes: Sizes):
-        lengths_a, lengths_b, kind = sizes
-        self.a, self.b = (np.frombuffer(b"".join(x), kind) for x in (a, b))
-        self.n_a, self.n_b = (np.array([len(x) // np.dtype(kind).itemsize for x in xs], np.int64) for xs in (a, b))
-        self.ends_a, self.ends_b = np.cumsum(lengths_a[self.a]), np.cumsum(lengths_b[self.b])
-        ends = np.union1d(self.ends_a, self.ends_b)  # a link ends at each
-        self.link_a, self.link_b = np.searchsorted(self.ends_a, ends), np.searchsorted(self.ends_b, ends)
-        self.doc = np.repeat(np.arange(len(a)), self.n_a)[self.link_a]
+        width = np.dtype(sizes.kind).itemsize
+        self.a, self.b = (np.frombuffer(b"".join(x), sizes.kind) for x in (a, b))
+        self.n_a, self.n_b = (np.array([len(x) // width for x in xs], np.int64) for xs in (a, b))
+        self.ends_a, self.ends_b = np.cumsum(sizes.a[self.a]), np.cumsum(sizes.b[self.b])
+        total = int(self.ends_a[-1]) if len(self.ends_a) else 0
+        self.mark_a, self.mark_b = np.zeros(total + 1, bool), np.zeros(total + 1, bool)
+        self.mark_a[self.ends_a] = self.mark_b[self.ends_b] = True
+        self.links = np.flatnonzero(self.mark_a | self.mark_b)  # a link ends at each
+        self.upto_a, self.upto_b = (np.cumsum(m, dtype=np.int32) for m in (self.mark_a, self.mark_b))
+        #: The byte at which each document ends (documents without tokens end where the one before does).
+        self.doc_ends = np.concatenate([[0], self.ends_a])[np.cumsum(self.n_a)] if len(a) else np.zeros(0, np.int64)
 
     def pairs(self) -> np.ndarray:
         """A code per link: B id in the upper half, so that a B id's pairs stand together."""
-        return self.b[self.link_b].astype(np.int64) << 32 | self.a[self.link_a]
+        at = self.links
+        left, right = self.a[self.upto_a[at] - self.mark_a[at]], self.b[self.upto_b[at] - self.mark_b[at]]
+        return right.astype(np.int64) << 32 | left
 
     def per_doc(self, values: np.ndarray) -> np.ndarray:
         """Sums over each document's links (exact in 64-bit integers)."""
         total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
-        at = np.searchsorted(self.doc, np.arange(len(self.n_a) + 1))
-        return total[at[1:]] - total[at[:-1]]
+        return np.diff(total[np.searchsorted(self.links, self.doc_ends, side="right")], prepend=0)
 
-    def groups(self) -> tuple[np.ndarray, list[str]]:
+    def groups(self, digits: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, list[str]]:
         """Per document the number of groups and the digest of ``a1,a2|b1;a3|b2``."""
-        both = np.intersect1d(self.ends_a, self.ends_b, assume_unique=True)
-        group_a, group_b = np.searchsorted(both, self.ends_a), np.searchsorted(both, self.ends_b)
-        last_a = np.append(group_a[1:] != group_a[:-1], True) if len(group_a) else np.zeros(0, bool)
-        last_b = np.append(group_b[1:] != group_b[:-1], True) if len(group_b) else np.zeros(0, bool)
+        both = self.mark_a & self.mark_b
+        ends = np.flatnonzero(both)
+        n_groups = np.diff(np.searchsorted(ends, self.doc_ends, side="right"), prepend=0)
         # order of writing: by group, A before B, by place
-        order = np.argsort(np.concatenate([group_a * 2, group_b * 2 + 1]), kind="stable")
-        ids = np.concatenate([self.a, self.b])[order].tolist()
-        marks = np.concatenate([np.where(last_a, 1, 0), np.where(last_b, 2, 0)])[order].tolist()
-        signs = (",", "|", ";")
-        words = [str(i) + signs[m] for i, m in zip(ids, marks, strict=True)]
-        n, digests, at = np.zeros(len(self.n_a), np.int64), [], 0
-        for k, size in enumerate((self.n_a + self.n_b).tolist()):
-            digests.append(hashlib.sha256("".join(words[at : at + size])[:-1].encode()).hexdigest() if size else "")
-            n[k] = marks[at : at + size].count(2)
-            at += size
-        return n, digests
+        group_a, group_b = np.searchsorted(ends, self.ends_a), np.searchsorted(ends, self.ends_b)
+        before_b = np.concatenate([[0], self.upto_b[ends]])
+        codes = np.empty(len(self.a) + len(self.b), np.int64)
+        codes[np.arange(len(self.a)) + before_b[group_a]] = 3 * self.a.astype(np.int64) + both[self.ends_a]
+        codes[np.arange(len(self.b)) + self.upto_a[ends][group_b]] = 3 * self.b.astype(np.int64) + 2 * both[self.ends_b]
+        text, size = digits[0][codes], digits[1][codes]
+        flat = text[np.arange(text.shape[1]) < size[:, None]].tobytes()
+        stops = np.concatenate([[0], np.cumsum(size)])[np.cumsum(self.n_a + self.n_b)].tolist() if len(self.n_a) else []
+        digests, at = [], 0
+        for stop in stops:
+            digests.append(hashlib.sha256(flat[at : stop - 1]).hexdigest() if stop > at else "")
+            at = stop
+        return n_groups, digests
+
+
+def digit_table(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and length of every id with each of the signs , | ; behind it, at 3 * id + sign."""
+    words = [f"{i}{s}".encode() for i in range(n) for s in ",|;"]
+    width = max(map(len, words))
+    text = np.frombuffer(b"".join(w.ljust(width) for w in words), np.uint8).reshape(len(words), width)
+    return text, np.array([len(w) for w in words], np.int64)
+
+
+def counted(pairs: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs and how often each occurs (by ``weights``)."""
+    at, distinct = pd.factorize(pairs)
+    if weights is None:
+        return distinct, np.bincount(at, minlength=len(distinct))
+    summed = np.zeros(len(distinct), np.int64)
+    np.add.at(summed, at, weights)
+    return distinct, summed
 
 
 def _pair_counts(sizes: Sizes, limit: int = 1 << 20):
@@ -224,11 +296,8 @@ def _pair_counts(sizes: Sizes, limit: int = 1 << 20):
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in fields], names=["part", "pair", "n"])
 
         for batch in batches:
-            found, n = np.unique(Aligned(*(batch.column(k).to_pylist() for k in (0, 1)), sizes).pairs(), return_counts=True)
-            merged, at = np.unique(np.concatenate([keys, found]), return_inverse=True)
-            summed = np.zeros(len(merged), np.int64)
-            np.add.at(summed, at, np.concatenate([counts, n]))
-            keys, counts = merged, summed
+            found, n = counted(Aligned(*(batch.column(k).to_pylist() for k in (0, 1)), sizes).pairs())
+            keys, counts = counted(np.concatenate([keys, found]), np.concatenate([counts, n]))
             if len(keys) > limit:
                 yield from out()
                 keys, counts = keys[:0], counts[:0]
@@ -387,15 +456,16 @@ def _look_up(shared, sizes: Sizes, first: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, counts, best = shared.value
+        digits = digit_table(max(len(sizes.a), len(sizes.b))) if first else None
         for batch in batches:
             aligned = Aligned(*(batch.column(k).to_pylist() for k in (2, 3)), sizes)
-            distinct, back = np.unique(aligned.pairs(), return_inverse=True)
+            back, distinct = pd.factorize(aligned.pairs())
             at = block.index(distinct)
             count = np.where(at >= 0, counts[at], 0)[back] if len(at) else back
             is_best = np.where(at >= 0, best[at], False)[back] if len(at) else back
             none = np.zeros(batch.num_rows, np.int64)
-            n_groups, digests = aligned.groups() if first else (none, [None] * batch.num_rows)
-            own = (aligned.n_a, aligned.n_b, n_groups, aligned.per_doc(np.ones(len(aligned.doc), np.int64))) if first else (none,) * 4
+            n_groups, digests = aligned.groups(digits) if first else (none, [None] * batch.num_rows)
+            own = (aligned.n_a, aligned.n_b, n_groups, aligned.per_doc(np.ones(len(aligned.links), np.int64))) if first else (none,) * 4
             sums = aligned.per_doc(is_best), aligned.per_doc(count)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *(pa.array(x, pa.int64()) for x in (*own, *sums)), pa.array(digests, pa.string())], schema=DIGEST

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-TIER = 6
+TIER = 10
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -121,8 +121,7 @@ def manifest(docs: DataFrame, fields: Sequence[str] = FIELDS, id_col: str = "doc
         digest(*[field(F.col(c)) for c in fields]).alias("node"), digest(*held).alias("held"),
     )
     tiers, subroots = _climb(placed(written(leaves, "leaves"), ["id", "node"]), tier)
-    subroots = written(subroots.select(F.col("g").alias("name"), "node"), "subroots")
-    tops = subroots.select(F.lit("").alias("g"), F.monotonically_increasing_id().alias("row"), "name", "node")
+    tops = subroots.select(F.lit("").alias("g"), F.lit(0).cast("long").alias("row"), F.col("g").alias("name"), "node")
     top_tiers, root = _climb(placed(tops, ["name"]), tier)  # root: one row, or none
     root = root.select("g", F.lit(0).cast("long").alias("block"), F.array().cast("array<string>").alias("steps"), F.col("node").alias("root"))
     trees = _descend(top_tiers, F.broadcast(root), ["root"]).select(

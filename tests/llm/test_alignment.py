@@ -121,9 +121,25 @@ def test_the_quicker_tokenizer_gives_the_same_ids(tokenizers):
 
 def test_long_texts_are_cut_where_tokens_end():
     text = next(t for i, t, _ in corpus(9, 25) if i == 106) + "  two  blanks \n new\tline  é ▁ x" + " y" * 50
-    whole = next(A.encode_pairs([text.replace("▁", "_")], A.A_FILE, A.B_FILE))
-    parts = next(A.encode_pairs([text.replace("▁", "_")], A.A_FILE, A.B_FILE, limit=40))
+    text = text.replace("▁", "_")
+    whole = next(A.Coder(A.A_FILE, A.B_FILE).encode([text]))
+    parts = next(A.Coder(A.A_FILE, A.B_FILE, limit=40).encode([text]))
     assert parts == whole and len(whole[0]) > 1000
+    encode_a, encode_b = A.tokenizer_a(A.A_FILE)[0], A.tokenizer_b(A.B_FILE)[0]
+    assert whole == tuple(np.array(e([t])[0], "<u2").tobytes() for e, t in ((encode_a, " " + text), (encode_b, text)))
+
+
+def test_words_give_the_library_s_ids():
+    own, encode = A.Coder(A.A_FILE, A.B_FILE), A.tokenizer_b(A.B_FILE)[0]
+    assert own.by_words
+    texts = [t for _, t, _ in [*corpus(4, 40), *AWKWARD] if t]
+    for t, (_, body) in zip(texts, own.encode(texts), strict=True):
+        assert body == (b"" if "▁" in t else np.array(encode([t])[0], "<u2").tobytes())
+    assert own.words
+
+
+def test_cuts():
+    text = next(t for i, t, _ in corpus(9, 25) if i == 106)
     assert len(A.cut(text, 40)) > 100 and "".join(A.cut(text, 40)) == text
 
 
