@@ -21,6 +21,7 @@ import re
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -163,8 +164,21 @@ class Decoder:
         return self.pieces(ids).removeprefix(" ")
 
 
+def packed(ids) -> bytes:
+    """The ids' 4-byte little-endian forms."""
+    return array("i", ids).tobytes()
+
+
+def unpacked(body: bytes) -> list[int]:
+    out = array("i")
+    out.frombytes(body)
+    return out.tolist()
+
+
 class Encoder:
-    """Encodes and decodes whole texts; remembers chunks."""
+    """Encodes and decodes whole texts; remembers chunks. Ids are kept packed, so a document's are its chunks' bytes in a row, and
+    whether a chunk decodes to itself is known with it: a run of byte pieces never goes beyond a chunk, so a document decodes to
+    itself where its chunks do."""
 
     def __init__(self, v: Vocabulary, n: int):
         self.v, self.n, self.decode = v, n, Decoder(v)
@@ -173,32 +187,38 @@ class Encoder:
         self.pairs = neighbours(v)
         self.best = Memo(self._best)
         self.more = Memo(self._more)
+        self.part = Memo(self._part)
 
-    def _best(self, chunk: str) -> tuple[float, tuple[int, ...], float]:
-        """A chunk's best segmentation, put together from its parts'."""
+    def _part(self, part: str) -> tuple[float, tuple[int, ...], float]:
+        return best_of(self.v, part, self.automaton if self.known.issuperset(part) else None)
+
+    def _best(self, chunk: str) -> tuple[float, bytes, float, bool]:
+        """A chunk's best segmentation, put together from its parts': score, packed ids, least loss of another one, and whether it
+        decodes to the chunk."""
         own = parts(chunk, self.pairs)
-        if len(own) == 1:
-            return best_of(self.v, chunk, self.automaton if self.known.issuperset(chunk) else None)
-        got = [self.best[s] for s in own]
-        return sum([g[0] for g in got]), tuple([i for g in got for i in g[1]]), min([g[2] for g in got])
+        got = [self.part[s] for s in own] if len(own) > 1 else [self._part(chunk)]
+        ids = [i for g in got for i in g[1]]
+        return sum([g[0] for g in got]), packed(ids), min([g[2] for g in got]), self._sound(chunk, ids)
 
-    def _more(self, chunk: str) -> tuple[list[tuple[float, tuple[int, ...]]], bool]:
+    def _sound(self, chunk: str, ids) -> bool:
+        return self.decode.pieces(ids) == chunk.replace(BLANK, " ")
+
+    def _more(self, chunk: str) -> tuple[list[tuple[float, bytes]], bool]:
         """A chunk's N best segmentations, and whether every one of them decodes to the chunk."""
         found = search(self.v, chunk, self.n)
-        want = chunk.replace(BLANK, " ")
-        return found, all(self.decode.pieces(ids) == want for _, ids in found)
+        return [(score, packed(ids)) for score, ids in found], all(self._sound(chunk, ids) for _, ids in found)
 
-    def segment(self, text: str | None) -> tuple[list[tuple[float, list[int]]], bool]:
-        """(score, ids) of the N best segmentations, best first, and whether each decodes to the text. The alternatives
+    def segment(self, text: str | None) -> tuple[list[tuple[float, bytes]], bool]:
+        """(score, packed ids) of the N best segmentations, best first, and whether each decodes to the text. The alternatives
         differ from the best one in whole chunks, so theirs is known from those chunks."""
         if not text:
-            return [(0.0, [])], True
+            return [(0.0, b"")], True
         whole = chunks(text)
         best = self.best
         got = [best[s] for s in whole]
         total = sum([g[0] for g in got])
-        ids = [i for g in got for i in g[1]]
-        out, sound = [(total, ids)], self.decode(ids) == text.replace(BLANK, " ")
+        bodies = [g[1] for g in got]
+        out, sound = [(total, b"".join(bodies))], all([g[3] for g in got])
         if self.n == 1:
             return out, sound
         combos: list[tuple[float, tuple[tuple[int, int], ...]]] = [(0.0, ())]  # (loss, ((place, rank), ...))
@@ -209,16 +229,15 @@ class Encoder:
             grown = [(loss + top - sc, (*c, (place, r)) if r else c) for loss, c in combos for r, (sc, _) in enumerate(options)]
             combos = heapq.nsmallest(self.n, grown, key=lambda x: (x[0], sorted(x[1])))
         for loss, c in combos[1:]:
-            other = ids.copy()
-            for place, rank in sorted(c, reverse=True):
-                at = sum([len(g[1]) for g in got[:place]])
-                other[at : at + len(got[place][1])] = self.more[whole[place]][0][rank][1]
-            out.append((total - loss, other))
+            other = bodies.copy()
+            for place, rank in c:
+                other[place] = self.more[whole[place]][0][rank][1]
+            out.append((total - loss, b"".join(other)))
         return out, sound
 
     def encode(self, text: str | None) -> list[tuple[float, list[int]]]:
         """(score, ids) of the N best segmentations, best first."""
-        return self.segment(text)[0]
+        return [(score, unpacked(body)) for score, body in self.segment(text)[0]]
 
 
 _encoders: dict[int, Encoder] = {}
@@ -246,7 +265,7 @@ def _over_texts(docs: DataFrame, model: str, n: int, rows, schema: str) -> DataF
         e, arrow = _encoder(sent, n), to_arrow_schema(types)
         for b in batches:
             columns = rows(e, b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, f.type) for c, f in zip(columns, list(arrow)[1:], strict=True))], schema=arrow)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, list(arrow)[1:], strict=True))], schema=arrow)
 
     return docs.select("doc_id", "text").mapInArrow(run, types)
 
@@ -275,19 +294,22 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
 
 
 def report(docs: DataFrame, model: str = MODEL, n: int = N_BEST) -> DataFrame:
-    """Per document: tokens and score of the best segmentation, the scores of the N best, a digest of the ids of each (their
+    """Per document: tokens, score and ids of the best segmentation, the scores of the N best, a digest of the ids of each (their
     4-byte little-endian forms, SHA-256 in hex), and whether decoding every one gives the text back."""
 
     def rows(e: Encoder, texts: list):
-        tokens, best, scores, digests, back = [], [], [], [], []
+        tokens, best, bodies, scores, digests, back = [], [], [], [], [], []
         for t in texts:
             got, sound = e.segment(t)
-            tokens.append(len(got[0][1]))
+            tokens.append(len(got[0][1]) // 4)
             best.append(got[0][0])
+            bodies.append(got[0][1])
             scores.append([s for s, _ in got])
-            digests.append([hashlib.sha256(array("i", ids).tobytes()).hexdigest() for _, ids in got])
+            digests.append([hashlib.sha256(body).hexdigest() for _, body in got])
             back.append(sound)
-        return tokens, best, scores, digests, back
+        ends = np.cumsum([0, *tokens], dtype=np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(bodies), "<i4")))
+        return tokens, best, scores, digests, back, ids
 
-    schema = "doc_id long, n_tokens long, score double, nbest_scores array<double>, nbest_sha256 array<string>, round_trip boolean"
+    schema = "doc_id long, n_tokens long, score double, nbest_scores array<double>, nbest_sha256 array<string>, round_trip boolean, ids array<int>"
     return _over_texts(docs, model, n, rows, schema)

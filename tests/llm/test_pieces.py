@@ -126,7 +126,7 @@ def test_queries(spark, v):
     want = []
     for i, t, _ in rows:
         best = e.encode(t)
-        want.append((i, len(best[0][1]), best[0][0], [s for s, _ in best], [hashlib.sha256(array("i", x).tobytes()).hexdigest() for _, x in best], True))
+        want.append((i, len(best[0][1]), best[0][0], [s for s, _ in best], [hashlib.sha256(array("i", x).tobytes()).hexdigest() for _, x in best], True, best[0][1]))
     key = lambda r: (str(r[0]), str(r[1:]))
     assert sorted([tuple(r) for r in got], key=key) == sorted(want, key=key)
     assert sorted([tuple(r) for r in counts], key=key) == sorted([w[:3] for w in want], key=key)

@@ -65,7 +65,7 @@ def brute(rows, bench):
                 text += t[at:a] + "[secret]"
             at = max(at, b)
         best = encoder.encode(text + t[at:])
-        out.append((i, len(best[0][1]), best[0][0], [s for s, _ in best], [hashlib.sha256(array("i", x).tobytes()).hexdigest() for _, x in best], True))
+        out.append((i, len(best[0][1]), best[0][0], [s for s, _ in best], [hashlib.sha256(array("i", x).tobytes()).hexdigest() for _, x in best], True, best[0][1]))
     return out
 
 
