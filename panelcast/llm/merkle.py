@@ -111,16 +111,16 @@ def fold(leaf: Column, steps: Column) -> Column:
 
 
 def manifest(docs: DataFrame, fields: Sequence[str] = FIELDS, id_col: str = "doc_id", group: str = "lang",
-             altered: dict[str, Column] | None = None, tier: int = TIER) -> DataFrame:
+             altered: dict[str, Column] | None = None, where: Column | None = None, tier: int = TIER) -> DataFrame:
     """Per row: id, leaf, subroot, root, steps, proof_sha256, folded_root and verified. ``altered`` gives expressions for the
-    fields of a copy that is verified against the original's siblings (none: the original itself)."""
-    held = [field((altered or {}).get(c, F.col(c))) for c in fields]
+    fields of a copy that is verified against the original's siblings, in the rows that meet ``where`` (none: the original)."""
+    own = digest(*[field(F.col(c)) for c in fields])
     leaves = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
-        F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit("")).alias("g"),
-        digest(*[field(F.col(c)) for c in fields]).alias("node"), digest(*held).alias("held"),
+        F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit("")).alias("g"), own.alias("node"),
+        (F.when(where, digest(*[field(altered.get(c, F.col(c))) for c in fields])) if altered else F.lit(None).cast("string")).alias("held"),
     )
-    tiers, subroots = _climb(placed(written(leaves, "leaves"), ["id", "node"]), tier)
+    tiers, subroots = _climb(placed(leaves, ["id", "node"]), tier)
     tops = subroots.select(F.lit("").alias("g"), F.lit(0).cast("long").alias("row"), F.col("g").alias("name"), "node")
     top_tiers, root = _climb(placed(tops, ["name"]), tier)  # root: one row, or none
     root = root.select("g", F.lit(0).cast("long").alias("block"), F.array().cast("array<string>").alias("steps"), F.col("node").alias("root"))
@@ -130,12 +130,11 @@ def manifest(docs: DataFrame, fields: Sequence[str] = FIELDS, id_col: str = "doc
     return _descend(tiers, trees, ["subroot", "root"]).select(
         F.col("id").alias(id_col), F.col("node").alias("leaf"), "subroot", "root", "steps",
         F.sha2(F.array_join(F.transform("steps", lambda s: F.substring(s, 2, 64)), ""), 256).alias("proof_sha256"),
-        fold(F.col("held"), F.col("steps")).alias("folded_root"),
+        fold(F.coalesce("held", "node"), F.col("steps")).alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
 def report(docs: DataFrame, tier: int = TIER) -> DataFrame:
     """The manifest with n_chars raised by one where 7 divides the CRC-32 of the id's digits."""
     hit = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 0
-    found = manifest(docs, altered={"n_chars": F.when(hit, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}, tier=tier)
-    return found.drop("steps")
+    return manifest(docs, altered={"n_chars": F.col("n_chars") + 1}, where=hit, tier=tier).drop("steps")
