@@ -30,6 +30,8 @@ from .pieces import BLANK, Memo, Vocabulary, chunks, load, neighbours, parts, pi
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
+#: Chunks that a Python worker remembers in each of two generations (some 250 bytes each).
+CHUNKS = 600_000
 
 
 Edge = tuple[int, int, float]  # start, id (-1: an unknown character), score
@@ -185,20 +187,27 @@ class Encoder:
         self.automaton = piece_automaton(v)
         self.known = {p for p in v.pieces if len(p) == 1}
         self.pairs = neighbours(v)
-        self.best = Memo(self._best)
+        self.best = Memo(self._best, CHUNKS)
         self.more = Memo(self._more)
         self.part = Memo(self._part)
 
-    def _part(self, part: str) -> tuple[float, tuple[int, ...], float]:
-        return best_of(self.v, part, self.automaton if self.known.issuperset(part) else None)
+    def _part(self, part: str) -> tuple[float, tuple[int, ...], float, bool]:
+        """A part's best segmentation, and whether it decodes to the part: it does where all characters are pieces, as its pieces
+        are then the part's own text."""
+        plain = self.known.issuperset(part)
+        score, ids, loss = best_of(self.v, part, self.automaton if plain else None)
+        return score, ids, loss, plain or self._sound(part, ids)
 
     def _best(self, chunk: str) -> tuple[float, bytes, float, bool]:
         """A chunk's best segmentation, put together from its parts': score, packed ids, least loss of another one, and whether it
         decodes to the chunk."""
         own = parts(chunk, self.pairs)
-        got = [self.part[s] for s in own] if len(own) > 1 else [self._part(chunk)]
+        if len(own) == 1:
+            score, ids, loss, sound = self._part(chunk)
+            return score, packed(ids), loss, sound
+        got = [self.part[s] for s in own]
         ids = [i for g in got for i in g[1]]
-        return sum([g[0] for g in got]), packed(ids), min([g[2] for g in got]), self._sound(chunk, ids)
+        return sum([g[0] for g in got]), packed(ids), min([g[2] for g in got]), all([g[3] for g in got])
 
     def _sound(self, chunk: str, ids) -> bool:
         return self.decode.pieces(ids) == chunk.replace(BLANK, " ")
@@ -215,21 +224,22 @@ class Encoder:
             return [(0.0, b"")], True
         whole = chunks(text)
         best = self.best
-        got = [best[s] for s in whole]
-        total = sum([g[0] for g in got])
-        bodies = [g[1] for g in got]
-        out, sound = [(total, b"".join(bodies))], all([g[3] for g in got])
+        scores, bodies, losses, sounds = zip(*[best[s] for s in whole], strict=True)
+        total = sum(scores)
+        out, sound = [(total, b"".join(bodies))], all(sounds)
         if self.n == 1:
             return out, sound
         combos: list[tuple[float, tuple[tuple[int, int], ...]]] = [(0.0, ())]  # (loss, ((place, rank), ...))
-        for _, place in heapq.nsmallest(self.n - 1, zip([g[2] for g in got], range(len(got)), strict=True)):
+        bound = heapq.nsmallest(self.n - 1, losses)[-1]
+        near = sorted([(loss, k) for k, loss in enumerate(losses) if loss <= bound])  # the first of equal ones first
+        for _, place in near[: self.n - 1]:
             options, decodes = self.more[whole[place]]
             sound &= decodes
             top = options[0][0]
             grown = [(loss + top - sc, (*c, (place, r)) if r else c) for loss, c in combos for r, (sc, _) in enumerate(options)]
             combos = heapq.nsmallest(self.n, grown, key=lambda x: (x[0], sorted(x[1])))
         for loss, c in combos[1:]:
-            other = bodies.copy()
+            other = list(bodies)
             for place, rank in c:
                 other[place] = self.more[whole[place]][0][rank][1]
             out.append((total - loss, b"".join(other)))

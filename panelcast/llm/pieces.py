@@ -88,9 +88,9 @@ def parts(chunk: str, pairs: frozenset[str]) -> list[str]:
 class Memo(dict):
     """Results by chunk in two generations: a full young one becomes the old one, a hit in the old one moves up."""
 
-    def __init__(self, compute):
+    def __init__(self, compute, size: int | None = None):
         super().__init__()
-        self.compute, self.old = compute, {}
+        self.compute, self.old, self.size = compute, {}, size
 
     def __missing__(self, chunk: str):
         got = self.old.get(chunk)
@@ -98,7 +98,7 @@ class Memo(dict):
             got = self.compute(chunk)
             if len(chunk) > MEMO_CHARS:
                 return got
-        if len(self) >= MEMO:
+        if len(self) >= (self.size or MEMO):
             self.old = dict(self)
             self.clear()
         self[chunk] = got
