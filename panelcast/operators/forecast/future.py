@@ -29,29 +29,34 @@ def by_date(panel: DataFrame, cfg: PanelConfig, columns: list[str]) -> DataFrame
     return panel.groupBy(F.col(t).alias("date")).agg(*[F.max(F.col(c).cast("double")).alias(c) for c in columns])
 
 
-def covariate(c: str, date: str, own: Column, day: Column) -> Column:
-    """The covariate of a future day: from the date, from the series' own row, or from any row of that day."""
-    return CALENDAR[c](date).cast("double") if c in CALENDAR else F.coalesce(own, day)
+def with_covariates(steps: DataFrame, panel: DataFrame, cfg: PanelConfig, names: list[str]) -> DataFrame:
+    """``steps`` (series, date, ...) with the covariates ``names`` of each day (JN10)."""
+    s, t = cfg.series_column, cfg.time_column
+    missing = [c for c in names if c not in CALENDAR and c not in panel.columns]
+    if missing:
+        raise ValueError(f"regressors missing from the frame: {missing}")
+    free = [c for c in names if c not in CALENDAR]
+    out = steps
+    if free:
+        own = panel.select(F.col(s).alias("series"), F.col(t).alias("date"), *[F.col(c).cast("double").alias(f"own_{c}") for c in free])
+        days = by_date(panel, cfg, free).select("date", *[F.col(c).alias(f"day_{c}") for c in free])
+        out = out.join(own, ["series", "date"], "left").join(days, "date", "left")
+    known = [(CALENDAR[c]("date").cast("double") if c in CALENDAR else F.coalesce(f"own_{c}", f"day_{c}")).alias(c) for c in names]
+    return out.select(*steps.columns, *known)
 
 
 def future_days(ends: DataFrame, panel: DataFrame, cfg: PanelConfig, horizon: int | None = None) -> DataFrame:
     """``ends`` (series, last_date, ...) by step: series, date, h, the other columns of ``ends`` and the features of
     ``known_of_day``."""
-    s, t = cfg.series_column, cfg.time_column
     rest = [c for c in ends.columns if c not in ("series", "last_date")]
+    names, attributes = list(cfg.roles.available), list(cfg.roles.attribute)
     steps = ends.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon or cfg.horizon))).alias("h"))
     steps = steps.select("series", F.date_add("last_date", F.col("h")).alias("date"), "h", *rest)
-    names = list(cfg.roles.available)
-    free = [c for c in names if c not in CALENDAR]
-    own = panel.select(F.col(s).alias("series"), F.col(t).alias("date"), *[F.col(c).cast("double").alias(f"own_{c}") for c in free])
-    days = by_date(panel, cfg, free).select("date", *[F.col(c).alias(f"day_{c}") for c in free]) if free else None
-    attributes = panel.groupBy(F.col(s).alias("series")).agg(*[F.max(F.col(c).cast("double")).alias(f"a_{c}") for c in cfg.roles.attribute]) if cfg.roles.attribute else None
-    out = steps.join(own, ["series", "date"], "left") if free else steps
-    out = out.join(days, "date", "left") if days is not None else out
-    out = out.join(attributes, "series", "left") if attributes is not None else out
+    out = with_covariates(steps, panel, cfg, names)
+    if attributes:
+        own = panel.groupBy(F.col(cfg.series_column).alias("series")).agg(*[F.max(F.col(c).cast("double")).alias(f"a_{c}") for c in attributes])
+        out = out.join(own, "series", "left")
     return out.select(
-        "series", "date", "h", *rest,
-        *[covariate(c, "date", F.col(f"own_{c}") if c in free else None, F.col(f"day_{c}") if c in free else None).alias(f"k_{c}") for c in names],
-        holiday_flag("date", cfg.holiday_region).cast("double").alias("k_holiday"),
-        *[F.col(f"a_{c}") for c in cfg.roles.attribute],
+        "series", "date", "h", *rest, *[F.col(c).alias(f"k_{c}") for c in names],
+        holiday_flag("date", cfg.holiday_region).cast("double").alias("k_holiday"), *[F.col(f"a_{c}") for c in attributes],
     )

@@ -16,7 +16,8 @@ The model table (one row per series: beta, means, phi, sigma, last residuals,
 last date) is the model reference (FC8): write it, read it, forecast later.
 
 Forecast (``forecast_xreg``): future days last+1..last+H joined to the infer
-regressors by (series, date) (JN10), x.beta by ``zip_with``/``aggregate``,
+regressors by (series, date) (JN10; of a day that infer lacks, the calendar comes
+from the date and the weather from another series' row of that day), x.beta by ``zip_with``/``aggregate``,
 AR recursion of the errors and psi-weight standard errors (non-decreasing in
 the step), then Gaussian quantiles (PR14/PR15) and the step rank (WN2).
 """
@@ -34,6 +35,7 @@ from pyspark.sql import types as T
 
 from ...config import PanelConfig
 from ..frames import from_point_stderr
+from .future import with_covariates
 from .holidays import holiday_flag
 
 MAX_P = 7
@@ -161,7 +163,7 @@ AR_SCHEMA = T.StructType(
 )
 
 
-def _solve_ar(max_p: int):
+def _solve_ar(max_p: int, keys: tuple[str, ...] = ()):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             phis, sigmas, tails = [], [], []
@@ -175,7 +177,8 @@ def _solve_ar(max_p: int):
                 phis.append(phi.tolist())
                 sigmas.append(float(np.sqrt(s2)) if np.isfinite(s2) else float("nan"))
                 tails.append([float(v) for v in list(tail)[1:]])
-            yield pd.DataFrame({"series": pdf["series"].values, "phi": phis, "sigma": sigmas, "last_resid": tails})
+            own = {k: pdf[k].values for k in keys}
+            yield pd.DataFrame({"series": pdf["series"].values, "phi": phis, "sigma": sigmas, "last_resid": tails, **own})
 
     return run
 
@@ -185,33 +188,13 @@ def load_xreg(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def fit_xreg(
-    train: DataFrame, cfg: PanelConfig, regressors=None, ridge: float = RIDGE, max_p: int = MAX_P, model_path: str | None = None
-) -> DataFrame:
-    """Model table: series, last_date, n, mu, beta, phi, sigma, last_resid,
-    regressors -- one row per series, written once, to ``model_path`` where one
-    is given (the reference for ``load_xreg``) and else to the shared folder."""
-    from ...sources.tables import materialize
-
-    regs = _regressors(cfg, regressors)
-    cols = [*regs, "_holiday"]
-    k = len(cols) + 1
-    base = _feature_frame(train, cfg, regs).where(F.col("y").isNotNull())
-    # means by a partial aggregation and a join: the panel's rows are not sorted by series for them
-    means = base.groupBy("series").agg(F.array(*[F.coalesce(F.avg(c), F.lit(0.0)) for c in cols]).alias("mu"))
-    feats = base.join(means, "series").withColumn("x", _x(cols))
-
-    gram = feats.groupBy("series").agg(
-        *_gram_aggs("x", "y", k, "reg"), F.max("mu").alias("mu"), F.max("date").alias("last_date")
-    )
-    beta = materialize(gram.mapInPandas(_solve_beta(k, ridge), BETA_SCHEMA), "xreg-beta")
-
-    res = feats.join(beta.select("series", "beta"), "series").withColumn("r", F.col("y") - _dot(F.col("x"), F.col("beta")))
-    by_time = Window.partitionBy("series").orderBy("date")
+def error_model(res: DataFrame, max_p: int = MAX_P, keys: tuple[str, ...] = ()) -> DataFrame:
+    """phi, sigma and the last residuals of each (series, *keys) from rows with ``date`` and the residual ``r``."""
+    by_time = Window.partitionBy("series", *keys).orderBy("date")
     res = res.withColumn("lagv", F.array(*[F.lag("r", i).over(by_time) for i in range(1, max_p + 1)]))
     ok = F.forall("lagv", lambda v: v.isNotNull())
     lv, r = F.col("lagv"), F.col("r")
-    ar = res.groupBy("series").agg(
+    ar = res.groupBy("series", *keys).agg(
         F.array(*[F.sum(F.when(ok, lv[i] * lv[j])) for i in range(max_p) for j in range(i, max_p)]).alias("ar_g"),
         F.array(*[F.sum(F.when(ok, lv[i] * r)) for i in range(max_p)]).alias("ar_b"),
         F.sum(F.when(ok, r * r)).alias("ar_yy"),
@@ -221,7 +204,40 @@ def fit_xreg(
         # the last max_p residuals, oldest -> newest (unknown -> 0), plus one slot
         F.max_by(F.concat(F.array(F.lit(0.0)), F.reverse(F.transform("lagv", lambda v: F.coalesce(v, F.lit(0.0)))), F.array("r")), "date").alias("_tail"),
     )
-    phi = ar.mapInPandas(_solve_ar(max_p), AR_SCHEMA)
+    types = {f.name: f.dataType for f in res.schema.fields}
+    schema = T.StructType([*AR_SCHEMA.fields, *[T.StructField(k, types[k]) for k in keys]])
+    return ar.mapInPandas(_solve_ar(max_p, keys), schema)
+
+
+def gram_rows(train: DataFrame, cfg: PanelConfig, regressors=None) -> DataFrame:
+    """Per series the Gram sums of [1, regressors, holiday] with the target, the means that stand for missing values, and the last
+    day. Over the stored panel (bucketed by series) no row is shuffled."""
+    feats, k = _features(train, cfg, _regressors(cfg, regressors))
+    return feats.groupBy("series").agg(*_gram_aggs("x", "y", k, "reg"), F.max("mu").alias("mu"), F.max("date").alias("last_date"))
+
+
+def _features(train: DataFrame, cfg: PanelConfig, regs: list[str]) -> tuple[DataFrame, int]:
+    cols = [*regs, "_holiday"]
+    base = _feature_frame(train, cfg, regs).where(F.col("y").isNotNull())
+    # means by a partial aggregation and a join: the panel's rows are not sorted by series for them
+    means = base.groupBy("series").agg(F.array(*[F.coalesce(F.avg(c), F.lit(0.0)) for c in cols]).alias("mu"))
+    return base.join(means, "series").withColumn("x", _x(cols)), len(cols) + 1
+
+
+def fit_xreg(
+    train: DataFrame, cfg: PanelConfig, regressors=None, ridge: float = RIDGE, max_p: int = MAX_P, model_path: str | None = None
+) -> DataFrame:
+    """Model table: series, last_date, n, mu, beta, phi, sigma, last_resid,
+    regressors -- one row per series, written once, to ``model_path`` where one
+    is given (the reference for ``load_xreg``) and else to the shared folder."""
+    from ...sources.tables import materialize
+
+    regs = _regressors(cfg, regressors)
+    feats, k = _features(train, cfg, regs)
+    beta = materialize(gram_rows(train, cfg, regs).mapInPandas(_solve_beta(k, ridge), BETA_SCHEMA), "xreg-beta")
+
+    res = feats.join(beta.select("series", "beta"), "series").withColumn("r", F.col("y") - _dot(F.col("x"), F.col("beta")))
+    phi = error_model(res, max_p)
     model = beta.join(phi, "series").withColumn("regressors", F.array(*[F.lit(c) for c in regs]))
     if model_path is None:
         return materialize(model, "xreg-model")
@@ -270,24 +286,25 @@ def _paths(horizon: int):
 
 def forecast_xreg_raw(
     model: DataFrame, future: DataFrame, cfg: PanelConfig, horizon: int | None = None, regressors=None,
-    confidence: float = 0.9,
+    confidence: float = 0.9, paths: DataFrame | None = None,
 ) -> DataFrame:
     """Point forecasts with their uncertainty: series, forecast_timestamp, forecast_value, standard_error,
     confidence_level and the bounds of the central interval of that probability.
-    ``regressors`` must be the list the model was fitted with (default: roles)."""
+    ``regressors`` must be the list the model was fitted with (default: roles). ``paths`` (series, e_path, se_path) are the
+    errors' forecasts of another error model over the same regression."""
     if not 0 < confidence < 1:
         raise ValueError(f"confidence must lie between 0 and 1: {confidence}")
     z = NormalDist().inv_cdf((1 + confidence) / 2)
     h = horizon or cfg.horizon
     reg_names = _regressors(cfg, regressors)
     cols = [*reg_names, "_holiday"]
-    paths = model.select("series", "phi", "last_resid", "sigma").mapInPandas(_paths(h), PATH_SCHEMA)
+    if paths is None:
+        paths = model.select("series", "phi", "last_resid", "sigma").mapInPandas(_paths(h), PATH_SCHEMA)
     steps = model.join(paths, "series").select(
         "series", "mu", "beta", "e_path", "se_path", F.posexplode(F.sequence(F.lit(1), F.lit(h))).alias("_i", "h"),
         "last_date",
     ).withColumn("date", F.date_add("last_date", F.col("h")))
-    fut = _feature_frame(future, cfg, reg_names).drop("y")
-    joined = steps.join(fut, ["series", "date"], "left")  # JN10
+    joined = with_covariates(steps, future, cfg, reg_names).withColumn("_holiday", holiday_flag("date", cfg.holiday_region).cast("double"))
     x = _x(cols)
     out = joined.select(
         "series",

@@ -97,28 +97,23 @@ def daily_panel(trips: DataFrame, top: DataFrame | None, cfg: PanelConfig) -> Da
 
 # -- AG3 --------------------------------------------------------------------
 def series_bounds(daily: DataFrame, cfg: PanelConfig) -> DataFrame:
-    return daily.groupBy(cfg.series_column).agg(
-        F.min(cfg.time_column).alias("d0"), F.max(cfg.time_column).alias("d1")
-    )
+    """(series, first_day, last_day, n_days): what gap filling completes each series to."""
+    t = cfg.time_column
+    ends = daily.groupBy(cfg.series_column).agg(F.min(t).alias("first_day"), F.max(t).alias("last_day"))
+    return ends.withColumn("n_days", (F.datediff("last_day", "first_day") + 1).cast("long"))
 
 
-# -- TB2 (AG3 -> JN3 -> JN2 -> PR6) --------------------------------------------
-def gap_fill(daily: DataFrame, cfg: PanelConfig, method: str = "window") -> DataFrame:
+# -- TB2 (JN3 -> JN2 -> PR6) ---------------------------------------------------
+def gap_fill(daily: DataFrame, cfg: PanelConfig) -> DataFrame:
     """Zero-fill each series' missing days inside its *own* [first, last] day.
 
-    Only the target is filled; the other measures stay NULL on filled days.
-
-    ``window`` (default): one shuffle by series; each observed day emits itself
-    plus the days up to the next observed day. ``join``: the literal
-    spine-left-join form (bounds -> ``explode(sequence)`` -> left join).
+    Only the target is filled; the other measures stay NULL on filled days. One
+    shuffle by series; each observed day emits itself plus the days up to the
+    next observed day.
     """
     s, t, y = cfg.series_column, cfg.time_column, cfg.target_column
     if not cfg.gap_fill:
         return daily.select(s, t, y, *MEASURES)
-    if method == "join":
-        spine = series_bounds(daily, cfg).select(s, F.explode(F.sequence("d0", "d1")).alias(t))
-        joined = spine.join(daily, [s, t], "left")
-        return joined.select(s, t, zero_if_null(y).cast("long").alias(y), *MEASURES)
     w = Window.partitionBy(s).orderBy(t)
     upto = F.coalesce(F.date_sub(F.col("_next"), 1), F.col(t))
     stepped = daily.withColumn("_next", F.lead(t).over(w)).select(
@@ -168,11 +163,13 @@ def build_daily(trips: DataFrame, cfg: PanelConfig) -> DataFrame:
 
 
 def build_source(
-    trips: DataFrame, weather_raw: DataFrame, meta: DataFrame, cfg: PanelConfig, daily: DataFrame | None = None
+    trips: DataFrame | None, weather_raw: DataFrame, meta: DataFrame, cfg: PanelConfig, daily: DataFrame | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """AG1 -> JN1 -> AG2 -> TB2 -> AG4/WN1 -> JN4-JN6 -> PR9, one lazy plan."""
+    """AG1 -> JN1 -> AG2 -> TB2 -> AG4/WN1 -> JN4-JN6 -> PR9, one lazy plan. With ``daily`` and ``counts`` (of a stored state)
+    no facts are read."""
     s, t, y = cfg.series_column, cfg.time_column, cfg.target_column
-    counts = id_counts(trips)
+    counts = id_counts(trips) if counts is None else counts
     top = top_or_all(trips, cfg, counts)
     series_tbl = gap_fill(daily if daily is not None else daily_panel(trips, top, cfg), cfg)
     weather = scan_weather(weather_raw, cfg)  # one row per day of the year window

@@ -30,14 +30,16 @@ def join_actuals(preds: DataFrame, actuals: DataFrame) -> DataFrame:
     return _norm_dates(preds).join(a, list(KEYS), "inner")
 
 
-def metric_columns(levels=QUANTILES) -> list[Column]:
+def metric_columns(levels=QUANTILES, hit: Column | None = None) -> list[Column]:
+    """The metrics over the rows, or over those where ``hit`` holds."""
     f, a = F.col("forecast"), F.col("actual")
+    of = (lambda c: c) if hit is None else (lambda c: F.when(hit, c))
     return [
-        F.avg(abs_error(f, a)).alias("mae"),
-        F.sqrt(F.avg(sq_error(f, a))).alias("rmse"),
-        (F.avg(smape_term(f, a)) * F.lit(100.0)).alias("smape"),
-        F.avg(mean_pinball_term(a, levels)).alias("quantile_loss"),
-        F.count(F.lit(1)).alias("n_points"),
+        F.avg(of(abs_error(f, a))).alias("mae"),
+        F.sqrt(F.avg(of(sq_error(f, a)))).alias("rmse"),
+        (F.avg(of(smape_term(f, a))) * F.lit(100.0)).alias("smape"),
+        F.avg(of(mean_pinball_term(a, levels))).alias("quantile_loss"),
+        F.count(of(F.lit(1))).alias("n_points"),
     ]
 
 
@@ -95,10 +97,24 @@ def overlap_counts(preds: DataFrame, actuals: DataFrame, by: tuple[str, ...] = (
 
 
 # -- AG17 -------------------------------------------------------------------
+def evaluate_checked(preds: DataFrame, actuals: DataFrame, by: tuple[str, ...] = ("model",), levels=QUANTILES) -> DataFrame:
+    """``evaluate`` in which a group that meets no held-out day fails the job by name: predictions are joined once, from the
+    left, and a group without a point raises where its metrics are made. ``by`` columns that the actuals have too (a variant)
+    are matched as well."""
+    own = [c for c in by if c in actuals.columns]
+    a = _norm_dates(actuals.select(*own, "series", "date", F.col("actual").cast("double").alias("actual"), F.lit(True).alias("_hit")))
+    j = _norm_dates(preds).join(a, [*own, *KEYS], "left")
+    m = j.groupBy(*by).agg(*metric_columns(levels, F.col("_hit")))
+    name = F.concat_ws("/", *[F.col(c).cast("string") for c in by])
+    lost = F.raise_error(F.concat(F.lit("nothing to score for "), name, F.lit(": its predictions meet none of the held-out days")))
+    return m.withColumn("n_points", F.when(F.col("n_points") > 0, F.col("n_points")).otherwise(lost.cast("long")))
+
+
 def require_overlap(metrics: DataFrame, preds: DataFrame, by: tuple[str, ...] = ("model",)) -> DataFrame:
     """The metrics, checked: raises and names every group of ``preds`` (a model,
     or a variant's model) that the scorer dropped because none of its
-    predictions met an actual. Only group names reach the driver."""
+    predictions met an actual. Only group names reach the driver. For metrics at hand; ``evaluate_checked`` needs no
+    second look at the predictions."""
     scored = metrics.where(F.col("n_points") > 0).select(*by)
     lost = preds.select(*by).distinct().join(scored, list(by), "left_anti").orderBy(*by).collect()
     if lost:

@@ -27,9 +27,10 @@ from pyspark.sql import types as T
 
 from ..config import TEST, PanelConfig, fingerprint
 from ..functions.scalar import slug_value
+from ..schemas import PREDICTIONS
 from .compare import rank_models
 from .panel import top_series
-from .score import metric_columns, require_overlap
+from .score import evaluate_checked
 
 #: Axis path -> the configuration field it sets.
 AXES = {
@@ -113,14 +114,16 @@ def sweep_panel(
     short = top.select("series").join(last, "series", "left_anti").orderBy("series").take(1)
     if short:
         raise ValueError(f"the panel lacks series {short[0]['series']!r}, which a variant of the grid keeps")
+    # at most the largest number's rows: the one window without partitions is bounded by configuration; of the others (where a
+    # variant keeps every series) no rank is asked
+    by_volume = Window.orderBy(F.desc("n_rows"), F.asc("series"))
+    bound = max([n for n in tops if n is not None], default=0)
+    ranked = top.orderBy(F.desc("n_rows"), F.asc("series")).limit(bound)
+    ranked = ranked.select("series", F.row_number().over(by_volume).alias("volume_rank"))
     if largest is None:
-        ranks = top.select("series", F.lit(1).alias("volume_rank"))  # variants by rank need a bounded list
-        if any(n is not None for n in tops):
-            raise ValueError("a grid with top_n=None can't also cut by rank: run it as two sweeps")
+        ranks = top.select("series").join(ranked, "series", "left").select("series", F.coalesce("volume_rank", F.lit(bound + 1)).alias("volume_rank"))
     else:
-        # at most the largest top-N rows: the one window without partitions is bounded by configuration
-        by_volume = Window.orderBy(F.desc("n_rows"), F.asc("series"))
-        ranks = top.select("series", F.row_number().over(by_volume).alias("volume_rank"))
+        ranks = ranked
     literal = F.array(
         *[F.struct(F.lit(r["variant"]).alias("variant"), F.lit(r["top_n"]).cast("int").alias("top_n")) for r in rows]
     )
@@ -178,9 +181,7 @@ def sweep_actuals(panel: DataFrame, variants: list) -> DataFrame:
 def sweep_scores(preds: DataFrame, actuals: DataFrame) -> DataFrame:
     """Metrics per (variant, model) against each variant's own held-out days,
     then ranked within each variant (two variants never share a winner)."""
-    j = preds.join(actuals, ["variant", "series", "date"], "inner")
-    metrics = j.groupBy("variant", "model").agg(*metric_columns())
-    return rank_models(require_overlap(metrics, preds, ("variant", "model")), by=("variant",))
+    return rank_models(evaluate_checked(preds, actuals, ("variant", "model")), by=("variant",))
 
 
 # -- EX3: any model ---------------------------------------------------------------
@@ -194,7 +195,6 @@ def run_sweep(
     long predictions. Predictions, configuration and records are written below ``root``.
     """
     from ..sources.scans import actuals
-    from .score import evaluate
 
     for paths, values, c in variant_configs(axes, cfg):
         prepped = panel_of(c)
@@ -206,11 +206,10 @@ def run_sweep(
             p = model(prepped, c).withColumn("model", F.lit(name))
             preds = p if preds is None else preds.unionByName(p)
         preds = write_artifacts(preds, c, experiment, label, root)
-        metrics = require_overlap(evaluate(preds, actuals(prepped, c)), preds)
-        ranked = rank_models(metrics).withColumn("variant", F.lit(label))
+        ranked = rank_models(evaluate_checked(preds, actuals(prepped, c))).withColumn("variant", F.lit(label))
         grid = row.withColumn("variant", F.lit(label))
         write_run_log(run_records(ranked, grid, experiment, c), f"{root}/runs")
-    return spark.read.option("basePath", f"{root}/runs").parquet(f"{root}/runs").where(F.col("experiment") == experiment)
+    return read_run_log(spark, f"{root}/runs", experiment)
 
 
 # -- EX4 / EX5 ----------------------------------------------------------------
@@ -256,14 +255,44 @@ def write_artifacts(preds: DataFrame, cfg: PanelConfig, experiment: str, variant
     from ..sources.sinks import read_predictions, write_predictions
 
     spark = preds.sparkSession
-    base = f"{root}/artifacts/{experiment}/{variant}"
-    write_predictions(preds, f"{base}/predictions")
+    base = f"{root}/artifacts/{experiment}"
+    write_predictions(preds, f"{base}/predictions/variant={variant}")
     payload = dataclasses.asdict(cfg)
     text = json.dumps({"variant": variant, "fingerprint": fingerprint(payload), "config": payload}, default=str)
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{base}/config")
-    return read_predictions(spark, f"{base}/predictions")
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{base}/config/variant={variant}")
+    return read_predictions(spark, f"{base}/predictions/variant={variant}")
 
 
 def write_run_log(records: DataFrame, root: str) -> None:
-    """Append to a Parquet run log partitioned by experiment and run."""
-    records.write.mode("append").partitionBy("experiment", "run").parquet(root)
+    """Put runs into a Parquet run log partitioned by experiment and run. A run written again replaces its rows (dynamic
+    partition overwrite). The commits, written last by the same keys, say how many rows each run has: a run without its
+    commit, or with other rows than that, was not written to its end and is not read."""
+    spark = records.sparkSession
+    keys = ("experiment", "run")
+    replace = lambda df, path: df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    replace(records, f"{root}/records")
+    stored = spark.read.option("basePath", f"{root}/records").parquet(f"{root}/records")
+    written = records.select(*keys).distinct()
+    counts = stored.join(written, list(keys), "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    replace(counts.withColumn("committed", F.current_timestamp()), f"{root}/commits")
+
+
+def read_run_log(spark: SparkSession, root: str, experiment: str | None = None) -> DataFrame:
+    """The committed runs (of one experiment)."""
+    of = lambda part: spark.read.option("basePath", f"{root}/{part}").parquet(f"{root}/{part}")
+    records, commits = of("records"), of("commits")
+    if experiment is not None:
+        records, commits = (x.where(F.col("experiment") == experiment) for x in (records, commits))
+    rows = records.groupBy("experiment", "run").agg(F.count(F.lit(1)).alias("rows"))
+    whole = commits.select("experiment", "run", "rows").join(rows, ["experiment", "run", "rows"]).select("experiment", "run")
+    return records.join(whole, ["experiment", "run"], "left_semi").select(*records.columns)
+
+
+def read_artifacts(spark: SparkSession, experiment: str, root: str) -> tuple[DataFrame, DataFrame]:
+    """(predictions by variant; variant, fingerprint and configuration as JSON) of an experiment's stored runs."""
+    base = f"{root}/artifacts/{experiment}"
+    schema = T.StructType([*PREDICTIONS.fields, T.StructField("variant", T.StringType())])
+    predictions = spark.read.schema(schema).parquet(f"{base}/predictions")
+    fields = "variant string, fingerprint string, config string"
+    config = spark.read.text(f"{base}/config").select(F.from_json("value", fields).alias("c")).select("c.*")
+    return predictions, config

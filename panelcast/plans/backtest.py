@@ -8,40 +8,65 @@ forecasts (weekly naive, last value) -> one scorer -> ranking.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .. import schemas
 from ..config import PanelConfig, fingerprint
+from ..functions import scalar
 from ..operators import compare, contexts, panel, score
 from ..operators.forecast import zero_shot
 from ..schemas import PREDICTIONS, conform
-from ..sources import adapters
-from ..sources.scans import actuals
 from ..session import shared_path
-from ..sources.tables import ensure_table, input_identity
+from ..sources import adapters, scans
+from ..sources.scans import actuals
+from ..sources.tables import code_version, ensure_table, input_identity, table_properties
 from .common import CONFIGS, rounded
 
 
 def prepped_for(spark: SparkSession, sf_dir: str, adapter: str = "nation", cfg: PanelConfig | None = None) -> DataFrame:
     """The prepped panel over the stored source table: every model, the actuals
     and the scorer read it without another pass over the facts. The table is
-    written once per configuration and input files (its fingerprint covers
-    both); the splits and their cut-off come from the stored table, so queries
-    read only its columns that they need."""
+    written once per configuration, input files and code (its fingerprint covers
+    them), bucketed by series, so that contexts, fits and per-series scores need
+    no exchange; the last day, observed by the write, gives the splits' cut-off."""
     cfg = cfg or CONFIGS[adapter]
-    return panel.build_prepped(source_for(spark, sf_dir, adapter, cfg), cfg)
+    path = source_path(spark, sf_dir, adapter, cfg)
+    source = source_for(spark, sf_dir, adapter, cfg, path)
+    last = table_properties(spark, path)["last_day"]
+    return panel.build_prepped(source, cfg, max_day=F.lit(last).cast("date"))
+
+
+#: The code that a stored source table depends on.
+BUILD_CODE = (panel, adapters, scans, scalar, schemas)
+
+
+def source_fingerprint(spark: SparkSession, sf_dir: str, adapter: str, cfg: PanelConfig) -> str:
+    payload = {
+        "adapter": adapter, "config": cfg.source_fields(), "code": code_version(*BUILD_CODE), "layout": "series buckets, last day",
+        "inputs": input_identity(spark, *adapters.input_paths(sf_dir, adapter)),
+    }
+    return fingerprint(payload, 24)
+
+
+def source_path(spark: SparkSession, sf_dir: str, adapter: str, cfg: PanelConfig) -> str:
+    return shared_path(spark, "tables", f"source-{adapter}-{source_fingerprint(spark, sf_dir, adapter, cfg)}")
 
 
-def source_for(spark: SparkSession, sf_dir: str, adapter: str, cfg: PanelConfig) -> DataFrame:
+def source_for(spark: SparkSession, sf_dir: str, adapter: str, cfg: PanelConfig, path: str | None = None) -> DataFrame:
+    path = path or source_path(spark, sf_dir, adapter, cfg)
     trips, weather_raw, meta, _ = adapters.adapter_inputs(spark, sf_dir, adapter)
-    fp = fingerprint({"adapter": adapter, "config": cfg.source_fields(), "inputs": input_identity(trips, weather_raw, meta)}, 24)
-    path = shared_path(spark, "tables", f"source-{adapter}-{fp}")
-    table, _ = ensure_table(spark, path, fp, lambda: panel.build_source(trips, weather_raw, meta, cfg))
-    return table
+    s, t = cfg.series_column, cfg.time_column
+    return ensure_table(
+        spark, path, path.rsplit("-", 1)[1], lambda: panel.build_source(trips, weather_raw, meta, cfg),
+        observed={"last_day": F.max(t)}, cluster_by=s, sort_by=t,
+    )[0]
 
 
 def counts_for(spark: SparkSession, sf_dir: str, adapter: str) -> DataFrame:
     """(series, n_rows) of every valid series, stored once per input like the source table."""
     trips, _, _, cfg = adapters.adapter_inputs(spark, sf_dir, adapter)
-    fp = fingerprint({"adapter": adapter, "counts": True, "inputs": input_identity(trips)}, 24)
+    inputs = input_identity(spark, *adapters.input_paths(sf_dir, adapter, covariates=False))
+    fp = fingerprint({"adapter": adapter, "counts": True, "code": code_version(*BUILD_CODE), "inputs": inputs}, 24)
     build = lambda: panel.top_series(trips, cfg.replace(top_n=None))
     return ensure_table(spark, shared_path(spark, "tables", f"counts-{adapter}-{fp}"), fp, build)[0]
 
@@ -55,8 +80,7 @@ def zero_shot_predictions(prepped: DataFrame, cfg: PanelConfig) -> DataFrame:
 
 
 def backtest(prepped: DataFrame, preds: DataFrame, cfg: PanelConfig) -> DataFrame:
-    metrics = score.require_overlap(score.evaluate(preds, actuals(prepped, cfg)), preds)
-    return compare.rank_models(metrics)
+    return compare.rank_models(score.evaluate_checked(preds, actuals(prepped, cfg)))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

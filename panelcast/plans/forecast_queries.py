@@ -318,8 +318,8 @@ def _sweep_ranked(spark, sf_dir):
     return grid, sweep.sweep_scores(preds, sweep.sweep_actuals(panel, variants))
 
 
-# EX4 + EX5 + CM3: run records (overrides map, metrics map) appended to a
-# Parquet run log partitioned by experiment and run, read back.
+# EX4 + EX5 + CM3: run records (overrides map, metrics map) in a Parquet run log
+# partitioned by experiment and run, written twice (a run replaces itself), read back.
 @register(
     "run_log_round_trip",
     _sweep_sql().replace(
@@ -330,12 +330,15 @@ def _sweep_ranked(spark, sf_dir):
 def q_run_log(spark, sf_dir):
     from ..operators import sweep
     from ..session import shared_path
+    from ..sources.tables import materialize
     import uuid
 
     grid, ranked = _sweep_ranked(spark, sf_dir)
     root = shared_path(spark, "runlog", uuid.uuid4().hex[:12])
-    sweep.write_run_log(sweep.run_records(ranked, grid, "sweep"), root)
-    back = spark.read.option("basePath", root).parquet(root)
+    ranked = materialize(ranked, "ranking")
+    for _ in range(2):
+        sweep.write_run_log(sweep.run_records(ranked, grid, "sweep"), root)
+    back = sweep.read_run_log(spark, root, "sweep")
     m = F.col("metrics")
     return rounded(
         back.select(
@@ -367,6 +370,17 @@ def q_sweep(spark, sf_dir):
     ),
 )
 def q_sweep_artifacts(spark, sf_dir):
+    log, _ = _stored_sweep(spark, sf_dir)
+    m, p = F.col("metrics"), F.col("parameters")
+    return rounded(
+        log.select(
+            "experiment", "variant", "model", p["horizon"].alias("horizon"), p["top_n"].alias("top_n"),
+            *[m[k].alias(k) for k in ("mae", "rmse", "smape", "quantile_loss", "n_points")], "rank", "winner",
+        )
+    )
+
+
+def _stored_sweep(spark, sf_dir):
     from ..operators import sweep
     from ..session import shared_path
     import uuid
@@ -380,13 +394,27 @@ def q_sweep_artifacts(spark, sf_dir):
     root = shared_path(spark, "sweeps", uuid.uuid4().hex[:12])
     models = {"seasonal_naive": naive(7, "seasonal_naive"), "last_value": naive(1, "last_value")}
     log = sweep.run_sweep(lambda c: prepped_for(spark, sf_dir, "nation", c), SWEEP_AXES, NATION, models, "artifacts", root)
-    m, p = F.col("metrics"), F.col("parameters")
+    return log, root
+
+
+# EX5: the stored predictions and configuration of every run, read back (every value of both).
+@register(
+    "run_artifacts",
+    _sweep_sql().split("SELECT variant, model, ROUND(mae, 6) AS mae")[0]
+    + "SELECT p.variant, p.series, p.date, p.horizon_step, ROUND(p.forecast, 6) AS forecast, ROUND(p.q10, 6) AS q10, ROUND(p.q90, 6) AS q90, "
+    + "p.model, CAST(v.horizon AS VARCHAR) AS horizon, CAST(v.top_n AS VARCHAR) AS top_n, CAST(v.test_length AS VARCHAR) AS test_length "
+    + "FROM spreds p JOIN variants v USING (variant)",
+)
+def q_run_artifacts(spark, sf_dir):
+    from ..operators import sweep
+
+    _, root = _stored_sweep(spark, sf_dir)
+    predictions, config = sweep.read_artifacts(spark, "artifacts", root)
+    fields = [F.get_json_object("config", f"$.{k}").alias(k) for k in ("horizon", "top_n", "test_length")]
+    joined = predictions.join(F.broadcast(config.select("variant", *fields)), "variant")  # a row per variant
     return rounded(
-        log.select(
-            "experiment", "variant", "model", p["horizon"].alias("horizon"), p["top_n"].alias("top_n"),
-            *[m[k].alias(k) for k in ("mae", "rmse", "smape", "quantile_loss", "n_points")], "rank", "winner",
-        )
-    )
+        joined.select("variant", "series", "date", "horizon_step", "forecast", "q10", "q90", "model", "horizon", "top_n", "test_length")
+    )
 
 
 # AG15 + AG16 in one aggregation (grouping sets): overall rows have series NULL.

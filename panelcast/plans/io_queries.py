@@ -11,10 +11,10 @@ from ..config import fingerprint
 from ..operators import contexts
 from ..operators.forecast import zero_shot
 from ..sources import sinks
-from ..sources.tables import ensure_table, input_identity, table_properties, write_table
+from ..sources.tables import ensure_table, table_properties, write_table
 from ..session import shared_path
 from . import forecast_sql as FS
-from .backtest import flagship, prepped_for
+from .backtest import flagship, prepped_for, source_fingerprint
 from .common import NATION, SUPPLIER, rounded
 from .oracle_sql import SOURCE_COLS, with_panel
 from . import forecast_queries  # noqa: F401  (registers rank_models first)
@@ -101,7 +101,38 @@ def q_responses(spark, sf_dir):
     ctx, fc = _naive(spark, sf_dir, SUPPLIER, "supplier")
     path = _path(spark, "responses")
     sinks.write_responses(contexts.to_response(fc).drop("model"), path)
-    return rounded(contexts.responses_to_frame(sinks.read_responses(spark, path), ctx, "seasonal_naive"))
+    asked = ctx.select(F.col("series").alias("series_id"))
+    responses = sinks.complete_responses(sinks.response_lines(spark, path), asked)
+    return rounded(contexts.responses_to_frame(responses, ctx, "seasonal_naive"))
+
+
+# SC10: a batch output with broken, cut, repeated and lost lines, each counted. Suppliers by their key modulo 10: 1 is lost,
+# 2 breaks off, 3 has a short array, 4 comes twice; and one response that nobody asked for.
+@register(
+    "response_account",
+    with_panel(
+        "supplier",
+        """SELECT status, CAST(SUM(n) AS BIGINT) AS n FROM (
+             SELECT CASE CAST(series AS BIGINT) % 10 WHEN 1 THEN 'missing' WHEN 2 THEN 'malformed' WHEN 3 THEN 'incomplete' ELSE 'ok' END AS status, 1 AS n FROM ctx
+             UNION ALL SELECT 'missing', 1 FROM ctx WHERE CAST(series AS BIGINT) % 10 IN (2, 3)
+             UNION ALL SELECT 'repeated', 1 FROM ctx WHERE CAST(series AS BIGINT) % 10 = 4
+             UNION ALL SELECT 'unexpected', 1) GROUP BY status""",
+        SUPPLIER,
+        extra=FS.contexts_cte("ctx", SUPPLIER.context_len),
+    ),
+)
+def q_account(spark, sf_dir):
+    ctx, fc = _naive(spark, sf_dir, SUPPLIER, "supplier")
+    key = F.pmod(F.col("series_id").cast("long"), F.lit(10))
+    responses = contexts.to_response(fc).drop("model").where(key != 1)
+    whole = F.to_json(F.struct(*responses.columns))
+    short = F.to_json(F.struct(*[F.slice(c, 1, 3).alias(c) if c == "q30" else F.col(c) for c in responses.columns]))
+    line = F.when(key == 2, F.substring(whole, 1, 40)).when(key == 3, short).otherwise(whole)
+    lines = responses.select(F.explode(F.when(key == 4, F.array(line, line)).otherwise(F.array(line))).alias("value"))
+    stray = responses.limit(1).select(F.to_json(F.struct(F.lit("nobody").alias("series_id"), *[c for c in responses.columns if c != "series_id"])).alias("value"))
+    path = _path(spark, "response-lines")
+    lines.unionByName(stray).write.text(path)
+    return sinks.account(sinks.response_lines(spark, path), ctx.select(F.col("series").alias("series_id")))
 
 
 # SC12: ranking -> JSON -> read back (same twin as the ranking itself).
@@ -118,7 +149,7 @@ def q_ranking_json(spark, sf_dir):
 def q_table(spark, sf_dir):
     path = _path(spark, "prepped-table")
     prepped = prepped_for(spark, sf_dir, "nation", NATION)
-    fp = fingerprint({"adapter": "nation", "inputs": input_identity(prepped), **NATION.prepped_fields()})
+    fp = fingerprint({"source": source_fingerprint(spark, sf_dir, "nation", NATION), **NATION.prepped_fields()})
     ensure_table(spark, path, fp, lambda: prepped)
     table, rebuilt = ensure_table(spark, path, fp, lambda: prepped.limit(0))  # current: the skip branch
     if rebuilt:

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import functions as F
+
+from ..operators import daily_state
 from ..operators import panel as P
+from ..session import shared_path
 from ..sources import adapters as A
 from ..sources.scans import scan_weather
 from .backtest import prepped_for
@@ -63,6 +69,39 @@ def q_gap_filled(spark, sf_dir):
     return rounded(P.gap_fill(P.daily_panel(trips, top, SUPPLIER), SUPPLIER))
 
 
+# AG3: the days each series is completed to, all suppliers.
+@register(
+    "series_bounds",
+    with_panel(
+        "supplier",
+        "SELECT series, MIN(date) AS first_day, MAX(date) AS last_day, CAST(MAX(date) - MIN(date) + 1 AS BIGINT) AS n_days FROM daily GROUP BY series",
+        SUPPLIER,
+    ),
+)
+def q_series_bounds(spark, sf_dir):
+    trips = A.supplier_trips(spark, sf_dir)
+    return P.series_bounds(P.daily_panel(trips, P.top_or_all(trips, SUPPLIER), SUPPLIER), SUPPLIER)
+
+
+# TB1 + TB5: the source table from a state that took in the facts in two updates; the second reads the new files alone.
+@register("incremental_panel", with_panel("supplier", f"SELECT {SOURCE_COLS} FROM source", SUPPLIER))
+def q_incremental(spark, sf_dir):
+    base = shared_path(spark, "state", uuid.uuid4().hex[:12])
+    facts, root = f"{base}/facts", f"{base}/state"
+    lineitem = A.read(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_shipdate", "l_extendedprice", "l_returnflag", "l_linestatus")
+    late = F.col("l_shipdate") >= F.lit("1997-01-01").cast("date")
+    trips = lambda f: A.supplier_trips(spark, sf_dir, f, (daily_state.FILE,))
+    lineitem.where(~late).write.parquet(facts)
+    daily_state.update(spark, facts, root, trips)
+    lineitem.where(late).write.mode("append").parquet(facts)
+    daily_state.update(spark, facts, root, trips)
+    state = daily_state.current(spark, facts, root)
+    counts = daily_state.id_counts(state)
+    daily = daily_state.daily(state, P.top_or_all(None, SUPPLIER, counts), SUPPLIER)
+    _, weather_raw, meta = _inputs(spark, sf_dir, "supplier")
+    return rounded(P.build_source(None, weather_raw, meta, SUPPLIER, daily=daily, counts=counts))
+
+
 # SC2 + PR7 + PR8: covariate scan, one row per day.
 @register("weather_clean", with_panel("nation", f"SELECT date, {r('temp')} AS temp, {r('prcp')} AS prcp FROM weather"))
 def q_weather(spark, sf_dir):

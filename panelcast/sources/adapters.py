@@ -40,14 +40,14 @@ def _roles(usertype_cond, gender_col, male_value, female_value):
     return usertype, gender
 
 
-def nation_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def nation_trips(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """orders x customer x nation; series = nation name, id = customer key.
 
     ``nation`` is a fixed 25-row dimension at every scale, so it is broadcast;
     orders x customer is a shuffle join on the customer key (AQE may switch it
     to a broadcast at run time when the customer side turns out small).
     """
-    orders = read(spark, sf_dir, "orders")
+    orders = read(spark, sf_dir, "orders") if facts is None else facts
     customer = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     cust = customer.join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey).select("c_custkey", "n_name")
@@ -60,12 +60,13 @@ def nation_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         usertype.alias("usertype"),
         gender.alias("gender"),
         F.col("c_custkey").cast("long").alias("start_station_id"),
+        *keep,
     )
 
 
-def supplier_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def supplier_trips(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """lineitem; series = supplier key, id = part key (many series, scale case)."""
-    li = read(spark, sf_dir, "lineitem")
+    li = read(spark, sf_dir, "lineitem") if facts is None else facts
     usertype, gender = _roles(F.col("l_returnflag") == F.lit("N"), F.col("l_linestatus"), "O", "F")
     return li.select(
         F.col("l_suppkey").cast("string").alias("series"),
@@ -74,6 +75,7 @@ def supplier_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         usertype.alias("usertype"),
         gender.alias("gender"),
         F.col("l_partkey").cast("long").alias("start_station_id"),
+        *keep,
     )
 
 
@@ -140,6 +142,15 @@ ADAPTER_CONFIGS: dict[str, PanelConfig] = {
 }
 
 TRIPS_ADAPTERS = {"nation": nation_trips, "supplier": supplier_trips, "user": user_trips}
+#: The tables that an adapter's facts come from, and those of its weather and metadata.
+FACT_TABLES = {"nation": ("orders", "customer", "nation"), "supplier": ("lineitem",), "user": ("events",)}
+COVARIATE_TABLES = ("lineitem", "customer")
+
+
+def input_paths(sf_dir: str, adapter: str, covariates: bool = True) -> list[str]:
+    """The files and folders that an adapter reads."""
+    names = dict.fromkeys([*FACT_TABLES[adapter], *(COVARIATE_TABLES if covariates else ())])
+    return [f"{sf_dir.rstrip('/')}/{n}.parquet" for n in names]
 
 
 def adapter_inputs(spark: SparkSession, sf_dir: str, adapter: str = "nation"):

@@ -11,16 +11,19 @@
                         observed on the write itself (no second scan).
 * ``ensure_table``     fingerprint-guarded build: skip when the stored
                         fingerprint equals the current one.
-* ``input_identity``   path, size and time of every input file, so that changed
-                        inputs make another fingerprint.
+* ``input_identity``   path, size and time of every input file, aggregated by a
+                        Spark job, so that changed inputs make another
+                        fingerprint; ``code_version`` does so for the code.
 """
 
 from __future__ import annotations
 
+import hashlib
+import inspect
 import json
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -85,23 +88,38 @@ POINTER = "_current.json"
 
 
 def write_table(df: DataFrame, path: str, properties: dict[str, str] | None = None, partition_by: tuple[str, ...] = (),
-                labels: dict[str, str] | None = None, description: str | None = None) -> int:
+                labels: dict[str, str] | None = None, description: str | None = None, observed: dict[str, Column] | None = None,
+                cluster_by: str | None = None, sort_by: str | None = None) -> int:
     """Write ``df`` as the new current version of the table at ``path``; returns the row count observed during the write.
     A destination that is also the source is read to its end before the pointer moves, and a failed write leaves the old
-    version current. The version before stays for readers under way; older ones go."""
+    version current. The version before stays for readers under way; older ones go.
+
+    ``observed`` aggregates are taken during the write and kept as text properties. With ``cluster_by`` the rows are bucketed
+    by that column (and sorted by ``sort_by``): who groups or joins by it reads the table without an exchange."""
     spark = df.sparkSession
     base = path.rstrip("/")
     before = _pointer(spark, base)
     version = f"v-{uuid.uuid4().hex[:12]}"
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(f"{base}/{version}")
-    rows = int(obs.get["rows"])
+    df = df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.cast("string").alias(k) for k, c in (observed or {}).items()])
+    buckets = None
+    if cluster_by:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        name = f"t_{uuid.uuid4().hex}"
+        w = df.repartition(n, cluster_by).write.bucketBy(n, cluster_by)
+        (w.sortBy(sort_by) if sort_by else w).option("path", f"{base}/{version}").saveAsTable(name)
+        spark.sql(f"DROP TABLE {name}")  # external: the files stay
+        buckets = {"by": cluster_by, "sort": sort_by, "n": n}
+    else:
+        w = df.write
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(f"{base}/{version}")
+    seen = obs.get
+    rows = int(seen["rows"])
     record = {
-        "version": version, "previous": before.get("version"), "rows": rows, "labels": labels or {},
-        "description": description, "properties": properties or {},
+        "version": version, "previous": before.get("version"), "rows": rows, "labels": labels or {}, "buckets": buckets,
+        "description": description, "properties": {**(properties or {}), **{k: seen[k] for k in observed or {}}},
     }
     _write_text(spark, f"{base}/{POINTER}", json.dumps(record, sort_keys=True))
     if before.get("previous"):
@@ -115,11 +133,24 @@ def _pointer(spark: SparkSession, path: str) -> dict:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The table's current version."""
-    version = _pointer(spark, path).get("version")
-    if version is None:
+    """The table's current version; a clustered one with its buckets, so that Spark knows how its rows lie."""
+    pointer = _pointer(spark, path)
+    if "version" not in pointer:
         raise FileNotFoundError(f"no table at {path}")
-    return spark.read.parquet(f"{path.rstrip('/')}/{version}")
+    files = f"{path.rstrip('/')}/{pointer['version']}"
+    plain, buckets = spark.read.parquet(files), pointer.get("buckets")
+    if not buckets:
+        return plain
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
+    ordered = f" SORTED BY (`{buckets['sort']}`)" if buckets["sort"] else ""
+    name = f"t_{uuid.uuid4().hex}"
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{buckets['by']}`){ordered} INTO {buckets['n']} BUCKETS LOCATION '{files}'"
+    )
+    found = spark.table(name)
+    found.schema  # resolved: the plan holds the files, the name is not needed any more
+    spark.sql(f"DROP TABLE {name}")
+    return found
 
 
 def table_properties(spark: SparkSession, path: str) -> dict:
@@ -129,28 +160,32 @@ def table_properties(spark: SparkSession, path: str) -> dict:
 
 
 # -- TB5 --------------------------------------------------------------------
-def input_identity(*frames: DataFrame) -> list[str]:
-    """``path:length:modified`` of every file the frames read, sorted."""
-    out = set()
-    for df in frames:
-        for f in df.inputFiles():
-            fs, p = _fs(df.sparkSession, f)
-            status = fs.getFileStatus(p)
-            out.add(f"{f}:{status.getLen()}:{status.getModificationTime()}")
-    return sorted(out)
+def input_identity(spark: SparkSession, *paths: str) -> str:
+    """Number, bytes and a combined hash of path, size and time of every file below ``paths``: one Spark job over the listing
+    (no content is read), whatever the number of files."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "[!_.]*").load(list(paths))
+    one = files.agg(
+        F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"), F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("hash")
+    ).first()
+    return f"{one['n']}:{one['bytes']}:{one['hash']}"
+
+
+def code_version(*modules) -> str:
+    """A hash of the modules' sources: a table built by other code is another table."""
+    return hashlib.sha256("".join(inspect.getsource(m) for m in modules).encode()).hexdigest()[:16]
 
 
 def stored_fingerprint(spark: SparkSession, path: str) -> str | None:
     return table_properties(spark, path).get("fingerprint")
 
 
-def ensure_table(spark: SparkSession, path: str, fingerprint: str, build, force: bool = False) -> tuple[DataFrame, bool]:
+def ensure_table(spark: SparkSession, path: str, fingerprint: str, build, force: bool = False, **layout) -> tuple[DataFrame, bool]:
     """(table, rebuilt?): rebuild when the table is missing, stale or forced.
 
     The fingerprint is stored with the pointer, which is written last, so a
-    partial write never looks current.
+    partial write never looks current. ``layout`` goes to ``write_table``.
     """
     if not force and stored_fingerprint(spark, path) == fingerprint:
         return read_table(spark, path), False
-    write_table(build(), path, {"fingerprint": fingerprint})
+    write_table(build(), path, {"fingerprint": fingerprint}, **layout)
     return read_table(spark, path), True

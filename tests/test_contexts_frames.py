@@ -47,6 +47,8 @@ def test_channels_ten_and_five(spark):
     r = {x["series_id"]: x for x in zero_shot.pick_quantiles(raw).collect()}
     assert [r["a"][q][0] for q in ("q10", "q30", "q50", "q70", "q90")] == [1, 3, 5, 7, 9]
     assert [r["b"][q][0] for q in ("q10", "q30", "q50", "q70", "q90")] == [0, 1, 2, 3, 4]
+    wide = spark.createDataFrame([("c", date(2018, 3, 1), 1, [0.0], [[float(c) for c in range(21)]])], raw.schema)
+    assert [zero_shot.pick_quantiles(wide).first()[q][0] for q in ("q10", "q50", "q90")] == [1, 5, 9]  # a larger head starts with the deciles
 
 
 def test_response_to_rows(spark):

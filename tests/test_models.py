@@ -72,6 +72,30 @@ def test_holidays(spark):
     assert [got[d] for d in days] == [1] * 11 + [0, 0, 0]
 
 
+def test_holiday_regions(spark):
+    """Known days: Easter Sundays of a span of years, moved and kept days."""
+    easters = ["1981-04-19", "1954-04-18", "2000-04-23", "2008-03-23", "2011-04-24", "2019-04-21", "2024-03-31", "2038-04-25", "2049-04-18", "2076-04-19"]
+    df = spark.createDataFrame([(d,) for d in easters], "d string").select(F.to_date("d").alias("d"))
+    assert all(r["d"] == r["e"] for r in df.select("d", holidays.easter_sunday(F.col("d")).alias("e")).collect())
+    known = {
+        "GB": {"2021-04-02": 1, "2021-04-05": 1, "2021-05-03": 1, "2021-05-31": 1, "2021-08-30": 1, "2021-12-24": 0, "2021-04-04": 0},
+        "DE": {"2019-05-30": 1, "2019-06-10": 1, "2019-10-03": 1, "1989-10-03": 0, "2019-04-19": 1},
+        "FR": {"2019-07-14": 1, "2019-05-08": 1, "2019-04-22": 1, "2019-04-19": 0},
+        "CA": {"2022-05-23": 1, "2020-05-18": 1, "2022-05-30": 0, "2022-09-30": 1, "2020-09-30": 0},
+    }
+    for region, days in known.items():
+        df = spark.createDataFrame([(d,) for d in days], "d string").select(F.to_date("d").alias("d"))
+        got = {str(r["d"]): r["f"] for r in df.select("d", holidays.holiday_flag("d", region).alias("f")).collect()}
+        assert got == days, region
+    kept = {"US": {"2021-07-05": 1, "2020-07-03": 1, "2021-12-24": 1, "2020-07-06": 0}, "GB": {"2021-12-27": 1, "2021-12-28": 1, "2020-12-28": 1, "2020-12-29": 0, "2022-01-03": 1, "2022-12-27": 1}}
+    for region, days in kept.items():
+        df = spark.createDataFrame([(d,) for d in days], "d string").select(F.to_date("d").alias("d"))
+        got = {str(r["d"]): r["f"] for r in df.select("d", holidays.holiday_flag("d", region, observed=True).alias("f")).collect()}
+        assert got == days, region
+    with pytest.raises(ValueError, match="known are"):
+        holidays.holiday_flag("d", "XX")
+
+
 def test_doe_grid_and_labels(spark):
     cfg = PanelConfig()
     g = sweep.doe_grid(spark, {"forecast.horizon": [7, 14], "data.station_filter.top_n": [10, 25]}, cfg)
@@ -123,9 +147,10 @@ def test_fingerprint_guard(spark, tmp_path):
         read_table(spark, path + "-none")
     other = str(tmp_path / "in")
     spark.range(3).write.parquet(other)
-    one = input_identity(spark.read.parquet(other))
+    one = input_identity(spark, other)
+    assert one == input_identity(spark, other)
     spark.range(4).write.mode("overwrite").parquet(other)
-    assert one and one != input_identity(spark.read.parquet(other))
+    assert one and one != input_identity(spark, other)
 
 
 def test_run_records_and_log(spark, tmp_path):
@@ -140,8 +165,16 @@ def test_run_records_and_log(spark, tmp_path):
     assert r["run"] == "exp__horizon7__m1" and r["overrides"] == {"forecast.horizon": "7"} and r["metrics"]["rmse"] == 2.0
     root = str(tmp_path / "log")
     sweep.write_run_log(rec, root)
-    sweep.write_run_log(rec, root)  # append
-    assert spark.read.parquet(root).count() == 2
+    sweep.write_run_log(rec.withColumn("rank", F.lit(3)), root)  # the run again: its rows are replaced
+    sweep.write_run_log(rec.withColumn("run", F.lit("exp__horizon7__m2")), root)  # another run: a row more
+    back = {r["run"]: r["rank"] for r in sweep.read_run_log(spark, root, "exp").collect()}
+    assert back == {"exp__horizon7__m1": 3, "exp__horizon7__m2": 1}
+    assert sweep.read_run_log(spark, root, "other").count() == 0
+    # a run whose rows were written without their commit is not read
+    torn = rec.withColumn("run", F.lit("exp__torn"))
+    torn.write.mode("append").partitionBy("experiment", "run").parquet(f"{root}/records")
+    rec.write.mode("append").partitionBy("experiment", "run").parquet(f"{root}/records")  # rows past the commit
+    assert [r["run"] for r in sweep.read_run_log(spark, root).collect()] == ["exp__horizon7__m2"]
 
 
 def test_sweep_test_length_axis(spark):
@@ -280,3 +313,46 @@ def test_shared_folder_must_be_named_off_local():
     sc = SimpleNamespace(master="yarn", getConf=lambda: nothing)
     with pytest.raises(RuntimeError, match="executors share"):
         ensure_checkpoint_dir(SimpleNamespace(conf=nothing, sparkContext=sc))
+
+
+def test_fitted_sweep_equals_one_fit_per_variant(spark):
+    from panelcast.operators import panel as P
+    from panelcast.operators import sweep_fit
+    from panelcast.sources import adapters
+
+    trips, w, m, cfg = adapters.adapter_inputs(spark, "/root/testdata/sf0.001", "nation")
+    cfg = cfg.replace(top_n=6)
+    source = P.build_source(trips, w, m, cfg).cache()
+    axes = {"data.splits.test_length": [5, 14], "forecast.horizon": [3, 9], "data.station_filter.top_n": [3, 6]}
+    grid = sweep.doe_grid(spark, axes, cfg)
+    # a covariate with holes, so that the means move with the cut
+    prepped = P.build_prepped(source, cfg).withColumn("temp", F.when(F.pmod(F.dayofyear("date"), F.lit(3)) > 0, F.col("temp"))).cache()
+    rows, variants = sweep.sweep_panel(trips, prepped, grid, cfg)
+    ranks = rows.groupBy("series").agg(F.max("volume_rank").alias("volume_rank"))
+    got = sweep_fit.sweep_xreg(prepped, ranks, variants, cfg).toPandas()
+    assert got["variant"].nunique() == 8
+    for v in variants:
+        own = prepped.join(ranks.where(F.col("volume_rank") <= v["top_n"]), "series", "left_semi").drop("splits")
+        own = P.build_prepped(own, cfg.replace(test_length=v["test_length"]))
+        one = cfg.replace(horizon=v["horizon"])
+        want = xreg.forecast_xreg(xreg.fit_xreg(P.build_train(own), one), P.build_infer(own, one), one).toPandas()
+        mine = got[got["variant"] == v["variant"]].merge(want, on=["series", "date"], suffixes=("", "_w"))
+        assert len(mine) == len(want) == (got["variant"] == v["variant"]).sum() > 0
+        for c in ("forecast", "q10", "q90", "horizon_step"):
+            assert mine[c].to_numpy() == pytest.approx(mine[f"{c}_w"].to_numpy(), rel=1e-6, abs=1e-6), (v["variant"], c)
+
+
+def test_sweep_of_all_series_beside_a_number(spark):
+    from panelcast.operators import panel as P
+    from panelcast.sources import adapters
+
+    trips, w, m, cfg = adapters.adapter_inputs(spark, "/root/testdata/sf0.001", "nation")
+    cfg = cfg.replace(top_n=None)
+    prepped = P.build_tables(trips, w, m, cfg)
+    grid = sweep.doe_grid(spark, {"data.station_filter.top_n": [3, None]}, cfg)
+    sp, variants = sweep.sweep_panel(trips, prepped, grid, cfg)
+    acts = sweep.sweep_actuals(sp, variants)
+    n = {r["variant"]: r["n"] for r in acts.groupBy("variant").agg(F.countDistinct("series").alias("n")).collect()}
+    names = [r["variant"] for r in grid.orderBy(F.col("top_n").isNull()).collect()]
+    total = prepped.where("splits = 'TEST'").select("series").distinct().count()
+    assert n[names[1]] == total and 0 < n[names[0]] <= 3

@@ -1,5 +1,6 @@
 """Panel build invariants on the small test tables."""
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,14 +17,21 @@ def test_gap_fill_properties(spark):
     cfg = adapters.ADAPTER_CONFIGS["supplier"].replace(top_n=None)
     daily = panel.build_daily(trips, cfg)
     filled = panel.gap_fill(daily, cfg)
-    bounds = daily.groupBy("series").agg(F.datediff(F.max("date"), F.min("date")).alias("span"))
-    expected_rows = bounds.agg(F.sum(F.col("span") + 1)).first()[0]
-    assert filled.count() == expected_rows
+    assert filled.count() == panel.series_bounds(daily, cfg).agg(F.sum("n_days")).first()[0]
     assert filled.agg(F.sum("target")).first()[0] == trips.count()
-    # both formulations agree row for row
-    a = sorted(map(tuple, filled.collect()))
-    b = sorted(map(tuple, panel.gap_fill(daily, cfg, method="join").collect()))
-    assert a == b
+    # row for row by pandas
+    own = daily.toPandas()
+    own["date"] = pd.to_datetime(own["date"])
+    parts = []
+    for name, g in own.groupby("series"):
+        g = g.set_index("date").asfreq("D")
+        parts.append(g.assign(series=name, target=g["target"].fillna(0).astype(int)).reset_index())
+    want = pd.concat(parts)[list(filled.columns)]
+    got = filled.toPandas()
+    got["date"] = pd.to_datetime(got["date"])
+    pd.testing.assert_frame_equal(
+        got.sort_values(["series", "date"]).reset_index(drop=True), want.sort_values(["series", "date"]).reset_index(drop=True), check_dtype=False
+    )
     # filled days keep NULL measures
     zero = filled.where("target = 0").select("avg_tripduration").distinct().collect()
     assert all(r[0] is None for r in zero)
@@ -128,3 +136,97 @@ def test_top_and_modal_ids_share_one_pass_over_the_facts(spark):
     assert top.collect() == panel.top_series(trips, cfg).collect()
     a = panel.modal_id(trips, top, cfg, counts).orderBy("series").collect()
     assert a == panel.modal_id(trips, top, cfg).orderBy("series").collect()
+
+
+def test_stored_panel_is_read_without_an_exchange_by_series(spark):
+    """Contexts, the per-series fit and per-series scores of the stored, bucketed panel group by series where its rows lie."""
+    from pyspark.sql import functions as F
+
+    from panelcast.operators import contexts, panel, score
+    from panelcast.operators.forecast import xreg
+    from panelcast.plans.backtest import prepped_for
+    from panelcast.plans.common import SUPPLIER
+    from panelcast.sources.scans import actuals
+
+    prepped = prepped_for(spark, SF_SMALL, "supplier", SUPPLIER)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # at scale the means of all series are no broadcast
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan(contexts.series_contexts(prepped, SUPPLIER))
+    assert "Exchange" not in plan(xreg.gram_rows(panel.build_train(prepped), SUPPLIER, ["temp"]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    acts = actuals(prepped, SUPPLIER)
+    own = acts.select("series", "date", F.col("actual").alias("forecast"), *[F.col("actual").alias(q) for q in ("q10", "q30", "q50", "q70", "q90")], F.lit("m").alias("model"))
+    per = own.groupBy("series").agg(F.avg("forecast"))
+    assert "Exchange" not in plan(per)
+    assert score.evaluate_per_series(own, acts).count() == acts.select("series").distinct().count()
+
+
+def test_changed_code_or_input_makes_another_table(spark, tmp_path, monkeypatch):
+    import shutil
+
+    from panelcast.plans import backtest
+    from panelcast.plans.common import NATION
+
+    one = backtest.source_fingerprint(spark, SF_SMALL, "nation", NATION)
+    assert one == backtest.source_fingerprint(spark, SF_SMALL, "nation", NATION)
+    copy = str(tmp_path / "in")
+    shutil.copytree(SF_SMALL, copy)
+    assert backtest.source_fingerprint(spark, copy, "nation", NATION) != one
+    monkeypatch.setattr(backtest, "BUILD_CODE", (backtest,))
+    assert backtest.source_fingerprint(spark, SF_SMALL, "nation", NATION) != one
+
+
+def test_clustered_table_keeps_rows_and_observed_values(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from panelcast.sources.tables import read_table, table_properties, write_table
+
+    df = spark.range(100).select((F.col("id") % 7).cast("string").alias("series"), "id")
+    path = str(tmp_path / "t")
+    assert write_table(df, path, observed={"most": F.max("id")}, cluster_by="series", sort_by="id") == 100
+    back = read_table(spark, path)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    assert table_properties(spark, path)["most"] == "99" and spark.catalog.listTables() == []
+    assert write_table(back.where("id < 5"), path, cluster_by="series") == 5 and read_table(spark, path).count() == 5
+
+
+def test_state_reads_new_files_alone_and_equals_a_full_build(spark, tmp_path):
+    import glob
+    import os
+
+    from panelcast.operators import daily_state as D
+
+    cfg = adapters.ADAPTER_CONFIGS["supplier"]
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    facts, root = str(tmp_path / "facts"), str(tmp_path / "state")
+    w, m = adapters.weather_shards(spark, SF_SMALL), adapters.customer_meta(spark, SF_SMALL)
+    trips = lambda f: adapters.supplier_trips(spark, SF_SMALL, f, (D.FILE,))
+
+    def rows(df):
+        return sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in df.collect()), key=str)
+
+    def incremental():
+        state = D.current(spark, facts, root)
+        counts = D.id_counts(state)
+        top = panel.top_or_all(None, cfg, counts)
+        return rows(panel.build_source(None, w, m, cfg, daily=D.daily(state, top, cfg), counts=counts))
+
+    def full():
+        return rows(panel.build_source(adapters.supplier_trips(spark, SF_SMALL, spark.read.parquet(facts)), w, m, cfg))
+
+    parts = li.randomSplit([0.5, 0.3, 0.2], 1)
+    parts[0].repartition(3).write.parquet(facts)
+    assert D.update(spark, facts, root, trips, lot=2) == 3 and incremental() == full()
+    before = {f: os.path.getmtime(f) for f in glob.glob(f"{root}/rows/*/*.parquet")}
+    parts[1].coalesce(1).write.mode("append").parquet(facts)
+    assert D.update(spark, facts, root, trips) == 1 and incremental() == full()
+    assert all(os.path.getmtime(f) == t for f, t in before.items())
+    assert D.update(spark, facts, root, trips) == 0
+    # rows of an update that broke off before its commit are not read; a file that went takes its rows along
+    spark.read.parquet(f"{root}/rows").drop("batch").write.parquet(f"{root}/rows/batch=torn")
+    assert incremental() == full()
+    gone = sorted(glob.glob(f"{facts}/*.parquet"))[0]
+    os.rename(gone, str(tmp_path / "gone"))
+    spark.catalog.refreshByPath(facts)
+    assert D.update(spark, facts, root, trips) == 0 and incremental() == full()
