@@ -11,7 +11,12 @@ null hypothesis:
 
 Fisher's method combines their p-values (six degrees of freedom, a closed form). Within each encoding and length band a
 Benjamini-Hochberg procedure at ``FDR`` rejects the structured candidates, so that many short tokens don't settle the
-threshold of long ones; what stays is a secret. The procedure works on the counts of
+threshold of long ones. That alone controls how many secrets are lost. How many ordinary names are called secrets is
+controlled by the opposite null hypothesis, "made of ordinary words": the corpus' distinct words and numbers give a
+character-bigram model (letters without case, digits as one sign, everything else as a word's end) and the spread of a
+word's surprisal under it; a candidate's surprisal, normal in this null with variance in proportion to its length, gives a
+p-value, and within each length band Benjamini-Hochberg at ``FDR`` selects the candidates that are more random than words
+are. A secret is selected there and not rejected by the battery. Both procedures work on the counts of
 rounded p-values per band (a bounded table), never on a sorted list of all candidates.
 
 Spans are code points, end exclusive. A random span that overlaps a base span of its text is left out. All work after one
@@ -152,6 +157,60 @@ def _places() -> Column:
     return F.transform("__chars", lambda c: F.position(c, alphabet).cast("double"))
 
 
+#: Signs of the model of ordinary words: letters, a digit, a word's end.
+SIGNS = LOWER + "0-"
+#: A word or a number of a lower-cased text; longer runs are no words.
+ORDINARY = "(?<![a-z])[a-z]{2,40}(?![a-z])|(?<![0-9])[0-9]{1,40}(?![0-9])"
+
+
+def folded(text: Column) -> Column:
+    """Text in ``SIGNS``, with an end on either side."""
+    return F.concat(F.lit("-"), F.regexp_replace(F.regexp_replace(F.lower(text), "[0-9]", "0"), "[^a-z0]", "-"), F.lit("-"))
+
+
+def _pairs(text: str) -> Column:
+    """Each pair of neighbouring signs of a column as 28 * first + second."""
+    place = lambda i: F.position(F.substring(F.col(text), i, F.lit(1)), F.lit(SIGNS)) - 1
+    return F.transform(F.sequence(F.lit(1), F.length(text) - 1), lambda i: place(i) * len(SIGNS) + place(i + 1))
+
+
+def ordinary(docs: DataFrame) -> tuple[list[float], float, float]:
+    """(surprisal in bits of each pair of signs, a pair's mean, a pair's standard deviation within words) over the distinct words
+    and numbers of all texts: a word counts once, however often it is copied."""
+    found = F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col("text")), F.lit(ORDINARY), F.lit(0))))
+    words = docs.select(found.alias("w")).distinct().select(folded(F.col("w")).alias("w"))
+    words = written(words.select(_pairs("w").alias("pairs")), "words")
+    size = len(SIGNS)
+    counts = [[0] * size for _ in range(size)]
+    for pair, c in words.select(F.explode("pairs").alias("pair")).groupBy("pair").count().collect():  # size * size rows at most
+        counts[pair // size][pair % size] = c
+    bits = [-math.log2((c + 1) / (sum(row) + size)) for row in counts for c in row]
+    total = sum(map(sum, counts))
+    if not total:
+        return bits, math.log2(size), 1.0
+    mean = sum(c * b for c, b in zip([c for row in counts for c in row], bits, strict=True)) / total
+    off = _surprisal("pairs", bits) - F.size("pairs") * mean
+    return bits, mean, math.sqrt((words.agg(F.sum(off * off)).first()[0] or 0.0) / total) or 1.0
+
+
+def _surprisal(pairs: str, bits: list[float]) -> Column:
+    table = F.array(*[F.lit(b) for b in bits])
+    return F.aggregate(pairs, F.lit(0.0), lambda s, x: s + F.get(table, x))
+
+
+def beyond_words(candidates: DataFrame, model: tuple[list[float], float, float]) -> DataFrame:
+    """Adds ``p_words``: how likely a text made of ordinary words has the token's surprisal or more."""
+    bits, mean, spread = model
+    d = candidates.withColumn("__fold", folded(F.col("token"))).withColumn("__pairs", _pairs("__fold"))
+    n = F.size("__pairs").cast("double")
+    z = (_surprisal("__pairs", bits) - n * mean) / (spread * F.sqrt(n))
+    return d.withColumn("p_words", normal_upper(z)).drop("__fold", "__pairs")
+
+
+def _step(p: str) -> Column:
+    return F.ceil(F.log10(F.greatest(p, F.lit(1e-300))) * STEPS).cast("int")
+
+
 def thresholds(tested: DataFrame) -> DataFrame:
     """(encoding, band, cut): candidates whose rounded log p is at most ``cut`` are rejected as structured. A row per
     encoding and band at most."""
@@ -171,11 +230,13 @@ def spans(docs: DataFrame) -> DataFrame:
         m = _matches(texts, kind, pattern).drop("token")
         base = m if base is None else base.unionByName(m)
     base = written(base, "base-spans")
-    tested = battery(_matches(texts, "random", CANDIDATE))
-    tested = tested.withColumn("step", F.ceil(F.log10(F.greatest("p", F.lit(1e-300))) * STEPS).cast("int"))
-    tested = written(tested.select("th", "kind", "start", "end", "encoding", "band", "step"), "candidates")
+    tested = beyond_words(battery(_matches(texts, "random", CANDIDATE)), ordinary(docs))
+    tested = tested.withColumn("step", _step("p")).withColumn("words", _step("p_words"))
+    tested = written(tested.select("th", "kind", "start", "end", "encoding", "band", "step", "words"), "candidates")
     cuts = F.broadcast(thresholds(tested))  # at most a row per encoding and band
-    random = tested.join(cuts, ["encoding", "band"]).filter("step > cut").select("th", "kind", "start", "end")
+    more = thresholds(tested.select(F.lit("any").alias("encoding"), "band", F.col("words").alias("step")))
+    more = F.broadcast(more.select("band", F.col("cut").alias("most")))  # at most a row per band
+    random = tested.join(cuts, ["encoding", "band"]).join(more, "band").filter("step > cut AND words <= most").select("th", "kind", "start", "end")
     b = base.select(F.col("th").alias("bt"), F.col("start").alias("bs"), F.col("end").alias("be"))
     apart = random.join(b, (F.col("th") == F.col("bt")) & (F.col("start") < F.col("be")) & (F.col("bs") < F.col("end")), "left_anti")
     return base.unionByName(apart)

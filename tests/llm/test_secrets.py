@@ -144,5 +144,85 @@ def test_false_discovery_control(spark):
     assert cuts["hex", 64] == -1_000_000
 
 
+WORDS = (
+    "summary page draft client update order record invoice payment report account service customer region window panel series "
+    "daily weekly forecast history version release project folder section chapter header footer button image upload download "
+    "search filter result index table column value number total average balance transfer request response handler manager"
+).split()
+
+
+def identifiers(n, seed):
+    """Names and paths of 20 and more characters in several styles, all different."""
+    rng, out = random.Random(seed), set()
+    while len(out) < n:
+        w = [rng.choice(WORDS) for _ in range(rng.randint(3, 6))]
+        name = rng.choice(
+            ["-".join(w) + f"-v{rng.randint(1, 30)}", w[0] + "".join(x.title() for x in w[1:]) + str(rng.randint(1, 4000)), "_".join(w) + f"_{rng.randint(1990, 2030)}",
+             "/".join(w) + f"/{rng.randint(1, 99)}", "-".join(w) + f"-2020-0{rng.randint(1, 9)}-1{rng.randint(0, 9)}", "_".join(w).upper() + f"_{rng.randint(1, 99)}"]
+        )
+        if len(name) >= 20:
+            out.add(name)
+    return sorted(out)
+
+
+def secrets(n, seed):
+    rng = random.Random(seed)
+    letters = S.UPPER + S.LOWER + S.DIGITS
+    out = []
+    while len(out) < n:
+        kind, size = rng.randrange(4), rng.randint(24, 64)
+        alphabet = [letters, letters + "-_", S.DIGITS + S.LOWER, S.UPPER + "234567"][kind]
+        t = "".join(rng.choice(alphabet) for _ in range(size))
+        if re.fullmatch(S.CANDIDATE, t) and not re.search("[0-9a-f]{24}|AKIA", t):
+            out.append(t)
+    return out
+
+
+def test_ordinary_names_alone_are_no_secrets(spark):
+    names = identifiers(1500, 1)
+    docs = frame(spark, [(i, t, "en") for i, t in enumerate(names)])
+    flagged = [r["doc_id"] for r in S.report(docs).collect() if "random" in r["spans"]]
+    assert len(flagged) <= 0.05 * len(names), [names[i] for i in flagged[:9]]
+
+
+def test_planted_secrets_are_found_among_names_and_prose(spark):
+    rng = random.Random(5)
+    names, planted = identifiers(600, 2), secrets(200, 3)
+    prose = lambda: " ".join(rng.choice(WORDS) for _ in range(30))
+    rows = [(i, f"{prose()} {t} {prose()}", "en") for i, t in enumerate(names + planted)]
+    got = {r["doc_id"]: r["spans"] for r in S.report(frame(spark, rows)).collect()}
+    hit = {i for i, s in got.items() if "random" in s}
+    right = sum(i >= len(names) for i in hit)
+    assert right >= 0.9 * len(planted), right
+    assert len(hit) - right <= 0.05 * len(hit), [rows[i][1] for i in sorted(hit)[:5]]
+    # the span is the token
+    at = {i: t for i, (_, t, _) in enumerate(rows)}
+    for i in sorted(hit)[-20:]:
+        (a, b), token = spans_of(got[i])[0], planted[i - len(names)]
+        assert at[i][a:b] == token
+
+
+def test_model_of_words_matches_counting(spark):
+    texts = ["The quick-brown fox2 jumps, über 42 fences", "the THE lazy_dog 7", None, "", "x", "z" * 41]
+    bits, mean, spread = S.ordinary(frame(spark, [(i, t, "en") for i, t in enumerate(texts)]))
+    words = {w for t in texts if t for w in re.findall("[a-z]+|[0-9]+", t.lower()) if 40 >= len(w) > w.isalpha()}
+    size, pairs = len(S.SIGNS), []
+    for w in words:
+        f = "-" + re.sub("[0-9]", "0", w) + "-"
+        pairs.append([S.SIGNS.index(x) * size + S.SIGNS.index(y) for x, y in zip(f, f[1:])])
+    flat = [p for x in pairs for p in x]
+    row = lambda p: sum(q // size == p // size for q in flat)
+    want = [-math.log2((flat.count(p) + 1) / (row(p) + size)) for p in range(size * size)]
+    assert bits == pytest.approx(want)
+    assert mean == pytest.approx(sum(want[p] for p in flat) / len(flat))
+    assert spread == pytest.approx(math.sqrt(sum((sum(want[p] for p in x) - len(x) * mean) ** 2 for x in pairs) / len(flat)))
+    token = "AbC-9z" * 4
+    f = "-" + re.sub("[^a-z0]", "-", re.sub("[0-9]", "0", token.lower())) + "-"
+    own = [want[S.SIGNS.index(x) * size + S.SIGNS.index(y)] for x, y in zip(f, f[1:])]
+    z = (sum(own) - len(own) * mean) / (spread * math.sqrt(len(own)))
+    got = S.beyond_words(spark.createDataFrame([(token,)], "token string"), (bits, mean, spread)).first()["p_words"]
+    assert got == pytest.approx(max(0.5 * math.erfc(z / math.sqrt(2)), 5e-10), rel=1e-3, abs=1e-7)
+
+
 def test_empty_table(spark):
     assert S.report(empty(spark)).count() == 0 and S.redact(empty(spark)).count() == 0
