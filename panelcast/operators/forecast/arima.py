@@ -1,6 +1,7 @@
 """FC4/FC5 with differences and moving-average errors: per-series regression whose errors follow a seasonal ARMA after
-differencing. Every pass is a window by series and a partial aggregation; over the stored panel (bucketed by series) none shuffles
-a row. The only Python is the small solves, one row per series.
+differencing. Every pass is a window by series and a partial aggregation; over the stored panel (bucketed by series, in order of
+series and day) none shuffles or sorts its rows: the errors are stored in the same layout, and what is known by series joins by
+hash, which keeps their order. The only Python is the small solves, one row per series.
 
 1. regression as in ``xreg`` (Gram sums, ridge solve); errors r.
 2. stationarity: the KPSS statistic of r (cumulative sums against the long-run variance, Bartlett weights) asks for first
@@ -44,7 +45,7 @@ def errors(train: DataFrame, cfg: PanelConfig, regressors=None, ridge: float = R
     feats, k = _features(train, cfg, regs)
     beta = materialize(gram_rows(train, cfg, regs).mapInPandas(_solve_beta(k, ridge), BETA_SCHEMA), "arima-beta")
     r = F.col("y") - _dot(F.col("x"), F.col("beta"))
-    return beta, feats.join(beta.select("series", "beta"), "series").select("series", "date", r.alias("r"))
+    return beta, feats.join(beta.select("series", "beta").hint("shuffle_hash"), "series").select("series", "date", r.alias("r"))
 
 
 def stationarity(res: DataFrame) -> DataFrame:
@@ -92,7 +93,7 @@ def differenced(res: DataFrame, kinds: DataFrame) -> DataFrame:
     """series, date, r, x (after first differences, where asked for) and w (after weekly ones too)."""
     by_time = Window.partitionBy("series").orderBy("date")
     x = F.when(F.col("d") == 1, F.col("r") - F.lag("r").over(by_time)).otherwise(F.col("r"))
-    out = res.join(kinds.select("series", "d", "seasonal"), "series").withColumn("x", x)
+    out = res.join(kinds.select("series", "d", "seasonal").hint("shuffle_hash"), "series").withColumn("x", x)
     w = F.when(F.col("seasonal") == 1, F.col("x") - F.lag("x", WEEK).over(by_time)).otherwise(F.col("x"))
     return out.withColumn("w", w).select("series", "date", "r", "x", "w")
 
@@ -193,16 +194,16 @@ def _arma(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def fit_arima(train: DataFrame, cfg: PanelConfig, regressors=None, ridge: float = RIDGE, model_path: str | None = None) -> DataFrame:
     """Model table, a row per series: series, last_date, n, mu, beta, d, seasonal, kpss, strength, const, ar, ma, sigma and the
     last values of r, x, w and e that the recursion starts from (newest first); written once, to ``model_path`` or the shared folder."""
-    from ...sources.tables import materialize
+    from ...sources.tables import materialize, materialize_by_series
 
     beta, res = errors(train, cfg, regressors, ridge)
-    res = materialize(res, "arima-errors")
+    res = materialize_by_series(res, "arima-errors")
     kinds = materialize(stationarity(res), "arima-kinds")
     by_time = Window.partitionBy("series").orderBy("date")
     w = differenced(res, kinds)
     lags = [F.lag("w", k).over(by_time) for k in range(1, LONG + 1)]
     long_ar = _gram(_lagged(w, lags), LONG + 1).mapInPandas(_long_ar, "series string, a array<double>")
-    innov = _lagged(w, lags).join(materialize(long_ar, "arima-long"), "series")
+    innov = _lagged(w, lags).join(materialize(long_ar, "arima-long").hint("shuffle_hash"), "series")
     innov = innov.withColumn("e", F.when(F.col("ok"), F.col("w") - _dot(F.col("v"), F.col("a")))).select("series", "date", "r", "x", "w", "e")
     both = _lagged(innov, [*[F.lag("w", k).over(by_time) for k in AR_LAGS], *[F.lag("e", k).over(by_time) for k in MA_LAGS]])
     tail = lambda c: F.array(*[F.coalesce(F.lag(c, k).over(by_time), F.lit(0.0)) for k in range(WEEK)]).alias(f"last_{c}")
