@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from panelcast.llm import minhash, nbest, ngram_quality, secrets, winnowing
 from panelcast.llm.common import prepare, table, written
 
+#: Chunks that an encoding worker remembers in each of two generations: an executor of the pipeline still holds what the earlier
+#: stages left in its heap, so its workers keep less than those of the encoding alone.
+ENCODER_CHUNKS = 150_000
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or lie outside their language's perplexity band go."""
@@ -38,7 +42,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The N best segmentations of what is left: token counts, scores, digests of the ids, and the round trip."""
     prepare(spark)
-    return nbest.report(docs)
+    return nbest.report(docs, remembered=ENCODER_CHUNKS)
 
 
 STAGES = [

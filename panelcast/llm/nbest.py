@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import prepare
-from .pieces import BLANK, Memo, Vocabulary, chunks, load, neighbours, parts, piece_automaton, unknown_ids
+from .pieces import BLANK, MEMO, Memo, Vocabulary, chunks, load, neighbours, parts, piece_automaton, unknown_ids
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
@@ -182,14 +182,14 @@ class Encoder:
     whether a chunk decodes to itself is known with it: a run of byte pieces never goes beyond a chunk, so a document decodes to
     itself where its chunks do."""
 
-    def __init__(self, v: Vocabulary, n: int):
+    def __init__(self, v: Vocabulary, n: int, remembered: int = CHUNKS):
         self.v, self.n, self.decode = v, n, Decoder(v)
         self.automaton = piece_automaton(v)
         self.known = {p for p in v.pieces if len(p) == 1}
         self.pairs = neighbours(v)
-        self.best = Memo(self._best, CHUNKS)
-        self.more = Memo(self._more)
-        self.part = Memo(self._part)
+        self.best = Memo(self._best, remembered)
+        self.more = Memo(self._more, min(remembered, MEMO))
+        self.part = Memo(self._part, min(remembered, MEMO))
 
     def _part(self, part: str) -> tuple[float, tuple[int, ...], float, bool]:
         """A part's best segmentation, and whether it decodes to the part: it does where all characters are pieces, as its pieces
@@ -250,19 +250,19 @@ class Encoder:
         return [(score, unpacked(body)) for score, body in self.segment(text)[0]]
 
 
-_encoders: dict[int, Encoder] = {}
+_encoders: dict[tuple, Encoder] = {}
 
 
-def _encoder(sent, n: int) -> Encoder:
+def _encoder(sent, n: int, remembered: int) -> Encoder:
     """One encoder for each Python worker and broadcast."""
-    key = (sent.id if hasattr(sent, "id") else id(sent), n)
+    key = (sent.id if hasattr(sent, "id") else id(sent), n, remembered)
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = Encoder(sent.value, n)
+        _encoders[key] = Encoder(sent.value, n, remembered)
     return _encoders[key]
 
 
-def _over_texts(docs: DataFrame, model: str, n: int, rows, schema: str) -> DataFrame:
+def _over_texts(docs: DataFrame, model: str, n: int, rows, schema: str, remembered: int = CHUNKS) -> DataFrame:
     """Run ``rows(encoder, texts)`` -> columns over doc_id and text."""
     spark = docs.sparkSession
     prepare(spark)
@@ -272,7 +272,7 @@ def _over_texts(docs: DataFrame, model: str, n: int, rows, schema: str) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        e, arrow = _encoder(sent, n), to_arrow_schema(types)
+        e, arrow = _encoder(sent, n, remembered), to_arrow_schema(types)
         for b in batches:
             columns = rows(e, b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, list(arrow)[1:], strict=True))], schema=arrow)
@@ -303,9 +303,10 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     return encoded.selectExpr("doc_id", "segmentations[0].ids AS ids").mapInArrow(run, "doc_id long, text string")
 
 
-def report(docs: DataFrame, model: str = MODEL, n: int = N_BEST) -> DataFrame:
+def report(docs: DataFrame, model: str = MODEL, n: int = N_BEST, remembered: int = CHUNKS) -> DataFrame:
     """Per document: tokens, score and ids of the best segmentation, the scores of the N best, a digest of the ids of each (their
-    4-byte little-endian forms, SHA-256 in hex), and whether decoding every one gives the text back."""
+    4-byte little-endian forms, SHA-256 in hex), and whether decoding every one gives the text back. ``remembered`` chunks
+    stay in each of a worker's two generations: less memory for more time, the same rows."""
 
     def rows(e: Encoder, texts: list):
         tokens, best, bodies, scores, digests, back = [], [], [], [], [], []
@@ -322,4 +323,4 @@ def report(docs: DataFrame, model: str = MODEL, n: int = N_BEST) -> DataFrame:
         return tokens, best, scores, digests, back, ids
 
     schema = "doc_id long, n_tokens long, score double, nbest_scores array<double>, nbest_sha256 array<string>, round_trip boolean, ids array<int>"
-    return _over_texts(docs, model, n, rows, schema)
+    return _over_texts(docs, model, n, rows, schema, remembered)
