@@ -27,7 +27,9 @@ from .common import written
 
 SPAN = 13
 K = 5
-WORD = r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"
+#: What lies between the words of a lower-cased text, and of a text as it is.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The low bits of a fingerprint hold its place (modulo 2**20), which also settles equal hashes.
 PLACE = (1 << 20) - 1
@@ -37,7 +39,17 @@ MIN_PCT = 5
 def words_of(text: Column) -> Column:
     """Words of a text with A-Z lower-cased (an ASCII text takes the faster ``lower``); none for null."""
     folded = F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
-    return F.coalesce(F.regexp_extract_all(folded, F.lit(WORD), F.lit(1)), F.array().cast("array<string>"))
+    return _apart(folded, BETWEEN)
+
+
+def _apart(text: Column, between: str) -> Column:
+    # cutting is several times quicker than extracting matches; only the ends can be empty
+    return F.coalesce(F.array_remove(F.split(text, between), ""), F.array().cast("array<string>"))
+
+
+def word_count(text: Column) -> Column:
+    """The number of ``words_of`` a text, which needs no lower case; 0 for null."""
+    return F.size(_apart(text, BETWEEN_ANY_CASE)).cast("long")
 
 
 def fingerprints(df: DataFrame, span: int, keys: list[str]) -> DataFrame:
@@ -110,7 +122,7 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def _judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    d = docs.select("doc_id", F.xxhash64("text").alias("th"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    d = docs.select("doc_id", F.xxhash64("text").alias("th"), word_count(F.col("text")).alias("n_words"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return d.join(hits(docs, benchmark), "th", "left").select(
         "doc_id", "th", "n_words", n_hit.alias("n_hit"),
