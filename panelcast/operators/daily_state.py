@@ -5,6 +5,10 @@ The state has, per (input file, series, id, day), counts and sums with their non
 reads those that no committed batch holds, in lots of ``LOT`` paths, and appends their rows as a batch. The batch's entry in the
 list of files is written after its rows and names them: rows without an entry, of a failed update, are never read, and files that
 changed or went are left out the same way.
+
+What moves: the facts once by the state's key, the state's rows once by (series, day) and once by (series, share of its ids), each with the columns
+that are summed alone; the list of files is broadcast (a row per file). Rows are dealt out by key before they are summed: nearly every
+key is met once, so that sums taken before the exchange would hold a whole split's rows in memory, and spill them, to save nothing.
 """
 
 from __future__ import annotations
@@ -21,8 +25,13 @@ from ..sources.tables import _exists
 
 #: Paths of one read.
 LOT = 10_000
+#: Rows that one task sums: their sums fit its memory, whatever the size of an update or of the state.
+PART = 500_000
+#: Tasks over which a series' ids are spread: its modal id is then found among so many rows at most.
+SPREAD = 16
 FILE = "_file"
 KEYS = ("file", "series", "start_station_id", "day")
+SUMS = ("n", "duration", "duration_n", "subscribers", "men", "known")
 
 
 def _key(path: Column, size: Column, modified: Column) -> Column:
@@ -44,14 +53,22 @@ def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.parquet(*paths).select("*", key.alias(FILE))
 
 
-def state_rows(trips: DataFrame) -> DataFrame:
-    """The state of facts that carry their file's key."""
+def _parts(rows: DataFrame) -> int:
+    return -(-rows.count() // PART) or 1
+
+
+def state_rows(trips: DataFrame, parts: int) -> DataFrame:
+    """The state of facts that carry their file's key, summed in ``parts`` tasks."""
     gender = F.col("gender")
-    return trips.where(valid_key("series")).groupBy(F.col(FILE).alias("file"), "series", "start_station_id", to_day("starttime").alias("day")).agg(
+    facts = trips.where(valid_key("series")).select(
+        F.col(FILE).alias("file"), "series", "start_station_id", to_day("starttime").alias("day"), "tripduration",
+        (F.col("usertype") == F.lit("Subscriber")).alias("subscriber"),
+        (gender == F.lit("male")).alias("man"), gender.isin("male", "female").alias("of_known"),
+    )
+    return facts.repartition(parts, *KEYS).groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("tripduration").alias("duration"), F.count("tripduration").alias("duration_n"),
-        F.count_if(F.col("usertype") == F.lit("Subscriber")).alias("subscribers"),
-        F.count_if(gender == F.lit("male")).alias("men"), F.count_if(gender.isin("male", "female")).alias("known"),
+        F.count_if("subscriber").alias("subscribers"), F.count_if("man").alias("men"), F.count_if("of_known").alias("known"),
     )
 
 
@@ -80,7 +97,7 @@ def update(spark: SparkSession, facts: str, root: str, trips: Callable[[DataFram
     for paths in _lots(fresh.select("path").distinct().toLocalIterator(), lot):
         batch = uuid.uuid4().hex
         part = read_files(spark, paths)
-        state_rows(trips(part)).write.parquet(f"{root}/rows/batch={batch}")
+        state_rows(trips(part), _parts(part)).write.parquet(f"{root}/rows/batch={batch}")
         own = spark.createDataFrame([(p,) for p in paths], "path string")
         names = listing(spark, facts).join(own, "path")
         names.select("file").distinct().write.parquet(f"{root}/files/batch={batch}")
@@ -94,12 +111,14 @@ def current(spark: SparkSession, facts: str, root: str) -> DataFrame:
     rows = rows.withColumn("batch", F.col("batch").cast("string"))
     files = listing(spark, facts).select("file").join(_committed(spark, root), "file")
     one = files.groupBy("file").agg(F.min("batch").alias("batch"))  # two updates at once may have read a file twice
-    return rows.join(one, ["file", "batch"], "left_semi")
+    return rows.join(F.broadcast(one), ["file", "batch"], "left_semi")  # the state's rows stay where they are
 
 
 # -- what the panel takes from the facts -----------------------------------------------
 def id_counts(state: DataFrame) -> DataFrame:
-    return state.groupBy("series", "start_station_id").agg(F.sum("n").alias("cnt"))
+    share = F.pmod(F.hash("start_station_id"), F.lit(SPREAD)).alias("_share")
+    rows = state.select("series", share, "start_station_id", "n").repartition(_parts(state), "series", "_share")
+    return rows.groupBy("series", "_share", "start_station_id").agg(F.sum("n").alias("cnt")).drop("_share")
 
 
 def daily(state: DataFrame, top: DataFrame | None, cfg: PanelConfig) -> DataFrame:
@@ -110,7 +129,8 @@ def daily(state: DataFrame, top: DataFrame | None, cfg: PanelConfig) -> DataFram
         rows = rows.where(F.col("day") >= F.lit(first))
     if last:
         rows = rows.where(F.col("day") <= F.lit(last))
-    total = {c: F.sum(c) for c in ("n", "duration", "duration_n", "subscribers", "men", "known")}
+    total = {c: F.sum(c) for c in SUMS}
+    rows = rows.select("series", "day", *SUMS).repartition(_parts(rows), "series", "day")
     return rows.groupBy(F.col("series").alias(cfg.series_column), F.col("day").alias(cfg.time_column)).agg(
         total["n"].alias(cfg.target_column), safe_ratio(total["duration"], total["duration_n"]).alias("avg_tripduration"),
         safe_ratio(total["subscribers"].cast("double"), total["n"]).alias("pct_subscriber"),

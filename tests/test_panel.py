@@ -230,3 +230,72 @@ def test_state_reads_new_files_alone_and_equals_a_full_build(spark, tmp_path):
     os.rename(gone, str(tmp_path / "gone"))
     spark.catalog.refreshByPath(facts)
     assert D.update(spark, facts, root, trips) == 0 and incremental() == full()
+
+
+def _one_batch(spark, tmp_path, facts):
+    from panelcast.operators import daily_state as D
+
+    path, root = str(tmp_path / "facts"), str(tmp_path / "state")
+    facts.repartition(2).write.parquet(path)
+    assert D.update(spark, path, root, lambda f: f) == 2
+    return D.current(spark, path, root)
+
+
+def _trips(spark, rows):
+    return spark.createDataFrame(rows, "series string, starttime timestamp, tripduration double, usertype string, gender string, start_station_id long")
+
+
+def test_state_is_dealt_out_by_key_once_before_each_sum(spark, tmp_path, monkeypatch):
+    import re
+    from datetime import datetime
+
+    from panelcast.operators import daily_state as D
+
+    rows = [(f"s{i % 7}", datetime(2024, 1, 1 + i % 20), float(i), "Subscriber", "male", i % 11) for i in range(400)]
+    state = _one_batch(spark, tmp_path, _trips(spark, rows))
+    cfg = adapters.ADAPTER_CONFIGS["supplier"]
+    monkeypatch.setattr(D, "PART", 100)  # the rows that one task sums
+
+    def plan(df):
+        return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+
+    def keys(df):  # of the exchanges that move the state's rows, from the last to the first
+        found = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan(df))
+        return [",".join(re.sub(r"#\d+L?", "", k).replace(" ", "").split(",")[:-1]) for k in found]
+
+    for frame, key in ((D.daily(state, None, cfg), "series,day"), (D.id_counts(state), "series,_share")):
+        text = plan(frame)
+        assert [k for k in keys(frame) if "series" in k] == [key]  # summed where they arrive
+        assert "file,batch" not in keys(frame) and "BroadcastHashJoin" in text and "SortMergeJoin [file" not in text
+        assert text.index("HashAggregate(keys=[series") < text.index("Exchange hashpartitioning(series")
+        moved = text[text.index("Exchange hashpartitioning(series"):]
+        assert "HashAggregate(keys=[series" not in moved  # no sums over a whole split before the exchange
+    assert D.daily(state, None, cfg).rdd.getNumPartitions() == D.id_counts(state).rdd.getNumPartitions() == 4
+    more = _trips(spark, rows).repartition(1)
+    more.write.mode("append").parquet(str(tmp_path / "facts"))
+    assert D.update(spark, str(tmp_path / "facts"), str(tmp_path / "state"), lambda f: f) == 1
+    sizes = sorted(len(list(d.glob("*.parquet"))) for d in (tmp_path / "state" / "rows").glob("batch=*"))
+    assert sizes == [1, 4]
+    assert D.daily(D.current(spark, str(tmp_path / "facts"), str(tmp_path / "state")), None, cfg).agg(F.sum(cfg.target_column)).first()[0] == 800
+
+
+def test_state_sums_nulls_as_the_facts_do(spark, tmp_path):
+    from datetime import datetime
+
+    from panelcast.operators import daily_state as D
+
+    day = datetime(2024, 3, 1, 23, 59)
+    rows = [
+        ("a", day, None, None, None, None), ("a", day, 4.0, "Subscriber", "other", None), ("a", day, 2.0, "Customer", None, 3),
+        ("b", day, None, None, None, 1), ("b", None, 1.0, "Subscriber", "female", 1), (None, day, 1.0, "Subscriber", "male", 1),
+        ("", day, 1.0, "Customer", "male", 1), ("c", day, 1.0, None, "male", 2), ("c", day, 3.0, "Customer", "female", None),
+    ]
+    trips = _trips(spark, rows)
+    state = _one_batch(spark, tmp_path, trips)
+    cfg = adapters.ADAPTER_CONFIGS["supplier"]
+
+    def same(a, b):
+        assert sorted(map(tuple, a.select(b.columns).collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+
+    same(D.daily(state, None, cfg), panel.daily_panel(trips, None, cfg))
+    same(D.id_counts(state), panel.id_counts(trips))
