@@ -1,7 +1,6 @@
 """FC4/FC5 with differences and moving-average errors: per-series regression whose errors follow a seasonal ARMA after
-differencing. Every pass is a window by series and a partial aggregation; over the stored panel (bucketed by series, in order of
-series and day) none shuffles or sorts its rows: the errors are stored in the same layout, and what is known by series joins by
-hash, which keeps their order. The only Python is the small solves, one row per series.
+differencing. The fit is one pass over the panel as it lies by series and day (``whole_series``): sums by series in numpy over many
+whole series at a time, then the small solves. ``errors``, ``stationarity`` and ``differenced`` are its first steps as Spark plans.
 
 1. regression as in ``xreg`` (Gram sums, ridge solve); errors r.
 2. stationarity: the KPSS statistic of r (cumulative sums against the long-run variance, Bartlett weights) asks for first
@@ -21,12 +20,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ...config import PanelConfig
 from ..frames import from_point_stderr
-from .xreg import BETA_SCHEMA, PATH_SCHEMA, RIDGE, _dot, _features, _gram_aggs, _regressors, _solve_beta, _unpack, forecast_xreg_raw, gram_rows
+from .whole_series import Chunk, dot, fitted, lag, regression, stored
+from .xreg import (
+    BETA_SCHEMA, PATH_SCHEMA, RIDGE, _dot, _feature_frame, _features, _regressors, _ridge_solve, _solve_beta, forecast_xreg_raw, gram_rows,
+)
 
 WEEK, LONG = 7, 8
 AR_LAGS, MA_LAGS = (1, 2, 3, WEEK), (1, 2, WEEK)
@@ -100,27 +103,10 @@ def differenced(res: DataFrame, kinds: DataFrame) -> DataFrame:
 
 # -- 3: Hannan-Rissanen -------------------------------------------------------------
 def _solve(g: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.linalg.solve(g + np.eye(len(b)) * TINY * max(np.trace(g) / len(b), 1.0), b)
-
-
-def _lagged(df: DataFrame, parts: list[F.Column]) -> DataFrame:
-    """``v``: [1, parts] and whether all of them and w are known."""
-    df = df.withColumn("v", F.array(F.lit(1.0), *parts))
-    return df.withColumn("ok", F.forall("v", lambda x: x.isNotNull()) & F.col("w").isNotNull())
-
-
-def _gram(df: DataFrame, k: int) -> DataFrame:
-    known = df.withColumn("v", F.when(F.col("ok"), F.col("v"))).withColumn("t", F.when(F.col("ok"), F.col("w")))
-    return known.groupBy("series").agg(*_gram_aggs("v", "t", k, "lag"))
-
-
-def _long_ar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        out = []
-        for tri, b, n in zip(pdf["lag_g"], pdf["lag_b"], pdf["lag_n"], strict=True):
-            enough = int(n) >= 3 * (LONG + 1)
-            out.append(_solve(_unpack(np.asarray(tri, float), LONG + 1), np.asarray(b, float)).tolist() if enough else [0.0] * (LONG + 1))
-        yield pd.DataFrame({"series": pdf["series"].values, "a": out})
+    """Of every series (the first axis)."""
+    k = b.shape[1]
+    size = np.maximum(np.trace(g, axis1=1, axis2=2) / k, 1.0)
+    return np.linalg.solve(g + np.eye(k) * TINY * size[:, None, None], b[..., None])[..., 0]
 
 
 def orders() -> list[tuple[int, ...]]:
@@ -134,91 +120,155 @@ def orders() -> list[tuple[int, ...]]:
     return sorted(found, key=lambda o: (len(o), o))
 
 
-def dense(order: tuple[int, ...], c: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-    """(constant, AR coefficients by lag 1..WEEK, MA coefficients by lag)."""
-    ar, ma, const = np.zeros(WEEK), np.zeros(WEEK), 0.0
-    for place, value in zip(order, c, strict=True):
+def dense(order: tuple[int, ...], c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(constant, AR coefficients by lag 1..WEEK, MA coefficients by lag), of one series or of each row of ``c``."""
+    const, ar, ma = np.zeros(c.shape[:-1]), np.zeros((*c.shape[:-1], WEEK)), np.zeros((*c.shape[:-1], WEEK))
+    for i, place in enumerate(order):
         if place == 0:
-            const = float(value)
+            const = c[..., i][()]
         elif place <= len(AR_LAGS):
-            ar[AR_LAGS[place - 1] - 1] = value
+            ar[..., AR_LAGS[place - 1] - 1] = c[..., i]
         else:
-            ma[MA_LAGS[place - 1 - len(AR_LAGS)] - 1] = value
+            ma[..., MA_LAGS[place - 1 - len(AR_LAGS)] - 1] = c[..., i]
     return const, ar, ma
 
 
-def steady(coefficients: np.ndarray) -> bool:
-    """Whether the recursion with these coefficients dies out (companion matrix)."""
-    m = np.zeros((WEEK, WEEK))
-    m[0] = coefficients
-    m[1:, :-1] = np.eye(WEEK - 1)
-    return bool(np.abs(np.linalg.eigvals(m)).max() < 0.995)
+def steady(coefficients: np.ndarray) -> np.ndarray:
+    """Whether the recursion with these coefficients (or each row of them) dies out (companion matrix)."""
+    m = np.zeros((*coefficients.shape[:-1], WEEK, WEEK))
+    m[..., 0, :] = coefficients
+    m[..., 1:, :-1] = np.eye(WEEK - 1)
+    return np.abs(np.linalg.eigvals(m)).max(axis=-1) < 0.995
 
 
-def choose(g: np.ndarray, b: np.ndarray, ww: float, m: int) -> tuple[float, np.ndarray, np.ndarray, float]:
-    """(constant, ar, ma, sigma) of the least AIC among the orders that are steady both ways."""
-    best = None
+def choose(g: np.ndarray, b: np.ndarray, ww: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(constant, ar, ma, sigma) by series: the least AIC among the orders that are steady both ways. Every order is solved for all
+    series at once."""
+    n = len(m)
+    best, const, ar, ma = np.full(n, np.inf), np.zeros(n), np.zeros((n, WEEK)), np.zeros((n, WEEK))
+    sigma = np.sqrt(np.maximum(ww, 0.0) / np.maximum(m, 1))
     for order in orders():
-        if m < len(order) + 2:
+        enough = np.flatnonzero(m >= len(order) + 2)
+        if not len(enough):
             continue
         at = np.array(order)
-        c = _solve(g[np.ix_(at, at)], b[at])
-        sse = ww - float(2 * c @ b[at] - c @ g[np.ix_(at, at)] @ c)
-        if not np.isfinite(sse) or sse <= 0:
-            continue
-        aic = m * np.log(sse / m) + 2 * len(order)
-        if best is not None and aic >= best[0] - 1e-9:
-            continue
-        const, ar, ma = dense(order, c)
-        if steady(ar) and steady(-ma):
-            best = (aic, const, ar, ma, float(np.sqrt(sse / m)))
-    return best[1:] if best else (0.0, np.zeros(WEEK), np.zeros(WEEK), float(np.sqrt(max(ww, 0.0) / m)) if m else 0.0)
-
-
-ARMA = "series string, const double, ar array<double>, ma array<double>, sigma double"
-
-
-def _arma(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    k = 1 + len(AR_LAGS) + len(MA_LAGS)
-    for pdf in batches:
-        out = []
-        for tri, b, ww, m in zip(pdf["lag_g"], pdf["lag_b"], pdf["lag_yy"], pdf["lag_n"], strict=True):
-            if not int(m):
-                out.append((0.0, [0.0] * WEEK, [0.0] * WEEK, None))
-                continue
-            const, ar, ma, sigma = choose(_unpack(np.asarray(tri, float), k), np.asarray(b, float), float(ww), int(m))
-            out.append((const, ar.tolist(), ma.tolist(), sigma))
-        yield pd.DataFrame({"series": pdf["series"].values, **{n: [o[i] for o in out] for i, n in enumerate(("const", "ar", "ma", "sigma"))}})
+        go, bo, mo = g[enough][:, at[:, None], at], b[enough][:, at], m[enough]
+        c = _solve(go, bo)
+        sse = ww[enough] - (2 * (c * bo).sum(axis=1) - np.einsum("si,sij,sj->s", c, go, c))
+        fits = np.isfinite(sse) & (sse > 0)
+        aic = mo * np.log(np.where(fits, sse, 1.0) / mo) + 2 * len(order)
+        better = np.flatnonzero(fits & (aic < best[enough] - 1e-9))
+        consts, ars, mas = dense(order, c[better])
+        holds = steady(ars)
+        holds[holds] = steady(-mas[holds])
+        kept = better[holds]
+        to = enough[kept]
+        best[to], const[to], ar[to], ma[to], sigma[to] = aic[kept], consts[holds], ars[holds], mas[holds], np.sqrt(sse[kept] / mo[kept])
+    return const, ar, ma, sigma
+
+
+FIT_DDL = (
+    "series string, last_date date, n long, mu array<double>, beta array<double>, d int, seasonal int, kpss double, strength double, const double, "
+    "ar array<double>, ma array<double>, sigma double, last_r double, last_x array<double>, last_w array<double>, last_e array<double>"
+)
+_DOUBLES = pa.list_(pa.float64())
+FIT_ARROW = pa.schema({
+    "series": pa.string(), "last_date": pa.date32(), "n": pa.int64(), "mu": _DOUBLES, "beta": _DOUBLES, "d": pa.int32(), "seasonal": pa.int32(),
+    "kpss": pa.float64(), "strength": pa.float64(), "const": pa.float64(), "ar": _DOUBLES, "ma": _DOUBLES, "sigma": pa.float64(), "last_r": pa.float64(),
+    "last_x": _DOUBLES, "last_w": _DOUBLES, "last_e": _DOUBLES,
+})
+
+
+def _kinds(chunk: Chunk, r: np.ndarray, dr: np.ndarray) -> dict:
+    """``stationarity`` of whole series; ``dr`` (the errors' first differences) is 0 on a series' first day. As in Spark NaN is
+    beyond every bound."""
+    n, g0 = chunk.length, chunk.sums(r * r)
+    width = np.minimum(np.floor(4 * np.power(n / 100.0, 0.25)), MAX_BANDWIDTH)
+    head = np.flatnonzero(chunk.at < MAX_BANDWIDTH)
+    long_run = g0.copy()
+    for k in range(1, int(width.max()) + 1):
+        g = chunk.sums(r * lag(r, k, head[chunk.at[head] < k]))
+        long_run += np.where(k <= width, 2 * (1 - k / (width + 1)) * g, 0.0)
+    long_run /= n
+    s = chunk.running(r)
+    some = ~(long_run <= TINY)
+    kpss = np.where(some, chunk.sums(s * s) / (n * n) / np.where(some, long_run, 1.0), 0.0)
+    d = ~(kpss <= KPSS_5)
+
+    series = chunk.rows(np.arange(len(n)))
+    cell = series * WEEK + (chunk.days() + 4) % WEEK  # by weekday
+    by_day = lambda v=None: np.bincount(cell, v, len(n) * WEEK).reshape(-1, WEEK)
+    counts = by_day()
+    later = counts - np.bincount(cell[chunk.start], minlength=len(n) * WEEK).reshape(-1, WEEK)
+
+    def strength(total, squares, sums, counts):
+        m = counts.sum(axis=1)
+        mean = total * total / np.maximum(m, 1)
+        between = np.where(counts > 0, sums * sums / np.maximum(counts, 1), 0.0).sum(axis=1) - mean
+        whole = squares - mean
+        some = (m > 0) & ~(whole <= TINY)
+        return np.where(some, between / np.where(some, whole, 1.0), 0.0)
+
+    share = np.where(
+        d, strength(chunk.sums(dr), chunk.sums(dr * dr), by_day(dr), later), strength(chunk.sums(r), g0, by_day(r), counts)
+    )
+    return {"kpss": kpss, "d": d.astype(np.int32), "strength": share, "seasonal": (~(share <= SEASONAL) & (n >= 6 * WEEK)).astype(np.int32)}
+
+
+def _sums(chunk: Chunk, cols: list[str], ridge: float) -> dict:
+    """Steps 1 to 3 of whole series up to the Gram of every order. Values that are not known are 0 and counted nowhere."""
+    found, r = regression(chunk, cols, lambda g, b, n: _ridge_solve(g, b, n, ridge))
+    dr = r - lag(r, 1, chunk.start)
+    dr[chunk.start] = 0.0
+    kinds = _kinds(chunk, r, dr)
+    d, seasonal, n = kinds["d"], kinds["seasonal"], chunk.length
+    lost = d + WEEK * seasonal  # days without w
+    head = np.flatnonzero(chunk.at < 1 + WEEK + LONG + max(MA_LAGS))
+    known = chunk.at[head] - chunk.rows(lost)[head]  # days of w before
+    before = lambda k: head[known < k]
+
+    def at_zero(v: np.ndarray, unknown: np.ndarray) -> np.ndarray:
+        out = v.copy()
+        out[unknown] = 0.0
+        return out
+
+    x = np.where(chunk.rows(d) == 1, dr, r)
+    w = at_zero(np.where(chunk.rows(seasonal) == 1, x - lag(x, WEEK, head[chunk.at[head] < WEEK]), x), before(0))
+    # the long autoregression's innovations
+    unknown, ones = before(LONG), np.ones(len(r))
+    vs = [at_zero(ones, unknown), *[lag(w, k, unknown) for k in range(1, LONG + 1)]]
+    g, b = chunk.gram(vs, w)
+    a = np.zeros(b.shape)
+    enough = n - lost - LONG >= 3 * (LONG + 1)
+    a[enough] = _solve(g[enough], b[enough])
+    e = at_zero(w - dot(vs, a, chunk), unknown)
+    # the Gram that serves every order
+    unknown = before(LONG + max(MA_LAGS))
+    target = at_zero(w, unknown)
+    vs = [at_zero(ones, unknown), *[lag(w, k, unknown) for k in AR_LAGS], *[lag(e, k, unknown) for k in MA_LAGS]]
+    g, b = chunk.gram(vs, target)
+    off = r - chunk.rows(chunk.sums(r) / n)
+    return found | kinds | {
+        "lag_g": g, "lag_b": b, "lag_yy": chunk.sums(target * target), "lag_n": np.maximum(n - lost - LONG - max(MA_LAGS), 0),
+        "spread": np.sqrt(chunk.sums(off * off) / n), "last_r": r[chunk.last],
+        "last_x": chunk.tail(x, WEEK), "last_w": chunk.tail(w, WEEK), "last_e": chunk.tail(e, WEEK),
+    }
+
+
+def _arma(found: dict) -> dict:
+    m = found["lag_n"]
+    const, ar, ma, sigma = choose(found["lag_g"], found["lag_b"], found["lag_yy"], m)
+    return found | {"const": const, "ar": ar, "ma": ma, "sigma": np.where(m > 0, sigma, found["spread"])}
 
 
 def fit_arima(train: DataFrame, cfg: PanelConfig, regressors=None, ridge: float = RIDGE, model_path: str | None = None) -> DataFrame:
     """Model table, a row per series: series, last_date, n, mu, beta, d, seasonal, kpss, strength, const, ar, ma, sigma and the
     last values of r, x, w and e that the recursion starts from (newest first); written once, to ``model_path`` or the shared folder."""
-    from ...sources.tables import materialize, materialize_by_series
-
-    beta, res = errors(train, cfg, regressors, ridge)
-    res = materialize_by_series(res, "arima-errors")
-    kinds = materialize(stationarity(res), "arima-kinds")
-    by_time = Window.partitionBy("series").orderBy("date")
-    w = differenced(res, kinds)
-    lags = [F.lag("w", k).over(by_time) for k in range(1, LONG + 1)]
-    long_ar = _gram(_lagged(w, lags), LONG + 1).mapInPandas(_long_ar, "series string, a array<double>")
-    innov = _lagged(w, lags).join(materialize(long_ar, "arima-long").hint("shuffle_hash"), "series")
-    innov = innov.withColumn("e", F.when(F.col("ok"), F.col("w") - _dot(F.col("v"), F.col("a")))).select("series", "date", "r", "x", "w", "e")
-    both = _lagged(innov, [*[F.lag("w", k).over(by_time) for k in AR_LAGS], *[F.lag("e", k).over(by_time) for k in MA_LAGS]])
-    tail = lambda c: F.array(*[F.coalesce(F.lag(c, k).over(by_time), F.lit(0.0)) for k in range(WEEK)]).alias(f"last_{c}")
-    tails = innov.select("series", "date", "r", tail("x"), tail("w"), tail("e")).groupBy("series").agg(
-        F.max_by(F.struct("r", "last_x", "last_w", "last_e"), "date").alias("tail"), F.stddev_pop("r").alias("spread")
-    )
-    arma = _gram(both, 1 + len(AR_LAGS) + len(MA_LAGS)).mapInPandas(_arma, ARMA)
-    model = beta.join(kinds.drop("n"), "series").join(arma, "series").join(tails, "series").select(
-        *beta.columns, "d", "seasonal", "kpss", "strength", "const", "ar", "ma", F.coalesce("sigma", "spread", F.lit(0.0)).alias("sigma"),
-        F.col("tail.r").alias("last_r"), "tail.last_x", "tail.last_w", "tail.last_e",
-    )
-    if model_path is None:
-        return materialize(model, "arima-model")
-    model.write.mode("overwrite").parquet(model_path)
-    return train.sparkSession.read.parquet(model_path)
+    regs = _regressors(cfg, regressors)
+    cols = [*regs, "_holiday"]
+    rows = _feature_frame(train, cfg, regs).where(F.col("y").isNotNull())
+    model = fitted(rows, FIT_ARROW, FIT_DDL, lambda chunk: _sums(chunk, cols, ridge), _arma)
+    return stored(model, model_path, "arima-model")
 
 
 # -- forecast ---------------------------------------------------------------------
