@@ -76,7 +76,7 @@ def test_the_one_pass_gives_what_the_spark_steps_give(odd):
 def test_chunks_hold_whole_series_whatever_the_batches(odd, monkeypatch, rows):
     monkeypatch.setattr(W, "ROWS", rows)
     frame = X._feature_frame(odd, SUPPLIER, list(SUPPLIER.roles.available)).where(F.col("y").isNotNull())
-    whole = pa.Table.from_pandas(W.laid(frame).toPandas().sort_values(["series", "date"]), preserve_index=False)
+    whole = pa.Table.from_pandas(W.laid(frame).coalesce(1).toPandas(), preserve_index=False)
     parts = [A._sums(c, COLS, X.RIDGE) for c in W.chunks(iter(whole.to_batches(max_chunksize=13)))]
     got, want = W.joined(parts), A._sums(W.Chunk(whole), COLS, X.RIDGE)
     assert got["series"].equals(want["series"]) and (rows > 50 or len(parts) > 3)
