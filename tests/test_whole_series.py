@@ -18,6 +18,7 @@ from panelcast.operators.forecast import xreg as X
 from panelcast.plans.backtest import prepped_for
 from panelcast.plans.common import SUPPLIER
 from panelcast.session import ensure_checkpoint_dir
+from panelcast.sources.tables import materialize_by_series, read_table, write_table
 
 from .conftest import SF_SMALL
 from .test_layout import plan
@@ -115,3 +116,14 @@ def test_no_number_is_unknown_and_not_a_series_without_errors():
     schema = pa.schema({"series": pa.string(), "m": pa.list_(pa.float64()), "v": pa.float64()})
     out = W.record({"series": pa.array(pdf["series"]), "m": np.array([[np.nan, 2.0], [3.0, 4.0]]), "v": pdf["v"].to_numpy()}, schema)
     assert out.to_pylist() == [{"series": "a", "m": [None, 2.0], "v": None}, {"series": "b", "m": [3.0, 4.0], "v": 1.0}]
+
+
+def test_a_clustered_table_without_rows_is_read_back(spark, tmp_path):
+    day, nested = F.date_add(F.lit(START), F.col("id").cast("int")), F.array(F.struct(F.col("id").cast("int").alias("a"), F.lit(None).cast("string").alias("b")))
+    none = spark.range(9).where("id > 9").select(F.col("id").cast("string").alias("series"), day.alias("date"), F.col("id").cast("double").alias("r"), nested.alias("v"))
+    assert write_table(none, f"{tmp_path}/none", cluster_by="series", sort_by="date") == 0
+    back = read_table(spark, f"{tmp_path}/none")
+    assert [(f.name, f.dataType.simpleString()) for f in back.schema.fields] == [(f.name, f.dataType.simpleString()) for f in none.schema.fields]
+    assert back.collect() == []
+    empty = materialize_by_series(none.select("series", "date", "r"), "empty-errors")
+    assert empty.count() == A.stationarity(empty).count() == 0
